@@ -5,29 +5,100 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .license_scan import license_scan
+
+    return license_scan(_documents(spark, sf_dir))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring_dedup import substring_dedup
 
     return substring_dedup(_documents(spark, sf_dir), k=13)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contained_items
+
+    return contained_items(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_id import identify, learn
+
+    docs = _documents(spark, sf_dir).select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    got = identify(docs.select("doc_id", "text"), learn(docs, ~held_out))
+    return got.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import dedup_lines
+
+    got = dedup_lines(_documents(spark, sf_dir).select("doc_id", "text"))
+    return got.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .kneser_ney import score_documents
+
+    return score_documents(_documents(spark, sf_dir), F.crc32(F.col("doc_id").cast("string")) % 10 == 0)
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .packing import pack_documents
+
+    return pack_documents(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048)
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ngram_join import ngram_components
 
     return ngram_components(_documents(spark, sf_dir), k=4, percent=85)
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import find_personal_data
+
+    return find_personal_data(_documents(spark, sf_dir))
+
+
+def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .progressive_jpeg import media_columns
+
+    return media_columns(_documents(spark, sf_dir))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op2_substring_dedup": op2_substring_dedup,
-        "op8_ngram_join": op8_ngram_join,
-    }
+    every = (
+        op1_license_scan,
+        op2_substring_dedup,
+        op3_decontamination,
+        op4_language_id,
+        op5_line_dedup,
+        op6_kneser_ney,
+        op7_packing,
+        op8_ngram_join,
+        op9_pii,
+        op10_media_columns,
+        pipeline,
+    )
+    return {f.__name__: f for f in every}
 
 
 ORACLES: dict[str, str] = {}
