@@ -2,14 +2,15 @@
 
 Documents with equal sets are one node. A node's shingles are ordered rare first
 (a merged count-min sketch gives the order, one order for all documents) and only
-those of its prefix that the sketch holds for shared go into the join, with length
-and positional filters. Candidate pairs are verified once, after a suffix filter,
+those of its prefix that the sketch holds for shared go into the join, with length,
+positional and parity filters (sets that differ in k shingles differ in at most k
+bits of their 256-bit parity words). Candidate pairs are verified once, after a suffix filter,
 against the whole sorted sets.
 
 The join runs in two rounds so that large groups of copies stay linear. First
 each prefix shingle links its documents to one of them only; verified links give
 components. Then only prefix shingles that still span several components are
-joined, and only pairs across components are verified. A pair inside a component
+joined, first as components and then as documents, and only pairs across components are verified. A pair inside a component
 cannot change it, so the components equal those of all links.
 
 Null or wordless text is linked with nothing. Rows that share a doc_id count as
@@ -63,6 +64,20 @@ def _overlap(n: int, m: int, percent: int) -> int:
     return -(-percent * (n + m) // (100 + percent))
 
 
+PARITY = ("s0", "s1", "s2", "s3")
+
+
+def _near(a: str, b: str, percent: int) -> str:
+    """SQL of the length, positional and parity filters for rows a and b."""
+    need = f"ceil({percent} * ({a}.n + {b}.n) / {100 + percent}D)"
+    apart = " + ".join(f"bit_count({a}.{s} ^ {b}.{s})" for s in PARITY)
+    return (
+        f"100 * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n)"
+        f" AND least({a}.place, {b}.place) + least({a}.n - {a}.place, {b}.n - {b}.place) >= {need}"
+        f" AND {apart} <= {a}.n + {b}.n - 2 * {need}"
+    )
+
+
 def _suffix_apart(x: np.ndarray, y: np.ndarray, most: int, depth: int = 0) -> int:
     """A lower bound of the symmetric difference of two sorted arrays, by halving around a probe."""
     if depth == 3 or not len(x) or not len(y):
@@ -123,7 +138,7 @@ def ngram_components(docs: DataFrame, k: int = 5, percent: int = 80, cells_per_s
 
     def signatures(batches):
         for batch in batches:
-            ids, n_all, sums, xors, prefixes, places = batch.column(0), [], [], [], [], []
+            ids, n_all, sums, xors, prefixes, places, parities = batch.column(0), [], [], [], [], [], []
             for _, rows, of, got in shingle_sets(batch.column(1), k):
                 counts = sketch.estimate(got)
                 n = np.bincount(of, minlength=rows)
@@ -135,6 +150,8 @@ def ngram_components(docs: DataFrame, k: int = 5, percent: int = 80, cells_per_s
                 edge = np.searchsorted(np.flatnonzero(use), starts)
                 got_use, place_use = got[use].view(np.int64), place[use].astype(np.int32)
                 keyed = mix(got, 0x6A09E667)
+                odd = np.bincount(np.repeat(np.arange(rows), n) * 256 + (keyed & np.uint64(255)).astype(np.int64), minlength=256 * rows) & 1
+                parities.append(np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(rows, 4))
                 for i in range(rows):
                     a, b = starts[i], starts[i + 1]
                     sums.append(int(np.add.reduce(got[a:b]).view(np.int64)) if b > a else 0)
@@ -142,22 +159,23 @@ def ngram_components(docs: DataFrame, k: int = 5, percent: int = 80, cells_per_s
                     prefixes.append(got_use[edge[i] : edge[i + 1]])
                     places.append(place_use[edge[i] : edge[i + 1]])
                 n_all.append(n)
+            words = np.concatenate(parities) if parities else np.zeros((0, 4), np.int64)
             yield pa.record_batch(
-                [ids, pa.array(np.concatenate(n_all) if n_all else [], pa.int64()), pa.array(sums, pa.int64()), pa.array(xors, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))],
-                ["doc_id", "n", "k1", "k2", "prefix", "place"],
+                [ids, pa.array(np.concatenate(n_all) if n_all else [], pa.int64()), pa.array(sums, pa.int64()), pa.array(xors, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32())), *(pa.array(words[:, i]) for i in range(4))],
+                ["doc_id", "n", "k1", "k2", "prefix", "place", *PARITY],
             )
 
-    own = docs.mapInArrow(signatures, "doc_id long, n long, k1 long, k2 long, prefix array<long>, place array<int>")
+    own = docs.mapInArrow(signatures, "doc_id long, n long, k1 long, k2 long, prefix array<long>, place array<int>, s0 long, s1 long, s2 long, s3 long")
     own = scratch.save(own, "signatures")
     scratch.drop("sketch")
     linked = own.where("n > 0 AND doc_id IS NOT NULL")
     same = linked.groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("id"), F.max("doc_id").alias("last"))
     reps = own.join(same.withColumnRenamed("id", "doc_id"), ["k1", "k2", "n", "doc_id"]).dropDuplicates(["k1", "k2", "n"])
-    rows = reps.select(F.col("doc_id").alias("id"), "n", F.explode(F.arrays_zip("prefix", "place")).alias("x"))
-    rows = scratch.save(rows.select(F.col("x.prefix").alias("h"), "id", "n", F.col("x.place").alias("place")), "rows")
+    rows = reps.select(F.col("doc_id").alias("id"), "n", *PARITY, F.explode(F.arrays_zip("prefix", "place")).alias("x"))
+    rows = scratch.save(rows.select(F.col("x.prefix").alias("h"), "id", "n", F.col("x.place").alias("place"), *PARITY), "rows")
 
     # a shared passage can be long in few documents or short in thousands: h alone is never a task's whole work
-    groups = rows.groupBy("h").agg(F.count("*").alias("c"), F.min(F.struct("id", "n", "place")).alias("m")).where("c > 1")
+    groups = rows.groupBy("h").agg(F.count("*").alias("c"), F.min(F.struct("id", "n", "place", *PARITY)).alias("m")).where("c > 1")
     shared = scratch.save(rows.join(groups.drop("c"), "h"), "shared")
     need = shared.select("id").distinct()
 
@@ -174,15 +192,8 @@ def ngram_components(docs: DataFrame, k: int = 5, percent: int = 80, cells_per_s
     known = docs.join(need.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi").mapInArrow(sets, "id long, items binary")
     known = scratch.save(known, "sets")
 
-    def may(n: str, p: str, m: str, q: str) -> F.Column:
-        """Length and positional filter: what both have left from here on must still reach the overlap."""
-        small, large = F.least(n, m), F.greatest(n, m)
-        most = F.least(F.col(n) - F.col(p), F.col(m) - F.col(q))
-        first = F.least(F.col(p), F.col(q))
-        return (100 * small >= percent * large) & ((first + most) * (100 + percent) >= percent * (F.col(n) + F.col(m)))
-
-    star = shared.select("id", "n", "place", F.col("m.id").alias("mid"), F.col("m.n").alias("mn"), F.col("m.place").alias("mp")).where("id <> mid")
-    star = star.where(may("n", "place", "mn", "mp")).select(F.col("mid").alias("a"), F.col("id").alias("b")).distinct()
+    star = shared.select(F.struct("id", "n", "place", *PARITY).alias("b"), F.col("m").alias("a")).where("a.id <> b.id").where(_near("a", "b", percent))
+    star = star.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
     edges = scratch.save(_verify(star, known, percent), "star")
     first = scratch.save(components(scratch, edges, "c1"), "first")
 
@@ -190,11 +201,16 @@ def ngram_components(docs: DataFrame, k: int = 5, percent: int = 80, cells_per_s
     marked = scratch.save(marked, "marked")
     open_ = marked.groupBy("h").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("h")
     left = scratch.save(marked.join(open_, "h", "left_semi"), "open")
-    sides = left.select("h", "component").distinct()
-    meet = sides.select("h", F.col("component").alias("ca")).join(sides.select("h", F.col("component").alias("cb")), "h").where("ca < cb")
-    a = left.select("h", F.col("component").alias("ca"), F.col("id").alias("a"), F.col("n").alias("an"), F.col("place").alias("ap"))
-    b = left.select("h", F.col("component").alias("cb"), F.col("id").alias("b"), F.col("n").alias("bn"), F.col("place").alias("bp"))
-    across = meet.join(a, ["h", "ca"]).join(b, ["h", "cb"]).where(may("an", "ap", "bn", "bp")).select("a", "b").distinct()
+    # components meet first; where both have one document with the shingle, its own filters decide
+    sides = left.groupBy("h", "component").agg(F.count("*").alias("c"), F.min("n").alias("n"), F.max("n").alias("most"), F.min("place").alias("place"), *(F.min(x).alias(x) for x in PARITY))
+    sides = scratch.save(sides, "sides")
+    meet = sides.alias("a").join(sides.alias("b"), F.col("a.h") == F.col("b.h"))
+    lengths = f"100 * a.most >= {percent} * b.n AND 100 * b.most >= {percent} * a.n"
+    meet = meet.where(f"a.component < b.component AND {lengths} AND (a.c > 1 OR b.c > 1 OR ({_near('a', 'b', percent)}))")
+    meet = meet.select("a.h", F.col("a.component").alias("ca"), F.col("b.component").alias("cb"))
+    a = left.select("h", F.col("component").alias("ca"), F.struct("id", "n", "place", *PARITY).alias("a"))
+    b = left.select("h", F.col("component").alias("cb"), F.struct("id", "n", "place", *PARITY).alias("b"))
+    across = meet.join(a, ["h", "ca"]).join(b, ["h", "cb"]).where(_near("a", "b", percent)).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
     tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(tried, ["a", "b"], "left_anti").distinct()
     edges = edges.union(_verify(across, known, percent))
@@ -203,4 +219,4 @@ def ngram_components(docs: DataFrame, k: int = 5, percent: int = 80, cells_per_s
     final = scratch.save(components(scratch, edges.union(twice), "c2"), "final")
     out = own.select("doc_id", F.col("n").alias("n_shingles")).join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     out = out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
-    return scratch.finish(out, "signatures", "rows", "shared", "sets", "star", "first", "marked", "open", "final")
+    return scratch.finish(out, "signatures", "rows", "shared", "sets", "star", "first", "marked", "open", "sides", "final")
