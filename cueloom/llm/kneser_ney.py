@@ -30,11 +30,11 @@ from pyspark.sql import functions as F
 
 from .scratch import Scratch, SortedTable, mapped, write_array
 from .substring_dedup import expected_words
-from .text import mix, streams
+from .text import mix, streams, unmix
 
 END, START = (np.uint64(x) for x in (0x656E645F6F665F74, 0x73746172745F6F66))
 FLUSH = 3 << 20
-SHARD = 21
+SHARD = 22
 U = np.uint64
 WORD = [("c", "int64"), ("context", "int64"), ("n1", "uint32"), ("n2", "uint32"), ("n3", "uint32"), ("before", "uint32"), ("id", "uint32")]
 
@@ -183,12 +183,9 @@ def train(texts: DataFrame, scratch: Scratch) -> Model:
             kinds, at = np.unique(h, return_inverse=True)
             ids = raw.find(kinds)[1]["id"].astype(np.uint64)[at]
             pairs = (ids[:-1] << U(32) | ids[1:])[~start[1:]]
-            packed, c = np.unique(pairs, return_counts=True)
-            shard = SortedTable.shard(mix(packed), bits)
-            order = np.argsort(shard, kind="stable")
-            packed, c, shard = packed[order], c[order].astype(np.uint32), shard[order]
-            cuts = np.flatnonzero(np.diff(shard)) + 1
-            parts = [(int(shard[a]), a, b) for a, b in zip([0, *cuts], [*cuts, len(packed)], strict=True)]
+            # mixed pairs take as many bytes each however many shards there are
+            packed, c = np.unique(mix(pairs), return_counts=True)
+            c, parts = c.astype(np.uint32), _parts(packed, bits)
             return pa.record_batch(
                 [pa.array([s for s, _, _ in parts], pa.int64()), pa.array([_pack(packed[a:b]) for _, a, b in parts], pa.binary()), pa.array([_pack(c[a:b], c) for _, a, b in parts], pa.binary())],
                 ["shard", "keys", "counts"],
@@ -212,9 +209,8 @@ def train(texts: DataFrame, scratch: Scratch) -> Model:
         keys = np.concatenate([_unpack(x.as_py(), np.uint64) for x in group["keys"]])
         counts = np.concatenate([_unpack(x.as_py(), np.uint32, False) for x in group["counts"]])
         keys, counts = _sum(keys, counts)
-        h = mix(keys)
-        order = np.argsort(h)
-        write_array(f"{pairs_uri}-{shard}.bin", h[order], counts[order].astype(np.uint32))
+        write_array(f"{pairs_uri}-{shard}.bin", keys, counts.astype(np.uint32))
+        keys = unmix(keys)
         a, b = (keys >> U(32)).astype(np.uint32), (keys & U(0xFFFFFFFF)).astype(np.uint32)
         one, two = counts == 1, counts == 2
         firsts = _sum(a, counts, one, two, ~(one | two))

@@ -49,6 +49,13 @@ def mix(h: np.ndarray, seed: int = 0) -> np.ndarray:
     return h ^ (h >> U(33))
 
 
+def unmix(h: np.ndarray) -> np.ndarray:
+    """The inverse of :func:`mix` with seed 0."""
+    for factor in (0xC4CEB9FE1A85EC53, 0xFF51AFD7ED558CCD):
+        h = (h ^ (h >> U(33))) * U(pow(factor, -1, 1 << 64))
+    return h ^ (h >> U(33))
+
+
 def _block(data: np.ndarray, breaks: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes, starts and ends of the words of one block; a word also ends at each break."""
     n = len(data)
