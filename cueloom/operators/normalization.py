@@ -15,77 +15,76 @@ def _let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def split_groups(words: Column, speaker: Column, config: Normalization) -> Column:
-    """struct(groups: group number of each word, speakers: speaker of each group) by the greedy rule.
+def split_ranges(words: Column, speaker: Column, config: Normalization) -> Column:
+    """array of struct(first, to, who): the words of each part (to is exclusive) and its speaker, by the greedy rule.
 
-    Before a word a group is closed at a change of speaker, or where the word
-    would go over a limit; after it, where the group is full enough and the word
-    ends with punctuation.
+    Before a word a part is closed at a change of speaker, or where the word would go
+    over a limit; after it, where the part is full enough and the word ends with
+    punctuation. Ranges are kept, not a number per word: the result is used once, so
+    the optimizer can't put the fold into a loop over it.
     """
     most_words, most_chars = float(config.max_words_per_segment), float(config.max_chars_per_segment)
-    last = F.size(words) - 1
-    none, nobody = F.array().cast("array<int>"), F.array().cast("array<string>")
+    total = F.size(words)
+    nothing = F.array().cast("array<struct<first:int,to:int,who:string>>")
 
     def named(x: Column) -> Column:
         return F.coalesce(x, F.lit("")) != ""
 
+    def cut_at(s: Column, cut: Column, to: Column, who: Column) -> list[Column]:
+        """The state's fields, with the part closed before position to where cut holds."""
+        made = F.array(F.struct(s["first"].alias("first"), to.cast("int").alias("to"), s["who"].alias("who")))
+        return [
+            F.when(cut, 0).otherwise(s["n"]).alias("n"), F.when(cut, 0).otherwise(s["chars"]).alias("chars"), who.alias("who"),
+            F.when(cut, to).otherwise(s["first"]).cast("int").alias("first"), F.when(cut, F.concat(s["parts"], made)).otherwise(s["parts"]).alias("parts"),
+        ]
+
     def step(state: Column, word: Column) -> Column:
-        size = F.length(word["word"])
+        size, pos = F.length(word["word"]), word["pos"]
 
         def at_speaker(s: Column) -> Column:
             cut = F.lit(config.split_segment_at_speaker_change) & named(word["speaker"]) & named(s["who"]) & (word["speaker"] != s["who"]) & (s["n"] > 0)
-            return F.struct(
-                F.when(cut, 0).otherwise(s["n"]).alias("n"), F.when(cut, 0).otherwise(s["chars"]).alias("chars"),
-                F.when(cut, word["speaker"]).otherwise(s["who"]).alias("who"), (s["g"] + cut.cast("int")).alias("g"),
-                s["groups"].alias("groups"), F.when(cut, F.concat(s["whos"], F.array(s["who"]))).otherwise(s["whos"]).alias("whos"),
-            )
+            return F.struct(*cut_at(s, cut, pos, F.when(cut, word["speaker"]).otherwise(s["who"])))
 
         def at_limit(s: Column) -> Column:
             cut = (s["n"] > 0) & ((s["n"] + 1 > most_words) | (s["chars"] + 1 + size > most_chars))
-            n, chars = F.when(cut, 0).otherwise(s["n"]), F.when(cut, 0).otherwise(s["chars"])
-            g = s["g"] + cut.cast("int")
-            return F.struct(
-                (n + 1).alias("n"), (chars + F.when(n > 0, 1).otherwise(0) + size).alias("chars"), F.coalesce(word["speaker"], s["who"]).alias("who"), g.alias("g"),
-                F.concat(s["groups"], F.array(g)).alias("groups"), F.when(cut, F.concat(s["whos"], F.array(s["who"]))).otherwise(s["whos"]).alias("whos"),
-            )
+            return F.struct(*cut_at(s, cut, pos, s["who"]))
+
+        def take(s: Column) -> Column:
+            chars = s["chars"] + F.when(s["n"] > 0, 1).otherwise(0) + size
+            return F.struct((s["n"] + 1).alias("n"), chars.alias("chars"), F.coalesce(word["speaker"], s["who"]).alias("who"), s["first"].alias("first"), s["parts"].alias("parts"))
 
         def at_punctuation(s: Column) -> Column:
             ends = F.lit(False)
             for mark in config.punctuation_chars:
                 ends = ends | word["word"].endswith(mark)
             full = F.greatest(s["chars"] / most_chars, s["n"] / most_words) >= F.lit(float(config.punctuation_split_threshold))
-            cut = (word["pos"] < last) & full & ends
-            return F.struct(
-                F.when(cut, 0).otherwise(s["n"]).alias("n"), F.when(cut, 0).otherwise(s["chars"]).alias("chars"), s["who"].alias("who"), (s["g"] + cut.cast("int")).alias("g"),
-                s["groups"].alias("groups"), F.when(cut, F.concat(s["whos"], F.array(s["who"]))).otherwise(s["whos"]).alias("whos"),
-            )
-
-        return _let(_let(at_speaker(state), at_limit), at_punctuation)
-
-    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("chars"), speaker.alias("who"), F.lit(0).alias("g"), none.alias("groups"), nobody.alias("whos"))
-    placed = F.transform(words, lambda w, i: F.struct(w["word"].alias("word"), w["speaker"].alias("speaker"), i.alias("pos")))
-    return F.aggregate(
-        placed, start, step, lambda s: F.struct(s["groups"].alias("groups"), F.concat(s["whos"], F.when(s["n"] > 0, F.array(s["who"])).otherwise(nobody)).alias("speakers"))
-    )
+            return F.struct(*cut_at(s, (pos < word["last"]) & full & ends, pos + 1, s["who"]))
+
+        return _let(_let(_let(at_speaker(state), at_limit), take), at_punctuation)
+
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("chars"), speaker.alias("who"), F.lit(0).alias("first"), nothing.alias("parts"))
+    placed = F.transform(words, lambda w, i: F.struct(w["word"].alias("word"), w["speaker"].alias("speaker"), i.alias("pos"), (total - 1).alias("last")))
+
+    def close(s: Column) -> Column:
+        rest = F.array(F.struct(s["first"].alias("first"), total.alias("to"), s["who"].alias("who")))
+        return F.concat(s["parts"], F.when(s["n"] > 0, rest).otherwise(nothing))
+
+    return F.aggregate(placed, start, step, close)
 
 
 def split_parts(segments: DataFrame, config: Normalization) -> DataFrame:
     """segments with parts: the segments each is split into. Segments without words are their own only part."""
-    timed = F.size("words") > 0
-    made = segments.withColumn("_split", F.when(timed, split_groups(F.col("words"), F.col("speaker"), config)))
-
-    def part(speaker: Column, k: Column) -> Column:
-        own = F.filter("words", lambda w, i: F.get("_split.groups", i) == k)
-        return _let(
-            own,
-            lambda w: F.struct(
-                F.coalesce(F.get(w, F.lit(0))["start"], F.lit(0.0)).alias("start"), F.coalesce(F.get(w, F.size(w) - 1)["end"], F.lit(0.0)).alias("end"),
-                join_words(F.transform(w, lambda x: x["word"])).alias("text"), speaker.alias("speaker"), w.alias("words"),
-            ),
+
+    def part(r: Column) -> Column:
+        own = F.slice("words", r["first"] + 1, r["to"] - r["first"])
+        return F.struct(
+            F.coalesce(F.get("words", r["first"])["start"], F.lit(0.0)).alias("start"), F.coalesce(F.get("words", r["to"] - 1)["end"], F.lit(0.0)).alias("end"),
+            join_words(F.transform(own, lambda x: x["word"])).alias("text"), r["who"].alias("speaker"), own.alias("words"),
         )
 
     itself = F.array(F.struct("start", "end", "text", "speaker", "words"))
-    return made.withColumn("parts", F.when(timed, F.transform("_split.speakers", part)).otherwise(itself)).drop("_split")
+    split = F.transform(split_ranges(F.col("words"), F.col("speaker"), config), part)
+    return segments.withColumn("parts", F.when(F.size("words") > 0, split).otherwise(itself))
 
 
 def normalize_segments(segments: DataFrame, config: Normalization = Normalization()) -> tuple[DataFrame, DataFrame]:
