@@ -30,6 +30,7 @@ from .scratch import Scratch
 
 SPLIT = "[\\x20\\x09-\\x0D]+"
 LAST = (1 << 63) - 1
+FEW = 3
 
 
 def _least_overlap(n: str, m: str, percent: int) -> str:
@@ -79,9 +80,12 @@ def _removed_lines(docs: DataFrame, scratch: Scratch, percent: int, bucket_bits:
     every = scratch.save(every, "lines")
     sets = every.where("n > 0").groupBy("k", "k2", "n", "s").agg(F.min(F.struct("d", "p", "t")).alias("first"), F.min("w").alias("w"))
     sets = scratch.save(sets.select("k", "k2", "n", "s", "first.*", "w"), "sets")
+    # the first round takes the commonest prefix tokens alone: edits make rare tokens, the common ones hold a family together
     tokens = sets.select("d", "p", "k", "n", "s", F.posexplode("w").alias("i", "w"))
-    groups = tokens.groupBy("w").agg(F.count("*").alias("c"), F.min(F.struct("d", "p", "k", "n", "s", "i")).alias("m")).where("c > 1")
-    shared = scratch.save(tokens.join(groups.drop("c"), "w"), "shared")
+    few = sets.select("d", "p", "k", "n", "s", (F.size("w") - FEW).alias("b"), F.posexplode(F.slice("w", F.greatest(F.size("w") - FEW + 1, F.lit(1)), FEW)).alias("i", "w"))
+    few = few.withColumn("i", F.col("i") + F.greatest("b", F.lit(0))).drop("b")
+    groups = few.groupBy("w").agg(F.count("*").alias("c"), F.min(F.struct("d", "p", "k", "n", "s", "i")).alias("m")).where("c > 1")
+    shared = few.join(groups.drop("c"), "w")
 
     def near(a: str, b: str) -> str:
         """Length, positional and parity filters for rows aliased a and b."""
@@ -99,8 +103,8 @@ def _removed_lines(docs: DataFrame, scratch: Scratch, percent: int, bucket_bits:
     star = shared.select(F.struct("d", "p", "k", "n", "s", "i").alias("b"), F.col("m").alias("a")).where(f"{earlier('a', 'b')} AND {near('a', 'b')}").selectExpr(*pair).distinct()
     star = scratch.save(star, "star")
     settled = scratch.save(_verified(star, rows, counts, percent, bucket_bits), "settled")
-    rest = shared.drop("m").join(settled.select("d", "p", "k"), ["d", "p", "k"], "left_anti")
-    both = shared.drop("m").alias("a").join(rest.alias("b"), F.col("a.w") == F.col("b.w")).where(f"{earlier('a', 'b')} AND {near('a', 'b')}").selectExpr(*pair).distinct()
+    rest = tokens.join(settled.select("d", "p", "k"), ["d", "p", "k"], "left_anti")
+    both = tokens.alias("a").join(rest.alias("b"), F.col("a.w") == F.col("b.w")).where(f"{earlier('a', 'b')} AND {near('a', 'b')}").selectExpr(*pair).distinct()
     both = scratch.save(both.join(star, star.columns, "left_anti"), "rest")
     found = settled.union(_verified(both, rows, counts, percent, bucket_bits)).distinct()
     gone = sets.join(found, ["d", "p", "k"], "left").select("k", "k2", "n", "s", F.col("d").alias("fd"), F.col("p").alias("fp"), F.coalesce("late", F.lit(False)).alias("late"))
@@ -134,7 +138,7 @@ def dedup_lines(docs: DataFrame, percent: int = 80, bucket_bits: int = 20, drop_
         F.transform(F.array_sort(F.collect_list(F.struct("p", "removed"))), lambda x: x["removed"]).alias("_gone"), F.count("*").alias("n_lines"), F.count_if("removed").alias("n_removed")
     )
     flags = scratch.save(flags.select(F.col("d").alias("_d"), F.col("t").alias("_t"), F.when(F.col("n_removed") > 0, F.col("_gone")).alias("_gone"), "n_lines", "n_removed"), "flags")
-    for name in ("lines", "sets", "shared", "star", "settled", "rest", "rarity"):
+    for name in ("lines", "sets", "star", "settled", "rest", "rarity"):
         scratch.drop(name)
     keyed = docs.select(*names, F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("_d"), F.when(F.col("text").isNotNull(), F.xxhash64("text")).alias("_t"))
     out = keyed.join(flags, ["_d", "_t"], "left")
