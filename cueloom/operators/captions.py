@@ -29,17 +29,19 @@ def evenly_timed(words: Column | str, start: Column | str, end: Column | str) ->
     return F.when(segment_valid(start, end), filled).otherwise(F.col(words) if isinstance(words, str) else words)
 
 
-def _highlighted(how: str) -> Column:
-    """Cues of a segment with words: fillers before late words, a cue a valid word, a filler up to the segment's end.
+def _highlighted(how: str) -> tuple[Column, Column]:
+    """Words with valid times, and a segment's cues: fillers before late words, a cue a valid word, a filler up to the segment's end.
 
-    One fold over the words: the clock is the end of the last valid word, wherever it moves.
+    The clock is the end of the valid word before, wherever it is. Words are escaped
+    once a segment; a cue's text is put together from slices of them.
     """
-    plain = F.array_join(F.transform("_words", lambda w: escape_html(w["word"])), " ")
+    n = F.size("_escaped")
+    plain = F.array_join("_escaped", " ")
     cue = "array<struct<start:double,end:double,text:string>>"
 
     def lit_text(pos: Column) -> Column:
-        each = F.transform("_words", lambda w, i: F.when(i == pos, highlight(escape_html(w["word"]), how)).otherwise(escape_html(w["word"])))
-        return F.concat(F.col("prefix"), F.array_join(each, " "))
+        marked = F.array(highlight(F.get("_escaped", pos), how))
+        return F.concat(F.col("prefix"), F.concat_ws(" ", F.slice("_escaped", 1, pos), marked, F.slice("_escaped", pos + 2, n)))
 
     filler_text = F.concat(F.col("prefix"), plain)
 
@@ -66,10 +68,13 @@ def cues(segments: DataFrame, config: Captions = Captions()) -> DataFrame:
     basic = F.array(F.struct("start", "end", F.concat("prefix", escape_html(trim(F.coalesce("text", F.lit(""))))).alias("text")))
     if config.highlight_words:
         valid, lit = _highlighted(config.highlight_with)
-        made = made.withColumn("_words", evenly_timed("words", "start", "end")).withColumn("_valid", valid)
+        made = made.withColumn("_words", evenly_timed("words", "start", "end"))
+        made = made.withColumns({"_valid": valid, "_escaped": F.transform("_words", lambda w: escape_html(w["word"]))})
         basic = F.when(F.size("words") > 0, lit).otherwise(basic)
     made = made.withColumn("_cues", basic)
-    return made.select("transcript_id", "seg_idx", F.posexplode("_cues").alias("cue_idx", "cue")).select("transcript_id", "seg_idx", "cue_idx", "cue.*")
+    # outer, as the optimizer would else build the cues a second time to see that there are any
+    rows = made.select("transcript_id", "seg_idx", F.posexplode_outer("_cues").alias("cue_idx", "cue")).where("cue_idx IS NOT NULL")
+    return rows.select("transcript_id", "seg_idx", "cue_idx", "cue.*")
 
 
 def numbered(cue_rows: DataFrame) -> DataFrame:

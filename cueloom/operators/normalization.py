@@ -92,7 +92,7 @@ def normalize_segments(segments: DataFrame, config: Normalization = Normalizatio
     if not config.normalize:
         return segments, normalization_stats(segments.withColumn("parts", F.array(F.struct("start", "end", "text", "speaker", "words"))))
     made = split_parts(segments, config)
-    parts = made.select("transcript_id", "seg_idx", F.posexplode("parts").alias("part_idx", "part"))
+    parts = made.select("transcript_id", "seg_idx", F.posexplode_outer("parts").alias("part_idx", "part"))  # parts are never empty; outer spares a second fold
     order = Window.partitionBy("transcript_id").orderBy("seg_idx", "part_idx")
     out = parts.select("transcript_id", (F.row_number().over(order) - 1).cast("long").alias("seg_idx"), "part.*")
     return out, normalization_stats(made)
@@ -120,7 +120,7 @@ def normalization_stats(made: DataFrame) -> DataFrame:
     before = made.groupBy("transcript_id").agg(
         F.count("*").alias("original_segments"), F.sum(F.size("parts")).alias("normalized_segments"), F.sum(F.when(timed, F.greatest(F.size("parts"), F.lit(1)) - 1).otherwise(0)).alias("splits")
     )
-    part = made.select("transcript_id", F.explode("parts").alias("part"))
+    part = made.select("transcript_id", F.explode_outer("parts").alias("part"))
     words, chars = F.greatest(F.coalesce(F.size("part.words"), F.lit(0)), F.lit(0)), F.coalesce(F.length("part.text"), F.lit(0))
     return before.join(part.groupBy("transcript_id").agg(*distribution(words, "words"), *distribution(chars, "chars")), "transcript_id")
 
