@@ -43,7 +43,7 @@ def _with_rows(docs: DataFrame) -> DataFrame:
 
 
 def _lines(rows: DataFrame) -> DataFrame:
-    return rows.select("d", "t", F.posexplode(F.split("text", "\n")).alias("p", "line"))
+    return rows.select("d", "t", F.posexplode_outer(F.split("text", "\n")).alias("p", "line"))  # outer: else the split is done twice, to see that there are lines
 
 
 def _with_tokens(lines: DataFrame, counts: DataFrame, bucket_bits: int) -> DataFrame:
@@ -58,7 +58,7 @@ def _with_tokens(lines: DataFrame, counts: DataFrame, bucket_bits: int) -> DataF
 def _rarity(rows: DataFrame, bucket_bits: int) -> DataFrame:
     """One row: for each bucket of token hashes the class of its count (0 rarest, two classes a doubling)."""
     mask = (1 << bucket_bits) - 1
-    words = rows.select(F.explode(F.split("text", SPLIT)).alias("w")).select(F.xxhash64("w").bitwiseAND(F.lit(mask)).alias("b"))
+    words = rows.select(F.explode_outer(F.split("text", SPLIT)).alias("w")).select(F.xxhash64("w").bitwiseAND(F.lit(mask)).alias("b"))
     counts = words.groupBy("b").count().select("b", F.floor(2 * F.log2("count")).cast("int").alias("c"))
     every = rows.sparkSession.range(1 << bucket_bits).toDF("b").join(counts, "b", "left").select("b", F.coalesce("c", F.lit(0)).alias("c"))
     # blocks are put together first, so that the last task takes 256 arrays and not all counts one by one
