@@ -121,7 +121,7 @@ def java_replacement(replacement: str, groups: int) -> str:
             for n in (2, 1):
                 if len(digits) >= n and 1 <= int(digits[:n]) <= groups:
                     rest = digits[n:]
-                    return f"$" + str(int(digits[:n])) + (f"\\{rest}" if rest else "")
+                    return "$" + str(int(digits[:n])) + (f"\\{rest}" if rest else "")
         return "\\" + token
 
     return re.sub(r"\\|\$\$|\$&|\$[0-9]{1,2}|\$", one, replacement)
@@ -188,7 +188,7 @@ def byte_size(n: Column | str) -> Column:
     v = col(n).cast("double")
     out = None
     for i, unit in enumerate(["", "Ki", "Mi", "Gi", "Ti", "Pi", "Ei", "Zi"]):
-        here = F.format_string(f"%.1f{unit}B", v / 1024.0**i)
+        here = F.format_string(f"%.1f{unit}B", F.bround(v / 1024.0**i, 1))  # ties go to the even digit
         out = F.when(F.abs(v) < 1024.0 ** (i + 1), here) if out is None else out.when(F.abs(v) < 1024.0 ** (i + 1), here)
     return out.otherwise(F.format_string("%.1fYiB", v / 1024.0**8))
 

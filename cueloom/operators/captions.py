@@ -10,13 +10,10 @@ from ..functions.text import effective_speaker, escape_html, highlight, json_num
 from ..functions.timing import even_end, even_start, segment_valid, srt_timestamp, vtt_timestamp, word_valid
 from .speakers import speaker_labels
 
-BY_SEGMENT = Window.partitionBy("transcript_id").orderBy("seg_idx")
-
-
 def with_prefix(segments: DataFrame, mode: str = "when-changes") -> DataFrame:
     """segments with who, previous and prefix; the previous speaker is taken over all segments, with or without cues."""
     made = segments.withColumn("who", effective_speaker())
-    made = made.withColumn("previous", F.lag("who").over(BY_SEGMENT))
+    made = made.withColumn("previous", F.lag("who").over(Window.partitionBy("transcript_id").orderBy("seg_idx")))
     return made.withColumn("prefix", speaker_prefix("who", "previous", mode))
 
 
