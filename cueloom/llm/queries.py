@@ -101,7 +101,26 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in every}
 
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op2_substring_dedup": r"""
+WITH d AS (SELECT doc_id, COALESCE(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+e AS (SELECT doc_id, list_transform(range(1, len(w) - 11), lambda i: array_to_string(w[i:i+12], ' ')) AS ks FROM d),
+win AS (SELECT doc_id, UNNEST(ks) AS k, UNNEST(range(1, len(ks) + 1)) AS i FROM e),
+f AS (SELECT k, min(doc_id) AS m FROM win GROUP BY k),
+gone AS (SELECT DISTINCT win.doc_id, i + j AS p FROM win JOIN f USING (k), range(0, 13) AS t(j) WHERE m < win.doc_id),
+words AS (SELECT doc_id, UNNEST(w) AS word, UNNEST(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - COALESCE(n, 0))::BIGINT AS n_removed, sha256(COALESCE(kept.text, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)""",
+    "op8_ngram_join": r"""
+WITH RECURSIVE d AS (SELECT doc_id, COALESCE(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+e AS (SELECT doc_id, CASE WHEN len(w) >= 4 THEN list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS ks FROM d),
+s AS (SELECT doc_id, UNNEST(ks) AS k FROM e),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM shared JOIN e x ON x.doc_id = a JOIN e y ON y.doc_id = b WHERE 100 * c >= 85 * (len(x.ks) + len(y.ks) - c)),
+ways AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM e UNION SELECT reach.a, ways.b FROM reach JOIN ways ON ways.a = reach.b)
+SELECT e.doc_id, len(ks)::BIGINT AS n_shingles, min(b)::BIGINT AS component_id FROM e JOIN reach ON reach.a = e.doc_id GROUP BY e.doc_id, ks""",
+}
 
 
 def oracle_sql() -> dict[str, str]:
