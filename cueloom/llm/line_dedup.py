@@ -31,6 +31,7 @@ from .scratch import Scratch
 SPLIT = "[\\x20\\x09-\\x0D]+"
 LAST = (1 << 63) - 1
 FEW = 3
+MOST_BROADCAST = 500_000  # longs: 4 MB, some 20 MB as a hash table
 
 
 def _least_overlap(n: str, m: str, percent: int) -> str:
@@ -50,8 +51,9 @@ def _with_tokens(lines: DataFrame, counts: DataFrame, bucket_bits: int) -> DataF
     """lines with w, their distinct tokens as sorted longs: the class of rarity in the top bits, then 56 bits of the token's hash."""
     mask, low = (1 << bucket_bits) - 1, (1 << 56) - 1
     lines = lines.withColumn("_rank", counts.scalar())  # used once below, so the optimizer puts the scalar in its place
-    each = F.transform(F.split("line", SPLIT), lambda w: F.when(w != "", F.xxhash64(w)))
-    keyed = F.transform(F.array_compact(each), lambda h: F.get("_rank", h.bitwiseAND(F.lit(mask)).cast("int")).cast("long") * F.lit(1 << 56) + h.bitwiseAND(F.lit(low)))
+    bare = F.regexp_replace("line", "^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$", "")
+    words = F.when(bare != "", F.split(bare, SPLIT)).otherwise(F.array().cast("array<string>"))
+    keyed = F.transform(F.transform(words, lambda w: F.xxhash64(w)), lambda h: F.get("_rank", h.bitwiseAND(F.lit(mask)).cast("int")).cast("long") * F.lit(1 << 56) + h.bitwiseAND(F.lit(low)))
     return lines.select(*[c for c in lines.columns if c not in ("_rank", "line")], F.sort_array(F.array_distinct(keyed)).alias("w"))
 
 
@@ -113,10 +115,15 @@ def _removed_lines(docs: DataFrame, scratch: Scratch, percent: int, bucket_bits:
     return marked.unionByName(every.where("n = 0").select("d", "t", "p", F.lit(False).alias("removed")))
 
 
+def _only(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows with these d: by broadcast where there are few, else by a shuffle of both sides."""
+    return rows.join(F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids, "d", "left_semi")
+
+
 def _verified(pairs: DataFrame, rows: DataFrame, counts: DataFrame, percent: int, bucket_bits: int) -> DataFrame:
     """(d, p, k, late = true) of the sets b of pairs whose whole token sets are similar enough."""
     need = pairs.selectExpr("ad AS d", "ap AS p", "ak AS k").union(pairs.select("d", "p", "k")).distinct()
-    texts = rows.join(need.select("d").distinct(), "d", "left_semi")
+    texts = _only(rows, need.select("d").distinct())
     # whole sets of the lines in question only, from their texts
     lines = _lines(texts).join(need.select("d", "p").distinct(), ["d", "p"], "left_semi")
     whole = _with_tokens(lines, counts, bucket_bits).select("d", "p", F.xxhash64("w").alias("k"), "w").join(need, ["d", "p", "k"]).dropDuplicates(["d", "p", "k"])
