@@ -134,7 +134,7 @@ class Model:
 def train(texts: DataFrame, scratch: Scratch) -> Model:
     """texts: one string column. Counts every row."""
     bits = max(0, int(max(expected_words(texts.toDF("text")), 1)).bit_length() - SHARD)
-    words_uri, raw_uri, pairs_uri = (scratch.path(x) for x in ("words", "raw", "pairs"))
+    words_uri, raw_uri, pairs_uri = (scratch.path(f"model/{x}") for x in ("words", "raw", "pairs"))
     spark = scratch.spark
     parallel = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
 
@@ -172,7 +172,7 @@ def train(texts: DataFrame, scratch: Scratch) -> Model:
 
     made = texts.mapInArrow(count_words, "shard long, keys binary, counts binary").groupBy("shard").applyInArrow(add_words, "shard long, n long, tokens long, types long").collect()
     raw = SortedTable(raw_uri, bits, {r["shard"]: r["n"] for r in made}, [("c", "int64"), ("id", "uint32")])
-    scratch.publish([f"raw-{r['shard']}.bin" for r in made])
+    scratch.publish([f"model/raw-{r['shard']}.bin" for r in made])
     tokens, types = sum(r["tokens"] for r in made), sum(r["types"] for r in made)
 
     def count_pairs(batches):
@@ -253,7 +253,7 @@ def train(texts: DataFrame, scratch: Scratch) -> Model:
     d, e = _discounts(total[1:5]), _discounts(m[:4])
     spread = (e[0] * m[0] + e[1] * m[1] + e[2] * m[4]) / total[0] if total[0] else 1.0
     words = SortedTable(words_uri, bits, {s: x[0] for s, x in parts.items()}, WORD)
-    scratch.publish([f"words-{s}.bin" for s in words.sizes] + [f"pairs-{s}.bin" for s in pair_sizes])
+    scratch.publish([f"model/words-{s}.bin" for s in words.sizes] + [f"model/pairs-{s}.bin" for s in pair_sizes])
     return Model(words, SortedTable(pairs_uri, bits, pair_sizes, [("n", "uint32")]), tokens, types, d, e, total[0], spread)
 
 
@@ -274,4 +274,4 @@ def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
             yield pa.record_batch([batch.column(0), batch.column(1), *map(pa.array, columns)], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"])
 
     shape = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
-    return scratch.finish(docs.mapInArrow(score, shape))
+    return scratch.finish(docs.mapInArrow(score, shape), "model")

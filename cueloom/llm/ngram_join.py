@@ -133,7 +133,7 @@ def ngram_components(docs: DataFrame, k: int = 5, percent: int = 80, cells_per_s
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scratch = Scratch(docs.sparkSession, "ngram-join")
     sketch = CountMin.build(
-        scratch, "sketch", docs.select("text"), lambda b: (got for *_, got in shingle_sets(b.column(0), k)), expected_words(docs), cells_per_shingle
+        scratch, "sketch/s", docs.select("text"), lambda b: (got for *_, got in shingle_sets(b.column(0), k)), expected_words(docs), cells_per_shingle
     )
 
     def signatures(batches):

@@ -91,11 +91,15 @@ class Scratch:
 
 
 _maps: dict[str, np.ndarray] = {}
+_folder = [""]
 
 
 def mapped(uri: str, dtype, offset: int = 0, count: int | None = None) -> np.ndarray:
     """Memory-map a published file in a worker."""
-    key = f"{uri}:{dtype}:{offset}:{count}"
+    key, folder = f"{uri}:{dtype}:{offset}:{count}", uri.rsplit("/", 2)[0]
+    if folder != _folder[0]:  # another operator call: let go of the last one's files
+        _maps.clear()
+        _folder[0] = folder
     if key not in _maps:
         path = local_path(uri)
         if path is None:

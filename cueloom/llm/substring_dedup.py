@@ -53,7 +53,7 @@ def substring_dedup(docs: DataFrame, k: int = 13, cells_per_window: float = 4.0,
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scratch = Scratch(spark, "substring-dedup")
     sketch = CountMin.build(
-        scratch, "sketch", docs.select("text"), lambda b: (got for *_, got in _windows(b.column(0), k)), expected_words(docs), cells_per_window, bits=True
+        scratch, "sketch/s", docs.select("text"), lambda b: (got for *_, got in _windows(b.column(0), k)), expected_words(docs), cells_per_window, bits=True
     )
 
     def repeated(batches):
@@ -73,7 +73,7 @@ def substring_dedup(docs: DataFrame, k: int = 13, cells_per_window: float = 4.0,
     n = found.count()
     # two windows that share 64 bits but not 96 stay apart: the table's key takes both in
     keyed = found.select(F.xxhash64("h", "h2").alias("h"), "h2", "first")
-    table = SortedTable.build(scratch, "table", keyed, max(0, int(n).bit_length() - 19), [("h2", "int32"), ("first", "int64")])
+    table = SortedTable.build(scratch, "table/t", keyed, max(0, int(n).bit_length() - 19), [("h2", "int32"), ("first", "int64")])
     scratch.drop("repeats")
     from .xx64 import xxhash64_pair
 
