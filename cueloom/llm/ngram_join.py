@@ -207,10 +207,14 @@ def ngram_components(docs: DataFrame, k: int = 5, percent: int = 80, cells_per_s
     meet = sides.alias("a").join(sides.alias("b"), F.col("a.h") == F.col("b.h"))
     lengths = f"100 * a.most >= {percent} * b.n AND 100 * b.most >= {percent} * a.n"
     meet = meet.where(f"a.component < b.component AND {lengths} AND (a.c > 1 OR b.c > 1 OR ({_near('a', 'b', percent)}))")
-    meet = meet.select("a.h", F.col("a.component").alias("ca"), F.col("b.component").alias("cb"))
-    a = left.select("h", F.col("component").alias("ca"), F.struct("id", "n", "place", *PARITY).alias("a"))
-    b = left.select("h", F.col("component").alias("cb"), F.struct("id", "n", "place", *PARITY).alias("b"))
-    across = meet.join(a, ["h", "ca"]).join(b, ["h", "cb"]).where(_near("a", "b", percent)).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
+    meet = meet.select(F.col("a.component").alias("ca"), F.col("b.component").alias("cb")).distinct()
+    # each pair of components once: the members of the smaller come first, those of the larger meet them inside the join's condition
+    nodes = scratch.save(left.select("id", "component", "n", F.lit(0).alias("place"), *PARITY).distinct(), "nodes")
+    sizes = nodes.groupBy("component").agg(F.count("*").alias("c"))
+    meet = meet.join(sizes.select(F.col("component").alias("ca"), F.col("c").alias("na")), "ca").join(sizes.select(F.col("component").alias("cb"), F.col("c").alias("nb")), "cb")
+    meet = meet.selectExpr("IF(na <= nb, ca, cb) AS small", "IF(na <= nb, cb, ca) AS large")
+    few = meet.join(nodes.withColumnRenamed("component", "small"), "small").drop("small").alias("a")
+    across = few.join(nodes.alias("b"), F.expr(f"a.large = b.component AND {_near('a', 'b', percent)}")).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
     tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(tried, ["a", "b"], "left_anti").distinct()
     edges = edges.union(_verify(across, known, percent))
@@ -219,4 +223,4 @@ def ngram_components(docs: DataFrame, k: int = 5, percent: int = 80, cells_per_s
     final = scratch.save(components(scratch, edges.union(twice), "c2"), "final")
     out = own.select("doc_id", F.col("n").alias("n_shingles")).join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     out = out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
-    return scratch.finish(out, "signatures", "rows", "shared", "sets", "star", "first", "marked", "open", "sides", "final")
+    return scratch.finish(out, "signatures", "rows", "shared", "sets", "star", "first", "marked", "open", "sides", "nodes", "final")
