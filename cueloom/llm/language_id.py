@@ -6,8 +6,8 @@ language whose dictionary gives the fewest bytes wins. Where the saving over the
 runner-up is a smaller share than ``margin`` of the bytes, the text is rejected:
 ``accepted`` is false.
 
-The sample is the only bounded part: ``sample_rows`` rows a language, those of the
-smallest hash of the text, ``sample_chars`` characters of each spread over its length, at most
+The sample is the only bounded part: ``sample_rows`` distinct texts a language, those of the
+smallest hash, ``sample_chars`` characters of each spread over its length, at most
 ``dictionary_bytes`` bytes a language, at most ``most_languages`` languages.
 Predictions read whole texts.
 
@@ -43,15 +43,17 @@ def learn(
     step = F.greatest(F.lit(1), (F.length("text") - sample_chars / 3).cast("int") / 2).cast("int")
     third = sample_chars // 3
     some = F.concat_ws(" ", *(F.substring("text", 1 + i * step, F.lit(third)) for i in range(3)))
+    languages = rows.select("lang").distinct().limit(most_languages + 1).collect()
+    if len(languages) > most_languages:
+        raise ValueError(f"more than {most_languages} languages; raise most_languages")
     rows = rows.select("lang", F.xxhash64("text").alias("h"), F.when(F.length("text") <= sample_chars, F.col("text")).otherwise(some).alias("part"))
+    # copies count once, whatever their number; they are combined before they travel
+    rows = rows.groupBy("lang", "h").agg(F.min("part").alias("part"))
     # each task keeps its own smallest hashes first, so that no task reads all rows of a language
     near = Window.partitionBy("lang", "s").orderBy("h", "part")
     far = Window.partitionBy("lang").orderBy("h", "part")
     rows = rows.withColumn("s", F.pmod("h", F.lit(64))).withColumn("r", F.row_number().over(near)).where(F.col("r") <= sample_rows)
     rows = rows.withColumn("r", F.row_number().over(far)).where(F.col("r") <= sample_rows)
-    languages = rows.select("lang").distinct().orderBy("lang").limit(most_languages + 1).collect()
-    if len(languages) > most_languages:
-        raise ValueError(f"more than {most_languages} languages; raise most_languages")
     got: dict[str, list[str]] = {}
     for r in rows.orderBy("lang", "r").select("lang", "part").collect():
         got.setdefault(r["lang"], []).append(r["part"])
@@ -66,9 +68,8 @@ class Classifier:
 
         self.languages = sorted(dictionaries)
         self.encoders = []
-        size = min((len(x) for x in dictionaries.values()), default=0)  # alike, else a longer one has an edge
-        for lang in self.languages:
-            d = zstandard.ZstdCompressionDict(dictionaries[lang][: max(size, 1 << 12)], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        for lang in self.languages:  # each at its own size: a rare language does not shorten the others
+            d = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             d.precompute_compress(level)
             self.encoders.append(zstandard.ZstdCompressor(level=level, dict_data=d, write_content_size=False, write_checksum=False).compress)
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cueloom.llm.kneser_ney import _discounts, score_documents
-from cueloom.llm.language_id import identify, keep_identified, learn
+from cueloom.llm.language_id import Classifier, identify, keep_identified, learn
 from cueloom.llm.packing import pack_documents, plan
 
 VOWELS = {"aa": "aeo", "bb": "uiy", "cc": "öäü"}
@@ -41,6 +41,19 @@ def test_language_id_edges(labelled, empty):
     assert kept.columns == labelled.columns and kept.where("doc_id < 1000").count() == 300
 
 
+def test_language_samples_are_distinct_texts_at_their_own_size(spark):
+    rng = random.Random(9)
+    texts = [" ".join("".join(rng.choice("abcdefghiklmnoprstu") for _ in range(5)) for _ in range(60)) for _ in range(300)]
+    first = spark.createDataFrame([(t,) for t in texts], "t string").orderBy(F.xxhash64("t")).first().t
+    rows = [(t, "aa") for t in texts] + [(first, "aa")] * 400 + [("uno dos", "zz")]
+    made = learn(spark.createDataFrame(rows, "text string, lang string").repartition(3), F.lit(True))
+    parts = made["aa"].decode().split("\n")
+    assert len(set(parts)) == len(parts) > 150 and len(made["aa"]) > 50_000
+    # a text whose only like lies beyond the first 4 KiB, where the rare language's size would cut
+    got = Classifier(made)
+    assert got.sizes(parts[-2])[0] < got.sizes(parts[-2])[1] / 2
+
+
 def words_of(text):
     return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode().split()
 
