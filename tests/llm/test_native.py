@@ -60,3 +60,60 @@ def test_license_scan(spark, empty):
     got = [(r.doc_id, r.licenses, r.versions, r.n_known) for r in license_scan(spark.createDataFrame([(i, t, "q") for i, t in rows], "doc_id long, text string, found string")).collect()]
     assert got == [(1, "MIT", "", 1), (2, "Apache", "2.0", 1), (3, "GPL", "3", 1), (4, "CC", "4.0", 1), (5, "Proprietary", "", 2), (6, "BSD-3-Clause", "", 4), (7, "", "", 0), (8, "", "", 0), (8, "", "", 0), (None, "MIT,CC", "4.0", 3)]
     assert license_scan(empty).count() == 0
+
+
+MIT = """MIT License
+
+Copyright (c) 2021 Jane Roe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright
+   notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above
+   copyright notice, this list of conditions and the following disclaimer.
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.
+"""
+GPL = """ * This program is free software%s you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version %s of the License, or
+ * (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY.
+"""
+
+
+def test_license_scan_wrapped_notices(spark):
+    texts = [
+        (MIT, "MIT", "", "Copyright;MitGrant;MitCondition;AsIs"),
+        (MIT.replace("\n", "\r\n"), "MIT", "", "Copyright;MitGrant;MitCondition;AsIs"),
+        (BSD, "BSD-3-Clause", "", "BsdGrant;BsdSource;BsdBinary;BsdEndorse;AsIs"),
+        (GPL % (":", "3"), "GPL", "3", "GplGrant;GplAsIs"),
+        (GPL % (";", "2"), "GPL", "2", "GplGrant;GplAsIs"),
+        ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License.", "GPL", "", "GplGrant"),
+        ("This project is licensed under the MIT License.", "MIT", "", "MitName"),
+        ("All code here is released under the\nMIT License - see LICENSE.md", "MIT", "", "MitName"),
+        ("Title without a stop\nCopyright 2020 A\nReleased under the MIT License\nmore prose here", "MIT", "", "Copyright;MitName"),
+        ("Copyright 2020 A\nAll rights reserved", "Proprietary", "", "Copyright;Reserved"),
+        ("It is not licensed under the MIT License.", "", "", ""),
+    ]
+    rows = spark.createDataFrame([(i, t[0]) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: (r.licenses, r.versions, r.sentence_ids) for r in license_scan(rows).collect()}
+    assert [got[i] for i in range(len(texts))] == [t[1:] for t in texts]
