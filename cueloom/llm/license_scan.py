@@ -59,7 +59,7 @@ RULES = (
     ("Proprietary", r"(Copyright;)?Reserved;"),
 )
 # Every known sentence has one of these in it.
-TRIGGERS = r"(?i)licen[cs]|permi(ssion|tted)|warrant|redistribut|copyright|all\s+rights|software|endorse"
+TRIGGERS = r"(?i)licen[cs]|permi(ssion|tted)|warrant|redistribut|copyright|all\W+rights|software|endorse|creative\W+commons|under\W+((a|the)\W+)?cc\b"
 VERSION = r"(?:licen[cs]e|version|by(?: nc)?(?: sa| nd)?|attribution) (?:version )?([0-9]+(?:\.[0-9]+)*)"
 
 

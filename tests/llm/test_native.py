@@ -1,6 +1,6 @@
 import pytest
 
-from cueloom.llm.license_scan import license_scan
+from cueloom.llm.license_scan import SENTENCES, license_scan
 from cueloom.llm.line_dedup import dedup_lines
 
 
@@ -117,3 +117,34 @@ def test_license_scan_wrapped_notices(spark):
     rows = spark.createDataFrame([(i, t[0]) for i, t in enumerate(texts)], "doc_id long, text string")
     got = {r.doc_id: (r.licenses, r.versions, r.sentence_ids) for r in license_scan(rows).collect()}
     assert [got[i] for i in range(len(texts))] == [t[1:] for t in texts]
+
+
+def test_license_scan_examples_of_every_sentence_pass_the_prefilter(spark):
+    examples = [
+        ("MitName", "Available under the MIT Licence"),
+        ("MitGrant", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
+        ("MitCondition", "The above copyright notice and this permission notice shall be included in all copies"),
+        ("AsIs", "The software is provided as is, without warranty"),
+        ("ApacheName", "Licensed under the Apache License, Version 2.0"),
+        ("ApacheCondition", "You may not use this file except in compliance with the License"),
+        ("ApacheAsIs", "Unless required by applicable law or agreed to in writing, software distributed under the License is free"),
+        ("GplName", "Distributed under the GNU General Public License"),
+        ("GplGrant", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
+        ("GplAsIs", "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY"),
+        ("LgplName", "the GNU Lesser General Public Licence"),
+        ("AgplName", "the GNU Affero General Public License"),
+        ("MplName", "the Mozilla Public License"),
+        ("CcName", "Released under CC BY-SA 4.0."),
+        ("CcName", "Available under Creative Commons Attribution 4.0"),
+        ("CcName", "This work is released under the\n * CC BY 4.0"),
+        ("CcName", "Available under a Creative\nCommons Zero"),
+        ("BsdGrant", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
+        ("BsdSource", "Redistributions of source code must retain the above copyright notice"),
+        ("BsdBinary", "Redistributions in binary form must reproduce the above copyright notice"),
+        ("BsdEndorse", "Neither the name of X nor the names of its contributors may be used to endorse"),
+        ("Reserved", "All\n * rights reserved"),
+        ("Copyright", "Copyright 2020 X"),
+    ]
+    assert {x for x, _ in examples} == {name for name, _ in SENTENCES}
+    got = {r.doc_id: r.sentence_ids for r in license_scan(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(examples)], "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(examples))] == [x for x, _ in examples]
