@@ -1,18 +1,24 @@
 """Interpolated modified Kneser-Ney word model, counted in Spark and mapped by workers.
 
-Order 2. Words and their bigrams are counted as sorted arrays: a map task sends,
+Any order from 2. Words and their n-grams are counted as sorted arrays: a map task sends,
 for each shard of the hash range, the distinct entries it met with their counts;
 a shard's task adds them up. Nothing passes through the driver but the number of
 entries a shard and the counts of counts, and no shard holds more than its share, as
 entries are dealt by a hash of their own. The model is two families of files in
 the shared folder: words (hash, count, context total, how many follow once,
-twice, more often, how many precede) and bigrams (hash, count). Workers map them
-and read the pages they touch.
+twice, more often, how many precede) and bigrams (hash, count). Beyond order 2 each
+length k has two more: k-grams (hash, count) and their contexts (hash, total, how many
+follow once, twice, more often). Workers map them and read the pages they touch.
 
     P(w|v) = max(c(vw) - D(c), 0) / c(v.) + (D1 N1(v) + D2 N2(v) + D3 N3(v)) / c(v.) * P(w)
     P(w)   = max(N(.w) - E(N), 0) / N(..) + (E1 M1 + E2 M2 + E3 M3) / N(..) / (V + 1)
 
-After an unknown word, P(w) alone. D and E are the usual estimates from counts of
+Longer contexts go on in the same way: P(w|uv) is what c(uvw) leaves after discounts,
+and its gamma(uv) times P(w|v). Below the highest order, c is the number of distinct words
+before, or the plain count where the n-gram begins the text. k-grams are told apart by
+64-bit hashes of their words.
+
+After an unknown word, P(w) alone; an unseen longer context leaves P as it is. D and E are the usual estimates from counts of
 counts, kept within 0 and the count they belong to.
 
 A text is its words (A-Z lower-cased) and one end. Null text counts as empty: the
@@ -36,6 +42,9 @@ END, START = (np.uint64(x) for x in (0x656E645F6F665F74, 0x73746172745F6F66))
 FLUSH = 3 << 20
 SHARD = 22
 U = np.uint64
+GOLDEN = U(0x9E3779B97F4A7C15)
+CONTEXT = [("total", "int64"), ("n1", "uint32"), ("n2", "uint32"), ("n3", "uint32")]
+ROW = "level long, shard long, keys binary, counts binary, info array<long>"
 WORD = [("c", "int64"), ("context", "int64"), ("n1", "uint32"), ("n2", "uint32"), ("n3", "uint32"), ("before", "uint32"), ("id", "uint32")]
 
 
@@ -65,6 +74,53 @@ def _sum(keys: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
     return keys[first], *(np.add.reduceat(c[order].astype(np.int64), first) if len(first) else c.astype(np.int64) for c in counts)
 
 
+def _context(ids: list[np.ndarray]) -> np.ndarray:
+    """Hash of two words or more."""
+    key = mix(ids[0].astype(np.uint64) << U(32) | ids[1].astype(np.uint64))
+    for x in ids[2:]:
+        key = mix(key + GOLDEN * (x.astype(np.uint64) + U(1)))
+    return key
+
+
+def _gram(context: np.ndarray, last: np.ndarray, bits: int) -> np.ndarray:
+    """Hash of an n-gram, in the shard of its context."""
+    key = mix(context + GOLDEN * (last.astype(np.uint64) + U(1)))
+    return context >> U(64 - bits) << U(64 - bits) | key >> U(bits) if bits else key
+
+
+def _sum_grams(ids: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct n-grams in order of their words, and the sums of their counts."""
+    order = np.lexsort(ids[::-1])
+    ids = [x[order] for x in ids]
+    first = np.flatnonzero(_changes(ids))
+    return [x[first] for x in ids], np.add.reduceat(counts[order].astype(np.int64), first) if len(first) else counts.astype(np.int64)
+
+
+def _changes(ids: list[np.ndarray]) -> np.ndarray:
+    new = np.zeros(len(ids[0]), bool)
+    new[:1] = True
+    for x in ids:
+        new[1:] |= x[1:] != x[:-1]
+    return new
+
+
+def _rows(ids: list[np.ndarray], counts: np.ndarray, bits: int) -> list[tuple]:
+    """Rows of ROW: the distinct n-grams for each shard of contexts; of bigrams, the sorted mixed pairs for each shard of their own."""
+    if len(ids) == 2:
+        keys, counts = _sum(_context(ids), counts)
+        return [(2, s, _pack(keys[a:b]), _pack(counts[a:b].astype(np.uint32), counts), []) for s, a, b in _parts(keys, bits)]
+    ids, counts = _sum_grams(ids, counts)
+    context = _context(ids[:-1])
+    order = np.argsort(SortedTable.shard(context, bits), kind="stable")
+    ids, counts = [x[order].astype(np.uint32) for x in ids], counts[order].astype(np.uint32)
+    return [(len(ids), s, _pack(np.concatenate([x[a:b] for x in ids]), counts), _pack(counts[a:b], counts), []) for s, a, b in _parts(context[order], bits)]
+
+
+def _table(rows: list[tuple]) -> pa.Table:
+    types = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
+    return pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate(zip(("level", "shard", "keys", "counts", "info"), types, strict=True))})
+
+
 def _sentences(texts: pa.Array):
     """(first row, tokens of each row with START before and END after, all hashes) of runs of rows."""
     for row, counts, h in streams(texts, lower=True):
@@ -93,6 +149,7 @@ class Model:
     def __init__(self, words: SortedTable, bigrams: SortedTable, tokens: int, types: int, d, e, pairs: int, spread: float):
         self.words, self.bigrams, self.tokens, self.types = words, bigrams, tokens, types
         self.d, self.e, self.pairs, self.spread = d, e, pairs, spread
+        self.longer: list[tuple[int, SortedTable, SortedTable, tuple]] = []  # length, its n-grams, their contexts, discounts
 
     def score(self, texts: pa.Array) -> list[np.ndarray]:
         """For each row: tokens, known tokens, base log10 probability, model log10 probability."""
@@ -123,6 +180,27 @@ class Model:
                 gamma = (d[1] * v["n1"][before] + d[2] * v["n2"][before] + d[3] * v["n3"][before]) / context
                 p = np.maximum(seen - d[np.minimum(seen, 3)], 0) / context + gamma * lower
             p = np.where(context > 0, p, lower)
+            ids, known = v["id"][at], there[at]
+            place = now - np.repeat(ends - sizes, sizes - 1)
+            for k, grams, contexts, discounts in self.longer:
+                some = place >= k - 1
+                for j in range(1, k):
+                    some[some] = known[now[some] - j]
+                some = np.flatnonzero(some)
+                if not len(some):
+                    continue
+                dk = np.array([0.0, *discounts])
+                key = _context([ids[now[some] - j] for j in range(k - 1, 0, -1)])
+                kind, back = np.unique(key, return_inverse=True)
+                c_of = {name: x[back] for name, x in contexts.find(kind)[1].items()}
+                met = c_of["total"] > 0
+                some, key, c_of = some[met], key[met], {name: x[met] for name, x in c_of.items()}
+                seen = np.zeros(len(some), np.int64)
+                there_w = known[now[some]]
+                kind, back = np.unique(_gram(key[there_w], ids[now[some[there_w]]], grams.bits), return_inverse=True)
+                seen[there_w] = grams.find(kind)[1]["n"][back]
+                gamma = dk[1] * c_of["n1"] + dk[2] * c_of["n2"] + dk[3] * c_of["n3"]
+                p[some] = (np.maximum(seen - dk[np.minimum(seen, 3)], 0) + gamma * p[some]) / c_of["total"]
             base = np.log10((c + 0.1) / (self.tokens + 0.1 * (self.types + 1)))
             first = ends - sizes - np.arange(len(sizes))
             out[0].append(sizes - 1)
@@ -131,11 +209,13 @@ class Model:
         return [np.concatenate(x) if x else np.zeros(0) for x in out]
 
 
-def train(texts: DataFrame, scratch: Scratch) -> Model:
+def train(texts: DataFrame, scratch: Scratch, order: int = 2) -> Model:
     """texts: one string column. Counts every row."""
+    if order < 2:
+        raise ValueError("order must be 2 at least")
     bits = max(0, int(max(expected_words(texts.toDF("text")), 1)).bit_length() - SHARD)
     words_uri, raw_uri, pairs_uri = (scratch.path(f"model/{x}") for x in ("words", "raw", "pairs"))
-    spark = scratch.spark
+    spark, model_uri = scratch.spark, scratch.path("model")
     parallel = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
 
     def count_words(batches):
@@ -204,8 +284,62 @@ def train(texts: DataFrame, scratch: Scratch) -> Model:
         if n:
             yield emit()
 
+    def count_grams(batches):
+        held, starts, n = [], [], 0
+
+        def emit():
+            h, start = np.concatenate(held), np.concatenate(starts)
+            kinds, at = np.unique(h, return_inverse=True)
+            ids, i = raw.find(kinds)[1]["id"][at], np.arange(len(h))
+            place = i - np.maximum.accumulate(np.where(start, i, 0))
+            rows = []
+            for k in range(2, order + 1):  # shorter ones only where they begin the text
+                to = np.flatnonzero(place >= k - 1 if k == order else place == k - 1)
+                if len(to):
+                    rows += _rows([ids[to - j] for j in range(k - 1, -1, -1)], np.ones(len(to), np.int64), bits)
+            return _table(rows).combine_chunks().to_batches()
+
+        for batch in batches:
+            for _, sizes, h in _sentences(batch.column(0)):
+                start = np.zeros(len(h), bool)
+                start[np.cumsum(sizes) - sizes] = True
+                held.append(h)
+                starts.append(start)
+                n += len(h)
+                if n >= FLUSH:
+                    yield from emit()
+                    held, starts, n = [], [], 0
+        if n:
+            yield from emit()
+
+    def add_grams(k: int):
+        def add(group: pa.Table) -> pa.Table:
+            if group["level"][0].as_py() != k:
+                return group
+            shard = group["shard"][0].as_py()
+            got = [_unpack(x.as_py(), np.uint32, False).reshape(k, -1) for x in group["keys"]]
+            counts = np.concatenate([_unpack(x.as_py(), np.uint32, False) for x in group["counts"]])
+            ids, counts = _sum_grams([np.concatenate([x[j] for x in got]) for j in range(k)], counts)
+            del got
+            first = np.flatnonzero(_changes(ids[:-1]))
+            context = _context([x[first] for x in ids[:-1]])
+            one, two = counts == 1, counts == 2
+            columns = [np.add.reduceat(x.astype(np.int64), first) for x in (counts, one, two, ~(one | two))]
+            by = np.argsort(context)
+            write_array(f"{model_uri}/contexts{k}-{shard}.bin", context[by], *(x[by].astype(t) for x, (_, t) in zip(columns, CONTEXT, strict=True)))
+            keys = _gram(np.repeat(context, np.diff(np.append(first, len(counts)))), ids[-1], bits)
+            by = np.argsort(keys)
+            write_array(f"{model_uri}/grams{k}-{shard}.bin", keys[by], counts[by].astype(np.uint32))
+            info = [shard, len(counts), len(first), *(int((counts == x).sum()) for x in (1, 2, 3, 4))]
+            return _table([*_rows(ids[1:], np.ones(len(counts), np.int64), bits), (0, -k, b"", b"", info)])
+
+        return add
+
     def add_pairs(group: pa.Table) -> pa.Table:
         shard = group["shard"][0].as_py()
+        if shard < 0:  # sizes of longer n-grams
+            n = len(group)
+            return pa.table({"shard": group["shard"], "keys": group["keys"], "counts": pa.array([[]] * n, pa.list_(pa.binary())), "info": group["info"], "source": pa.array([0] * n, pa.int64())})
         keys = np.concatenate([_unpack(x.as_py(), np.uint64) for x in group["keys"]])
         counts = np.concatenate([_unpack(x.as_py(), np.uint32, False) for x in group["counts"]])
         keys, counts = _sum(keys, counts)
@@ -226,6 +360,8 @@ def train(texts: DataFrame, scratch: Scratch) -> Model:
 
     def close(group: pa.Table) -> pa.Table:
         shard = group["shard"][0].as_py()
+        if shard < -1:
+            return pa.table({"shard": pa.array([shard], pa.int64()), "info": pa.array([[v for x in group["info"].to_pylist() for v in x]], pa.list_(pa.int64()))})
         if shard < 0:  # one row a shard of pairs
             info = np.array(group["info"].to_pylist(), np.int64).sum(axis=0)
             sizes = {"source": group["source"].to_pylist(), "n": [x[0] for x in group["info"].to_pylist()]}
@@ -243,28 +379,42 @@ def train(texts: DataFrame, scratch: Scratch) -> Model:
         write_array(f"{words_uri}-{shard}.bin", h, *(x.astype(t) for x, (_, t) in zip([c, *columns, ids], WORD, strict=True)))
         return pa.table({"shard": pa.array([shard], pa.int64()), "info": pa.array([[n, *(int((columns[4] == k).sum()) for k in (1, 2, 3, 4)), int((columns[4] > 2).sum())]], pa.list_(pa.int64()))})
 
-    added = texts.mapInArrow(count_pairs, "shard long, keys binary, counts binary").repartition(parallel, "shard").groupBy("shard")
+    if order == 2:
+        counted = texts.mapInArrow(count_pairs, "shard long, keys binary, counts binary")
+    else:
+        counted = texts.mapInArrow(count_grams, ROW)
+        for k in range(order, 2, -1):
+            counted = counted.repartition(parallel, "level", "shard").groupBy("level", "shard").applyInArrow(add_grams(k), ROW)
+    added = counted.repartition(parallel, "shard").groupBy("shard")
     added = added.applyInArrow(add_pairs, "shard long, keys binary, counts array<binary>, info array<long>, source long")
     done = added.groupBy("shard").applyInArrow(close, "shard long, info array<long>").collect()
     parts = {r["shard"]: r["info"] for r in done}
     total = parts.pop(-1, [0] * 5)
+    longer = {k: np.array(parts.pop(-k, []), np.int64).reshape(-1, 7) for k in range(3, order + 1)}
     pair_sizes = dict(zip(total[5::2], total[6::2], strict=True))
     m = [sum(x[k] for x in parts.values()) for k in range(1, 6)]
     d, e = _discounts(total[1:5]), _discounts(m[:4])
     spread = (e[0] * m[0] + e[1] * m[1] + e[2] * m[4]) / total[0] if total[0] else 1.0
     words = SortedTable(words_uri, bits, {s: x[0] for s, x in parts.items()}, WORD)
     scratch.publish([f"model/words-{s}.bin" for s in words.sizes] + [f"model/pairs-{s}.bin" for s in pair_sizes])
-    return Model(words, SortedTable(pairs_uri, bits, pair_sizes, [("n", "uint32")]), tokens, types, d, e, total[0], spread)
+    model = Model(words, SortedTable(pairs_uri, bits, pair_sizes, [("n", "uint32")]), tokens, types, d, e, total[0], spread)
+    for k, info in longer.items():
+        tables = []
+        for name, column, values in (("grams", 1, [("n", "uint32")]), ("contexts", 2, CONTEXT)):
+            tables.append(SortedTable(scratch.path(f"model/{name}{k}"), bits, dict(zip(info[:, 0].tolist(), info[:, column].tolist(), strict=True)), values))
+            scratch.publish([f"model/{name}{k}-{s}.bin" for s in tables[-1].sizes])
+        model.longer.append((k, *tables, _discounts(info[:, 3:].sum(axis=0).tolist())))
+    return model
 
 
-def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
+def score_documents(docs: DataFrame, held_out: Column, order: int = 2) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity.
 
     The model learns from the documents of which held_out is false (null counts as false).
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col("text").cast("string").alias("text"))
     scratch = Scratch(docs.sparkSession, "kneser-ney")
-    model = train(docs.where("NOT held_out").select("text"), scratch)
+    model = train(docs.where("NOT held_out").select("text"), scratch, order)
 
     def score(batches):
         for batch in batches:

@@ -49,7 +49,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .kneser_ney import score_documents
 
-    return score_documents(_documents(spark, sf_dir), F.crc32(F.col("doc_id").cast("string")) % 10 == 0)
+    return score_documents(_documents(spark, sf_dir), F.crc32(F.col("doc_id").cast("string")) % 10 == 0, order=3)
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

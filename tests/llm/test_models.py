@@ -99,6 +99,55 @@ def test_kneser_ney_equals_brute_force(docs, texts):
         assert r.score == pytest.approx(sum(math.log10(p(a, w)) for a, w in zip(s, s[1:], strict=False)), rel=1e-9)
 
 
+@pytest.mark.parametrize("order", [3, 4])
+def test_kneser_ney_of_higher_order_equals_brute_force(docs, texts, order):
+    held = {d for d, _ in texts if zlib.crc32(str(d).encode()) % 10 == 0}
+    counts = [Counter() for _ in range(order + 1)]
+    for d, t in texts:
+        if d not in held:
+            s = [0, *words_of(t), 1]
+            counts[1].update((w,) for w in s[1:])
+            for k in range(2, order + 1):
+                grams = [tuple(s[i : i + k]) for i in range(len(s) - k + 1)]
+                counts[k].update(grams if k == order else grams[:1])
+    raw, total, kinds = counts[1], sum(counts[1].values()), len(counts[1])
+    for k in range(order - 1, 1, -1):
+        counts[k].update(g[1:] for g in counts[k + 1])
+    counts[1] = Counter(g[1:] for g in counts[2])
+    d = [(0, *_discounts([sum(n == i for n in c.values()) for i in (1, 2, 3, 4)])) for c in counts]
+    spread = sum(d[1][min(n, 3)] for n in counts[1].values()) / len(counts[2])
+    follow = defaultdict(list)
+    for c in counts[2:]:
+        for g, n in c.items():
+            follow[g[:-1]].append(n)
+
+    def p(context, w):
+        if not context:
+            n = counts[1][w,]
+            return max(n - d[1][min(n, 3)], 0) / len(counts[2]) + spread / (kinds + 1)
+        below, after, own = p(context[1:], w), follow.get(context), d[len(context) + 1]
+        if not after:
+            return below
+        n = counts[len(context) + 1][(*context, w)]
+        return (max(n - own[min(n, 3)], 0) + sum(own[min(x, 3)] for x in after) * below) / sum(after)
+
+    some = max(counts[order], key=counts[order].get)[:-1]
+    assert sum(p(some, w) for (w,) in raw) + p(some, "unknown") == pytest.approx(1)
+    got = {r.doc_id: r for r in score_documents(docs, F.crc32(F.col("doc_id").cast("string")) % 10 == 0, order).collect()}
+    for i, t in texts:
+        s = [0, *words_of(t), 1]
+        r = got[i]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (i in held, len(s) - 1, sum(raw[w,] > 0 for w in s[1:]), total)
+        assert r.score == pytest.approx(sum(math.log10(p(tuple(s[max(0, j - order + 1) : j]), s[j])) for j in range(1, len(s))), rel=1e-9)
+
+
+def test_kneser_ney_of_higher_order_edges(spark, empty):
+    assert score_documents(empty, F.lit(False), 3).count() == 0
+    rows = spark.createDataFrame([(1, None), (1, None), (None, "x")], "doc_id long, text string")
+    for held_out in (True, False):
+        assert {r.n_tokens for r in score_documents(rows, F.lit(held_out), 3).collect()} == {1, 2}
+
+
 def test_kneser_ney_edges(spark, empty):
     assert score_documents(empty, F.lit(False)).count() == 0
     rows = spark.createDataFrame([(1, None), (1, None), (None, "x")], "doc_id long, text string")
