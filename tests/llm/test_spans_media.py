@@ -36,6 +36,25 @@ def test_base_spans_equal_the_patterns():
         assert got == base_spans(text), text
 
 
+def test_pii_ibans_without_cue_and_any_case():
+    finder = Finder()
+
+    def found(text):
+        return [(k, text[a:b]) for a, k, b in finder.spans(text) if k not in PATTERNS]
+
+    gb = "GB82 WEST 1234 5698 7654 32"
+    assert found(f"Pay to {gb} please") == [("iban", gb)]
+    assert found(f"IBAN {gb} Please pay") == found(f"{gb} Please") == found(f"Iban: {gb} 7 times") == [("iban", gb)]
+    assert found("DE89370400440532013000, now") == [("iban", "DE89370400440532013000")]
+    assert found("NO93 8601 1117 947 X") == [("iban", "NO93 8601 1117 947")]
+    assert found("Pay GB82 WEST 1234 5698 7654 33") == found("XGB82WEST12345698765432") == found("GB82WEST123456987654321") == []
+    secret = "a1b2c3d4e5f6a7b8c9"
+    for cue in ("API_KEY = ", "PASSWORD=", "Token: ", "token = "):
+        assert found(cue + secret) == [("secret", secret)]
+    assert found("HTTPS://Host.example/X y") == [("url", "HTTPS://Host.example/X")]
+    assert found(f"\u0130 Token: {secret} \u0130 {gb}") == [("secret", secret), ("iban", gb)]
+
+
 def test_pii_query_shape(docs, spark, empty):
     rows = [(1, "mail a.b@c.example.org or +1 (415) 555-2671."), (2, 'token = "1eb9c654e721b4f812088970e66a6345cee33dd6"'), (3, None), (3, ""), (None, "IBAN GB82 WEST 1234 5698 7654 32 see https://u:p@h.example/x")]
     got = {(r.doc_id, r.n_email, r.n_phone): r for r in find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
