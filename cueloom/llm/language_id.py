@@ -11,8 +11,12 @@ smallest hash, ``sample_chars`` characters of each spread over its length, at mo
 ``dictionary_bytes`` bytes a language, at most ``most_languages`` languages.
 Predictions read whole texts.
 
+Whole bytes do not tell short texts apart. Where the fewest bytes are alike and the
+text is so short that one byte is more than the margin, the tied languages are measured
+in bits, under character trigrams of the same dictionaries; a saving under one bit is none.
+
 Null text, or one without a letter, is ``und`` with score 0 and not accepted.
-Ties go to the language first in order of name. Null ``lang`` is never learned
+Ties that are left go to the language first in order of name. Null ``lang`` is never learned
 from. Without any labelled row all is ``und``.
 """
 
@@ -21,11 +25,14 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PIECE = 1 << 12
+MARGIN = 0.002
+SHORT = int(1 / MARGIN)
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -60,6 +67,31 @@ def learn(
     return {lang: "\n".join(dict.fromkeys(parts)).encode()[:dictionary_bytes] for lang, parts in got.items()}
 
 
+class Bits:
+    """Code length of short texts under the character trigrams of a dictionary, backed off to bigrams and single bytes."""
+
+    def __init__(self, dictionary: bytes):
+        a, b, c = self._codes(dictionary)
+        self.one = np.bincount(c, minlength=1 << 8)
+        self.two = np.bincount(b << 8 | c, minlength=1 << 16)
+        self.three, self.n = np.unique(a << 16 | b << 8 | c, return_counts=True)
+
+    @staticmethod
+    def _codes(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        x = np.frombuffer(b"  " + data + b" ", np.uint8).astype(np.int64)
+        return x[:-2], x[1:-1], x[2:]
+
+    def __call__(self, data: bytes) -> float:
+        a, b, c = self._codes(data)
+        key = a << 16 | b << 8 | c
+        at = np.minimum(np.searchsorted(self.three, key), len(self.three) - 1)
+        seen = np.where(self.three[at] == key, self.n[at], 0)
+        p = (self.one[c] + 1) / (self.one.sum() + 256)
+        p = (self.two[b << 8 | c] + 8 * p) / (self.one[b] + 8)
+        p = (seen + 8 * p) / (self.two[a << 8 | b] + 8)
+        return float(-np.log2(p).sum())
+
+
 class Classifier:
     """Per-language compressors; built once in each worker."""
 
@@ -67,6 +99,7 @@ class Classifier:
         import zstandard
 
         self.languages = sorted(dictionaries)
+        self.bits = [Bits(dictionaries[lang]) for lang in self.languages]
         self.encoders = []
         for lang in self.languages:  # each at its own size: a rare language does not shorten the others
             d = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -79,16 +112,21 @@ class Classifier:
         return [sum(len(encode(x)) for x in pieces) for encode in self.encoders]
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        """The language and the winner's saving over the runner-up, as a share of the runner-up's bytes (1: no other language)."""
+        """The language and the winner's saving over the runner-up, as a share of the runner-up's bytes, or bits in short ties (1: no other language)."""
         if text is None or not self.encoders or not _LETTER.search(text):
             return "und", 0.0
         sizes = self.sizes(text)
         best = min(range(len(sizes)), key=lambda i: (sizes[i], i))
+        tied = [i for i, s in enumerate(sizes) if s == sizes[best]]
+        data = text.encode()
+        if len(tied) > 1 and len(data) < SHORT:
+            (least, best), (rest, _) = sorted((self.bits[i](data), i) for i in tied)[:2]
+            return self.languages[best], (rest - least) / rest if rest - least >= 1 else 0.0
         rest = min((s for i, s in enumerate(sizes) if i != best), default=None)
         return self.languages[best], 1.0 if rest is None else (rest - sizes[best]) / rest
 
 
-def identify(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = 0.0) -> DataFrame:
+def identify(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MARGIN) -> DataFrame:
     """docs with lang_pred, score and accepted appended; columns of these names are replaced."""
     docs = docs.drop("lang_pred", "score", "accepted")
     model: list[Classifier] = []
@@ -109,7 +147,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = 0.
     return docs.withColumn("accepted", (F.col("lang_pred") != "und") & (F.col("score") >= margin))
 
 
-def keep_identified(docs: DataFrame, train: Column | None = None, margin: float = 0.002) -> DataFrame:
+def keep_identified(docs: DataFrame, train: Column | None = None, margin: float = MARGIN) -> DataFrame:
     """The rows whose language is identified, with the columns of docs."""
     dictionaries = learn(docs, F.lit(True) if train is None else train)
     names = docs.columns

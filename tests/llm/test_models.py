@@ -54,6 +54,19 @@ def test_language_samples_are_distinct_texts_at_their_own_size(spark):
     assert got.sizes(parts[-2])[0] < got.sizes(parts[-2])[1] / 2
 
 
+def test_language_id_margin_and_short_texts(spark):
+    rng = random.Random(4)
+    lexicon = {lang: ["".join(rng.choice("bdfgklmnprst") + rng.choice(v) for _ in range(2)) for _ in range(60)] for lang, v in VOWELS.items()}
+    rows = [(" ".join(rng.choices(words, k=40)), lang) for lang, words in lexicon.items() for _ in range(40)]
+    made = learn(spark.createDataFrame(rows, "text string, lang string"), F.lit(True))
+    short = [(w, lang) for lang, words in lexicon.items() for w in words[:15]]
+    got = identify(spark.createDataFrame(short, "text string, want string"), made)
+    assert got.where("accepted AND lang_pred = want").count() == len(short)
+    # two languages that nothing tells apart: no text is accepted
+    twins = identify(spark.createDataFrame([("bada",), (rows[0][0],), (rows[0][0] * 20,)], "text string"), {"aa": made["aa"], "ab": made["aa"]})
+    assert [(r.lang_pred, r.score, r.accepted) for r in twins.collect()] == [("aa", 0.0, False)] * 3
+
+
 def words_of(text):
     return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode().split()
 
