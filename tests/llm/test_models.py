@@ -214,6 +214,34 @@ def test_packing_special_texts(spark, empty):
     assert pack_documents(empty, path).count() == 0
 
 
+def brute_plan(counts, capacity):
+    """Piece by piece: the open gap of the least change in the sum of squares, the smallest of equals."""
+    gaps, bins, done = Counter(), defaultdict(list), Counter()
+    for size in sorted(counts, reverse=True):
+        for _ in range(counts[size]):
+            room = [g for g in sorted(gaps) if g >= size and gaps[g]]
+            g = min(room, key=lambda g: (2 * (gaps[g - size] - gaps[g]) + 2 if g > size else 1 - 2 * gaps[g], g), default=capacity)
+            what = bins[g].pop() if room else ()
+            gaps[g] -= bool(room)
+            if g > size:
+                gaps[g - size] += 1
+                bins[g - size].append((*what, size))
+            else:
+                done[(*what, size)] += 1
+    return sum(done.values()) + sum(map(len, bins.values()))
+
+
+def test_plan_follows_the_rule_piece_by_piece():
+    rng = random.Random(8)
+    for _ in range(150):
+        capacity = rng.randint(10, 60)
+        counts = Counter(rng.randint(1, capacity) for _ in range(rng.randint(1, 900)))
+        exact = brute_plan(counts, capacity)
+        assert sum(n for _, n in plan(dict(counts), capacity)) == exact
+    counts = {3: 2320, 5: 2645, 6: 2122, 16: 1366}
+    assert sum(n for _, n in plan(counts, 29)) == brute_plan(counts, 29)
+
+
 def test_plan_is_tight_and_complete():
     rng = random.Random(1)
     for draw in (lambda: rng.randint(1, 2048), lambda: rng.randint(1, 300), lambda: rng.choice([700, 1348, 1024])):
