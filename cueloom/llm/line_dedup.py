@@ -111,8 +111,8 @@ def _removed_lines(docs: DataFrame, scratch: Scratch, percent: int, bucket_bits:
     found = settled.union(_verified(both, rows, counts, percent, bucket_bits)).distinct()
     gone = sets.join(found, ["d", "p", "k"], "left").select("k", "k2", "n", "s", F.col("d").alias("fd"), F.col("p").alias("fp"), F.coalesce("late", F.lit(False)).alias("late"))
     marked = every.where("n > 0").drop("w").join(gone, ["k", "k2", "n", "s"])
-    marked = marked.select("d", "t", "p", (F.col("late") | (F.col("d") > F.col("fd")) | ((F.col("d") == F.col("fd")) & (F.col("p") > F.col("fp")))).alias("removed"))
-    return marked.unionByName(every.where("n = 0").select("d", "t", "p", F.lit(False).alias("removed")))
+    marked = marked.select("d", "t", "p", (F.col("late") | (F.col("d") > F.col("fd")) | ((F.col("d") == F.col("fd")) & (F.col("p") > F.col("fp")))).alias("removed"), F.lit(True).alias("worded"))
+    return marked.unionByName(every.where("n = 0").select("d", "t", "p", F.lit(False).alias("removed"), F.lit(False).alias("worded")))
 
 
 def _only(rows: DataFrame, ids: DataFrame) -> DataFrame:
@@ -136,15 +136,15 @@ def _verified(pairs: DataFrame, rows: DataFrame, counts: DataFrame, percent: int
 def dedup_lines(docs: DataFrame, percent: int = 80, bucket_bits: int = 20, drop_emptied: bool = False) -> DataFrame:
     """docs with their text's later similar lines removed, and n_lines and n_removed appended.
 
-    drop_emptied leaves out documents that lose every line.
+    drop_emptied leaves out documents that lose every line that has words.
     """
     scratch = Scratch(docs.sparkSession, "line-dedup")
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     removed = _removed_lines(docs, scratch, percent, bucket_bits)
     flags = removed.dropDuplicates(["d", "t", "p"]).groupBy("d", "t").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("p", "removed"))), lambda x: x["removed"]).alias("_gone"), F.count("*").alias("n_lines"), F.count_if("removed").alias("n_removed")
+        F.transform(F.array_sort(F.collect_list(F.struct("p", "removed"))), lambda x: x["removed"]).alias("_gone"), F.count("*").alias("n_lines"), F.count_if("removed").alias("n_removed"), F.count_if("worded").alias("_worded")
     )
-    flags = scratch.save(flags.select(F.col("d").alias("_d"), F.col("t").alias("_t"), F.when(F.col("n_removed") > 0, F.col("_gone")).alias("_gone"), "n_lines", "n_removed"), "flags")
+    flags = scratch.save(flags.select(F.col("d").alias("_d"), F.col("t").alias("_t"), F.when(F.col("n_removed") > 0, F.col("_gone")).alias("_gone"), "n_lines", "n_removed", "_worded"), "flags")
     for name in ("lines", "sets", "star", "settled", "rest", "rarity"):
         scratch.drop(name)
     keyed = docs.select(*names, F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("_d"), F.when(F.col("text").isNotNull(), F.xxhash64("text")).alias("_t"))
@@ -153,5 +153,5 @@ def dedup_lines(docs: DataFrame, percent: int = 80, bucket_bits: int = 20, drop_
     out = out.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept))
     out = out.withColumns({"n_lines": F.coalesce("n_lines", F.lit(0)), "n_removed": F.coalesce("n_removed", F.lit(0))})
     if drop_emptied:
-        out = out.where("n_removed = 0 OR n_removed < n_lines")
+        out = out.where("n_removed = 0 OR n_removed < _worded")
     return out.select(*names, "n_lines", "n_removed")

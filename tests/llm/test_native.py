@@ -44,6 +44,12 @@ def test_line_dedup_edges(spark, empty):
     assert left.where("doc_id IS NULL").count() == 0 and left.count() == 6
 
 
+def test_line_dedup_drops_copies_with_blank_lines(spark):
+    rows = [(1, "a b c\n\nd e f\n"), (2, "a b c\n\nd e f\n"), (3, "a b c\n"), (4, "\n"), (5, "\na b c\n\ng h i\n")]
+    got = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), bucket_bits=10, drop_emptied=True).collect()
+    assert sorted((r.doc_id, r.n_lines, r.n_removed) for r in got) == [(1, 4, 0), (4, 2, 0), (5, 5, 1)]
+
+
 def test_license_scan(spark, empty):
     rows = [
         (1, "Some prose.\nReleased under the MIT License."),
