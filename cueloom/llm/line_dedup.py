@@ -5,20 +5,24 @@ the corpus (smaller doc_id, or the same one and a smaller line number) has a
 Jaccard similarity of at least ``percent`` / 100 with it, judged on the input. Lines
 without words stay.
 
-Tokens are ordered by rarity: a token's count is that of its hash bucket, over
-all documents, and the ``2**bucket_bits`` counts come as one scalar of bounded size.
-Lines with equal token sets are one set, known by its first line. Prefix tokens are joined with length, positional
-and parity filters (two sets that differ in k tokens differ in at most k bits of
-their parity words), and what is left is verified on whole token sets.
-
-The join runs in two rounds so that families of near copies stay linear: first
-each prefix token offers a set only the first set that has the token; sets
-that find an earlier match so are settled. Then only the others are joined with
-all earlier sets.
+Tokens are ordered by rarity: a token's count is that of its hash bucket, over all
+documents; the counts' classes come as one scalar, of a byte a bucket, and there are
+2**24 buckets at most. Lines with equal token sets are one set, known by its first
+line. A token that occurs once in all documents is shared by no two sets and leaves
+the prefixes before anything is shuffled. Prefix tokens are joined with length,
+positional and parity filters (two sets that differ in k tokens differ in at most k
+bits of their 128 bits of parity), and what is left is verified on whole token sets.
+
+Families of near copies stay linear: a set picks three of its prefix tokens by hash,
+and where many sets pick the same, each is first held against the earliest of them
+alone. Sets that find an earlier match so are settled and need no further one; the
+join then offers them to others only as the earlier side.
 
 Null text has no lines and stays null; an empty text is one line without words. A
-null doc_id comes after all others. Rows that share a doc_id share line places,
-of which none is earlier. Other columns are carried along unchanged.
+text may be of any length and have any number of lines. An empty table gives an empty
+one. A null doc_id comes after all others. Rows that share a doc_id share line places,
+of which none is earlier; repeated rows give repeated results. Other columns are
+carried along unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,132 +30,160 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import Scratch
+from .scratch import Scratch, fresh, small
+from .substring_dedup import expected_words
 
-SPLIT = "[\\x20\\x09-\\x0D]+"
 LAST = (1 << 63) - 1
-FEW = 3
-MOST_BROADCAST = 500_000  # longs: 4 MB, some 20 MB as a hash table
-
-
-def _least_overlap(n: str, m: str, percent: int) -> str:
-    """SQL for the smallest intersection that reaches the similarity."""
-    return f"ceil({percent} * ({n} + {m}) / {100 + percent}D)"
+PICKS = 3
+HOT = 32  # sets that pick one token before they meet their first alone
+SHARED = 1 << 56  # tokens of the lowest class, which occur once, lie below
+NO_WORD = "^[\\x20\\x09-\\x0D]*$"
 
 
-def _with_rows(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("d"), F.xxhash64("text").alias("t"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
+def _rows(docs: DataFrame) -> DataFrame:
+    """(d, t, text) of the rows that have text; white space other than line ends is made spaces, which tell words apart faster than a pattern."""
+    text = F.col("text").cast("string")
+    for x in ("\t", "\x0b", "\x0c", "\r"):
+        text = F.replace(text, F.lit(x), F.lit(" "))
+    return docs.where("text IS NOT NULL").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("d"), F.xxhash64(F.col("text").cast("string")).alias("t"), text.alias("text"))
 
 
 def _lines(rows: DataFrame) -> DataFrame:
     return rows.select("d", "t", F.posexplode_outer(F.split("text", "\n")).alias("p", "line"))  # outer: else the split is done twice, to see that there are lines
 
 
-def _with_tokens(lines: DataFrame, counts: DataFrame, bucket_bits: int) -> DataFrame:
+def _rarity(rows: DataFrame, bits: int) -> DataFrame:
+    """One row: for each bucket of token hashes the class of its count (0: once, two classes a doubling)."""
+    words = rows.select(F.explode_outer(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("w"))
+    counts = words.select(F.shiftrightunsigned(F.xxhash64("w"), 64 - bits).alias("b")).groupBy("b").count().select("b", F.floor(2 * F.log2("count")).cast("int").alias("c"))
+    every = rows.sparkSession.range(1 << bits).toDF("b").join(counts, "b", "left").select("b", F.coalesce("c", F.lit(0)).alias("c"))
+    # blocks are put together first, so that the last task takes 256 arrays and not all counts one by one
+    blocks = every.groupBy(F.shiftright("b", bits - 8).alias("k")).agg(F.transform(F.array_sort(F.collect_list(F.struct("b", "c"))), lambda x: x["c"].cast("tinyint")).alias("part"))
+    return blocks.agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("k", "part"))), lambda x: x["part"])).alias("counts"))
+
+
+def _with_tokens(lines: DataFrame, counts: DataFrame, bits: int) -> DataFrame:
     """lines with w, their distinct tokens as sorted longs: the class of rarity in the top bits, then 56 bits of the token's hash."""
-    mask, low = (1 << bucket_bits) - 1, (1 << 56) - 1
     lines = lines.withColumn("_rank", counts.scalar())  # used once below, so the optimizer puts the scalar in its place
-    bare = F.regexp_replace("line", "^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$", "")
-    words = F.when(bare != "", F.split(bare, SPLIT)).otherwise(F.array().cast("array<string>"))
-    keyed = F.transform(F.transform(words, lambda w: F.xxhash64(w)), lambda h: F.get("_rank", h.bitwiseAND(F.lit(mask)).cast("int")).cast("long") * F.lit(1 << 56) + h.bitwiseAND(F.lit(low)))
+    hashes = F.array_remove(F.transform(F.split("line", " "), lambda w: F.xxhash64(w)), F.xxhash64(F.lit("")))
+    rank = lambda h: F.shiftleft(F.get("_rank", F.shiftrightunsigned(h, 64 - bits).cast("int")).cast("long"), 56)
+    keyed = F.transform(hashes, lambda h: rank(h).bitwiseOR(F.shiftrightunsigned(h, 8)))
     return lines.select(*[c for c in lines.columns if c not in ("_rank", "line")], F.sort_array(F.array_distinct(keyed)).alias("w"))
 
 
-def _rarity(rows: DataFrame, bucket_bits: int) -> DataFrame:
-    """One row: for each bucket of token hashes the class of its count (0 rarest, two classes a doubling)."""
-    mask = (1 << bucket_bits) - 1
-    words = rows.select(F.explode_outer(F.split("text", SPLIT)).alias("w")).select(F.xxhash64("w").bitwiseAND(F.lit(mask)).alias("b"))
-    counts = words.groupBy("b").count().select("b", F.floor(2 * F.log2("count")).cast("int").alias("c"))
-    every = rows.sparkSession.range(1 << bucket_bits).toDF("b").join(counts, "b", "left").select("b", F.coalesce("c", F.lit(0)).alias("c"))
-    # blocks are put together first, so that the last task takes 256 arrays and not all counts one by one
-    blocks = every.groupBy(F.shiftright("b", bucket_bits - 8).alias("k")).agg(F.transform(F.array_sort(F.collect_list(F.struct("b", "c"))), lambda x: x["c"].cast("tinyint")).alias("part"))
-    return blocks.agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("k", "part"))), lambda x: x["part"])).alias("counts"))
+def _near(a: str, b: str, percent: int, places: bool = True) -> str:
+    """SQL of the length, positional and parity filters for rows aliased a and b."""
+    need = f"ceil({percent} * ({a}.n + {b}.n) / {100 + percent}D)"
+    by_place = f" AND least({a}.i, {b}.i) + least({a}.n - {a}.i, {b}.n - {b}.i) >= {need}" * places
+    return (
+        f"100 * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n){by_place}"
+        f" AND bit_count({a}.s1 ^ {b}.s1) + bit_count({a}.s2 ^ {b}.s2) <= {a}.n + {b}.n - 2 * {need}"
+    )
 
 
-def _removed_lines(docs: DataFrame, scratch: Scratch, percent: int, bucket_bits: int) -> DataFrame:
-    """(d, t, p, removed) of every line of every distinct row."""
-    rows = _with_rows(docs)
-    # the counts are a table of their own: a scalar read from it is not computed again with each use
-    counts = scratch.save(_rarity(rows, bucket_bits), "rarity")
-    lines = _with_tokens(_lines(rows), counts, bucket_bits)
-    prefix = f"slice(w, 1, size(w) - ceil({percent} * size(w) / 100D) + 1)"
-    parity = "aggregate(w, 0L, (a, x) -> a ^ shiftleft(1L, cast(x & 63 as int)))"
-    every = lines.select(
-        "d", "t", "p", F.xxhash64("w").alias("k"), F.xxhash64(F.lit(17), "w").alias("k2"), F.size("w").alias("n"), F.expr(f"IF(size(w) > 0, {parity}, 0L)").alias("s"), F.expr(f"IF(size(w) > 0, {prefix}, w)").alias("w")
-    )
-    every = scratch.save(every, "lines")
-    sets = every.where("n > 0").groupBy("k", "k2", "n", "s").agg(F.min(F.struct("d", "p", "t")).alias("first"), F.min("w").alias("w"))
-    sets = scratch.save(sets.select("k", "k2", "n", "s", "first.*", "w"), "sets")
-    # the first round takes the commonest prefix tokens alone: edits make rare tokens, the common ones hold a family together
-    tokens = sets.select("d", "p", "k", "n", "s", F.posexplode("w").alias("i", "w"))
-    few = sets.select("d", "p", "k", "n", "s", (F.size("w") - FEW).alias("b"), F.posexplode(F.slice("w", F.greatest(F.size("w") - FEW + 1, F.lit(1)), FEW)).alias("i", "w"))
-    few = few.withColumn("i", F.col("i") + F.greatest("b", F.lit(0))).drop("b")
-    groups = few.groupBy("w").agg(F.count("*").alias("c"), F.min(F.struct("d", "p", "k", "n", "s", "i")).alias("m")).where("c > 1")
-    shared = few.join(groups.drop("c"), "w")
-
-    def near(a: str, b: str) -> str:
-        """Length, positional and parity filters for rows aliased a and b."""
-        need = _least_overlap(f"{a}.n", f"{b}.n", percent)
-        return (
-            f"100 * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n)"
-            f" AND least({a}.i, {b}.i) + least({a}.n - {a}.i, {b}.n - {b}.i) >= {need}"
-            f" AND bit_count({a}.s ^ {b}.s) <= {a}.n + {b}.n - 2 * {need}"
-        )
-
-    def earlier(a: str, b: str) -> str:
-        return f"({a}.d < {b}.d OR ({a}.d = {b}.d AND {a}.p < {b}.p))"
-
-    pair = ["a.d AS ad", "a.p AS ap", "a.k AS ak", "b.d", "b.p", "b.k"]
-    star = shared.select(F.struct("d", "p", "k", "n", "s", "i").alias("b"), F.col("m").alias("a")).where(f"{earlier('a', 'b')} AND {near('a', 'b')}").selectExpr(*pair).distinct()
-    star = scratch.save(star, "star")
-    settled = scratch.save(_verified(star, rows, counts, percent, bucket_bits), "settled")
-    rest = tokens.join(settled.select("d", "p", "k"), ["d", "p", "k"], "left_anti")
-    both = tokens.alias("a").join(rest.alias("b"), F.col("a.w") == F.col("b.w")).where(f"{earlier('a', 'b')} AND {near('a', 'b')}").selectExpr(*pair).distinct()
-    both = scratch.save(both.join(star, star.columns, "left_anti"), "rest")
-    found = settled.union(_verified(both, rows, counts, percent, bucket_bits)).distinct()
-    gone = sets.join(found, ["d", "p", "k"], "left").select("k", "k2", "n", "s", F.col("d").alias("fd"), F.col("p").alias("fp"), F.coalesce("late", F.lit(False)).alias("late"))
-    marked = every.where("n > 0").drop("w").join(gone, ["k", "k2", "n", "s"])
-    marked = marked.select("d", "t", "p", (F.col("late") | (F.col("d") > F.col("fd")) | ((F.col("d") == F.col("fd")) & (F.col("p") > F.col("fp")))).alias("removed"), F.lit(True).alias("worded"))
-    return marked.unionByName(every.where("n = 0").select("d", "t", "p", F.lit(False).alias("removed"), F.lit(False).alias("worded")))
-
-
-def _only(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows with these d: by broadcast where there are few, else by a shuffle of both sides."""
-    return rows.join(F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids, "d", "left_semi")
-
-
-def _verified(pairs: DataFrame, rows: DataFrame, counts: DataFrame, percent: int, bucket_bits: int) -> DataFrame:
-    """(d, p, k, late = true) of the sets b of pairs whose whole token sets are similar enough."""
-    need = pairs.selectExpr("ad AS d", "ap AS p", "ak AS k").union(pairs.select("d", "p", "k")).distinct()
-    texts = _only(rows, need.select("d").distinct())
-    # whole sets of the lines in question only, from their texts
-    lines = _lines(texts).join(need.select("d", "p").distinct(), ["d", "p"], "left_semi")
-    whole = _with_tokens(lines, counts, bucket_bits).select("d", "p", F.xxhash64("w").alias("k"), "w").join(need, ["d", "p", "k"]).dropDuplicates(["d", "p", "k"])
-    a = whole.select(F.col("d").alias("ad"), F.col("p").alias("ap"), F.col("k").alias("ak"), F.col("w").alias("aw"))
-    checked = pairs.join(a, ["ad", "ap", "ak"]).join(whole, ["d", "p", "k"])
+def _earlier(a: str, b: str) -> str:
+    return f"({a}.d < {b}.d OR ({a}.d = {b}.d AND {a}.p < {b}.p))"
+
+
+def _similar(pairs: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
+    """(d, p, t) of the lines b of pairs (ad, ap, d, p, t) that are similar enough to their a."""
+    a = whole.select(F.col("d").alias("ad"), F.col("p").alias("ap"), F.col("w").alias("aw"))
     same = F.size(F.array_intersect("aw", "w"))
-    return checked.where(100 * same >= percent * (F.size("aw") + F.size("w") - same)).select("d", "p", "k", F.lit(True).alias("late")).distinct()
+    both = pairs.join(a, ["ad", "ap"]).join(whole, ["d", "p", "t"])
+    return both.where(100 * same >= percent * (F.size("aw") + F.size("w") - same)).select("d", "p", "t").distinct()
+
 
+def _verified(scratch: Scratch, pairs: DataFrame, rows: DataFrame, counts: DataFrame, percent: int, bits: int, name: str) -> DataFrame:
+    """(d, p, t) of the lines b of pairs (ad, ap, d, p) with a whole token set similar enough to that of a."""
+    pairs = scratch.save(pairs, f"{name}-pairs")
+    places = scratch.save(pairs.selectExpr("ad AS d", "ap AS p").union(pairs.select("d", "p")).distinct(), f"{name}-places")
+    # whole sets of the lines in question only, from their texts
+    texts = rows.join(small(places.select("d").distinct(), 8), "d", "left_semi")
+    lines = _lines(texts).join(small(places, 16), ["d", "p"], "left_semi")
+    whole = scratch.save(_with_tokens(lines, counts, bits).dropDuplicates(["d", "p", "t"]), f"{name}-whole")
+    # one match is enough: most lines find it in their first candidate
+    pairs = pairs.join(whole.select("d", "p", "t"), ["d", "p"])
+    first = pairs.groupBy("d", "p", "t").agg(F.min(F.struct("ad", "ap")).alias("a")).select("a.*", "d", "p", "t")
+    sure = scratch.save(_similar(first, whole, percent), f"{name}-sure")
+    rest = scratch.save(_similar(pairs.join(sure, ["d", "p", "t"], "left_anti"), whole, percent), f"{name}-rest")
+    for part in ("pairs", "places", "whole"):
+        scratch.drop(f"{name}-{part}")
+    return sure.union(rest)
+
+
+def _removed(docs: DataFrame, scratch: Scratch, percent: int, bits: int | None) -> DataFrame:
+    """(d, t, gone) of the texts that lose lines: their places, in order."""
+    rows = _rows(docs)
+    if bits is None:
+        bits = min(max((expected_words(rows) // 32).bit_length(), 16), 24)
+    # the counts are a table of their own: a scalar read from it is not computed again with each use
+    counts = scratch.save(_rarity(rows, bits), "rarity")
+    fold = "aggregate(w, 0L, (a, x) -> a ^ shiftleft({}, cast(x & 63 as int)))"
+    parts = {
+        "k": "xxhash64(w)",
+        "k2": "xxhash64(17, w)",
+        "n": "size(w)",
+        "s1": fold.format("1L"),
+        "s2": fold.format("shiftrightunsigned(x, 12) & 1L"),
+        "w": f"slice(w, 1, size(w) - cast(ceil({percent} * size(w) / 100D) as int) + 1)",
+    }
+    lines = _with_tokens(_lines(rows), counts, bits).where("size(w) > 0").selectExpr("d", "t", "p", *(f"{sql} AS {name}" for name, sql in parts.items()))
+    lines = scratch.save(lines.withColumn("s1", F.expr("s1 ^ s2")), "lines")  # s2 has the tokens of one half, s1 now those of the other
+    firsts = scratch.save(lines.groupBy("k", "k2").agg(F.min(F.struct("d", "p", "t")).alias("f")).selectExpr("k", "k2", "f.d AS fd", "f.p AS fp", "f.t AS ft"), "firsts")
+    known = lines.join(firsts, ["k", "k2"])
+    known = known.selectExpr("d", "t", "p", "n", "s1", "s2", "IF(d = fd AND p = fp AND t = ft, w, NULL) AS w", "d > fd OR (d = fd AND p > fp) AS again")
+    known = scratch.save(known.where("again OR w IS NOT NULL"), "known")
+    scratch.drop("lines")
+    sets = known.where("w IS NOT NULL")
+
+    picks = F.array(*(F.array_min(F.transform(F.filter("w", lambda x: x >= SHARED), lambda x, j=j: F.xxhash64(F.lit(j), x))) for j in range(PICKS)))
+    picked = sets.select("d", "p", "n", "s1", "s2", F.explode(picks).alias("pick")).where("pick IS NOT NULL")
+    hot = scratch.save(picked.groupBy("pick").count().where(f"count >= {HOT}").select("pick"), "hot")
+    picked = scratch.save(picked.join(small(hot, 8), "pick"), "picked")
+    heads = scratch.save(picked.groupBy("pick").agg(F.min(F.struct("d", "p", "n", "s1", "s2")).alias("a")), "heads")
+    star = picked.select("pick", F.struct("d", "p", "n", "s1", "s2").alias("b")).join(small(heads, 48), "pick").where(f"{_earlier('a', 'b')} AND {_near('a', 'b', percent, places=False)}")
+    settled = _verified(scratch, star.selectExpr("a.d AS ad", "a.p AS ap", "b.d", "b.p").distinct(), rows, counts, percent, bits, "star")
+
+    marked = sets.join(small(settled.select("d", "p", "t", F.lit(1).alias("f")), 28), ["d", "p", "t"], "left")
+    tokens = marked.select("d", "p", "n", "s1", "s2", F.coalesce("f", F.lit(0)).alias("f"), F.posexplode_outer("w").alias("i", "w")).where(F.col("w") >= SHARED)
+    # a is the larger set, or the later of two of one size; every filter takes both sides' columns, so one shuffle serves both
+    order = f"b.n < a.n OR (b.n = a.n AND {_earlier('b', 'a')})"
+    wanted = f"IF({_earlier('b', 'a')}, a.f, b.f) = 0 AND (a.d <> b.d OR a.p <> b.p)"
+    both = tokens.alias("a").join(tokens.alias("b"), F.expr(f"a.w = b.w AND 100 * b.n >= {percent} * a.n AND ({order}) AND {_near('a', 'b', percent)} AND {wanted}"))
+    both = both.selectExpr(f"{_earlier('b', 'a')} AS back", "a.d AS d1", "a.p AS p1", "b.d AS d2", "b.p AS p2").selectExpr("IF(back, d2, d1) AS ad", "IF(back, p2, p1) AS ap", "IF(back, d1, d2) AS d", "IF(back, p1, p2) AS p")
+    late = _verified(scratch, both.distinct(), rows, counts, percent, bits, "pair")
+    gone = known.where("again").select("d", "t", "p").union(settled.select("d", "t", "p")).union(late.select("d", "t", "p"))
+    gone = scratch.save(gone.groupBy("d", "t").agg(F.sort_array(F.collect_set("p")).alias("gone")), "gone")
+    for name in ("rarity", "firsts", "known", "hot", "picked", "heads", "star-sure", "star-rest", "pair-sure", "pair-rest"):
+        scratch.drop(name)
+    return gone
 
-def dedup_lines(docs: DataFrame, percent: int = 80, bucket_bits: int = 20, drop_emptied: bool = False) -> DataFrame:
-    """docs with their text's later similar lines removed, and n_lines and n_removed appended.
 
-    drop_emptied leaves out documents that lose every line that has words.
+def dedup_lines(docs: DataFrame, percent: int = 80, bucket_bits: int | None = None, drop_emptied: bool = False, counts: bool = True) -> DataFrame:
+    """docs with their text's later similar lines removed; with counts, n_lines and n_removed are appended (in place of columns of that name).
+
+    drop_emptied leaves out documents that lose every line that has words. bucket_bits:
+    the rarity order takes counts of 2**bucket_bits buckets; by default one a 32 words.
     """
     scratch = Scratch(docs.sparkSession, "line-dedup")
-    names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    removed = _removed_lines(docs, scratch, percent, bucket_bits)
-    flags = removed.dropDuplicates(["d", "t", "p"]).groupBy("d", "t").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("p", "removed"))), lambda x: x["removed"]).alias("_gone"), F.count("*").alias("n_lines"), F.count_if("removed").alias("n_removed"), F.count_if("worded").alias("_worded")
+    gone = _removed(docs, scratch, percent, bucket_bits)
+    names = [c for c in docs.columns if not counts or c.lower() not in ("n_lines", "n_removed")]
+    d, t, lines, places = fresh(docs.columns, "d", "t", "lines", "gone")
+    text = F.col("text").cast("string")
+    keyed = docs.select("*", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias(d), F.xxhash64(text).alias(t), F.split(text, "\n").alias(lines))
+    longs = gone.agg(F.count("*"), F.sum(F.size("gone"))).first()
+    gone = gone.toDF(d, t, places)
+    # the places lie beside the split text, so the projection below stays above the join and splits no text twice
+    out = keyed.join(small(gone, 32, longs[0] + (longs[1] or 0) // 8), [d, t], "left")
+    stay = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), places), lambda i: F.get(lines, i))
+    out = out.withColumns(
+        {
+            "text": F.when(F.col(places).isNull(), text).otherwise(F.array_join(stay, "\n")),
+            lines: F.coalesce(F.when(text.isNotNull(), F.size(lines)), F.lit(0)).cast("long"),
+            places: F.coalesce(F.size(places), F.lit(0)).cast("long"),
+        }
     )
-    flags = scratch.save(flags.select(F.col("d").alias("_d"), F.col("t").alias("_t"), F.when(F.col("n_removed") > 0, F.col("_gone")).alias("_gone"), "n_lines", "n_removed", "_worded"), "flags")
-    for name in ("lines", "sets", "star", "settled", "rest", "rarity"):
-        scratch.drop(name)
-    keyed = docs.select(*names, F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("_d"), F.when(F.col("text").isNotNull(), F.xxhash64("text")).alias("_t"))
-    out = keyed.join(flags, ["_d", "_t"], "left")
-    kept = F.array_join(F.array_compact(F.zip_with(F.split("text", "\n"), "_gone", lambda line, gone: F.when(~gone, line))), "\n")
-    out = out.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept))
-    out = out.withColumns({"n_lines": F.coalesce("n_lines", F.lit(0)), "n_removed": F.coalesce("n_removed", F.lit(0))})
     if drop_emptied:
-        out = out.where("n_removed = 0 OR n_removed < _worded")
-    return out.select(*names, "n_lines", "n_removed")
+        out = out.where(~((F.col(places) > 0) & F.col("text").rlike(NO_WORD)))
+    scratch.leave()
+    return out.select(*names, *([F.col(lines).alias("n_lines"), F.col(places).alias("n_removed")] * counts))

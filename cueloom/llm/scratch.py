@@ -17,21 +17,24 @@ from urllib.parse import urlparse
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_root(spark: SparkSession) -> str:
+    """The shared folder with its file system's scheme, as a path without one means the cluster's own default."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master:
-        return "/tmp/checkpoints"
-    raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    if not root:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = "file:///tmp/checkpoints"
+    path = spark._jvm.org.apache.hadoop.fs.Path(root.rstrip("/"))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
 def local_path(uri: str) -> str | None:
     """The path under which any machine that mounts the shared folder sees it, or None for an object store."""
     got = urlparse(uri)
-    return got.path if got.scheme in ("", "file") else None
+    return got.path if got.scheme == "file" else None
 
 
 def _output(uri: str):
@@ -55,6 +58,30 @@ def write_array(uri: str, *arrays: np.ndarray) -> None:
         os.replace(local_path(to), path)
 
 
+#: Bytes of a table's values that are broadcast at most; as a hash table they take some five times that.
+MOST_BROADCAST = 1 << 24
+#: Shuffle files go when the action that made them ends: the table it wrote is what is read again.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def small(df: DataFrame, row_bytes: int, rows: int | None = None) -> DataFrame:
+    """df, to be broadcast if its counted rows take no more than MOST_BROADCAST bytes; else joined by a shuffle."""
+    rows = df.count() if rows is None else rows
+    return F.broadcast(df) if rows * row_bytes <= MOST_BROADCAST else df
+
+
+def fresh(taken: list[str], *wanted: str) -> list[str]:
+    """Column names that do not clash with those taken."""
+    used = {c.lower() for c in taken}
+    out = []
+    for name in wanted:
+        while name.lower() in used:
+            name = f"_{name}"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 class Scratch:
     """One operator call's folder of work tables."""
 
@@ -66,7 +93,12 @@ class Scratch:
         return f"{self.uri}/{name}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
+        before = self.spark.conf.get(CLEANUP, "false")
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
+        finally:
+            self.spark.conf.set(CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, name: str = "") -> None:
@@ -79,10 +111,19 @@ class Scratch:
         out = self.save(df, "result")
         for name in names:
             self.drop(name)
-        if path := local_path(self.uri):
-            atexit.register(shutil.rmtree, path, ignore_errors=True)
+        self.leave()
         return out
 
+    def leave(self) -> None:
+        """What is still in the folder goes when this process ends."""
+        atexit.register(self._end)
+
+    def _end(self) -> None:
+        if path := local_path(self.uri):
+            shutil.rmtree(path, ignore_errors=True)
+        elif self.spark.sparkContext._jsc is not None and not self.spark.sparkContext._jsc.sc().isStopped():
+            self.drop()
+
     def publish(self, names: list[str]) -> None:
         """Let executors fetch files of a store that can't be mounted; they then map their own copy."""
         if local_path(self.uri) is None:
@@ -162,8 +203,6 @@ class SortedTable:
     @classmethod
     def build(cls, scratch: Scratch, name: str, df: DataFrame, bits: int, values: list[tuple[str, str]]) -> SortedTable:
         """df: column h (long, unique) and the value columns, any order. A shard is one group: bits must grow with the rows."""
-        from pyspark.sql import functions as F
-
         uri, columns = scratch.path(name), [n for n, _ in values]
 
         def write(group: pa.Table) -> pa.Table:
