@@ -14,9 +14,10 @@ positional and parity filters (two sets that differ in k tokens differ in at mos
 bits of their 128 bits of parity), and what is left is verified on whole token sets.
 
 Families of near copies stay linear: a set picks three of its prefix tokens by hash,
-and where many sets pick the same, each is first held against the earliest of them
-alone. Sets that find an earlier match so are settled and need no further one; the
-join then offers them to others only as the earlier side.
+and where many sets of like length pick the same, each is first held against the
+earliest of them alone; those that match it are settled, the others go on with the
+earliest of themselves, for some rounds. Settled sets need no further match; the join
+offers them to others only as the earlier side, and so misses nothing.
 
 Null text has no lines and stays null; an empty text is one line without words. A
 text may be of any length and have any number of lines. An empty table gives an empty
@@ -27,6 +28,8 @@ carried along unchanged, whatever their names.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +38,8 @@ from .substring_dedup import expected_words
 
 LAST = (1 << 63) - 1
 PICKS = 3
-HOT = 32  # sets that pick one token before they meet their first alone
+HOT = 32  # a crowd: sets of like length that pick one token; smaller ones go to the join as they are
+ROUNDS = 2
 SHARED = 1 << 56  # tokens of the lowest class, which occur once, lie below
 NO_WORD = "^[\\x20\\x09-\\x0D]*$"
 
@@ -93,22 +97,42 @@ def _similar(pairs: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * same >= percent * (F.size("aw") + F.size("w") - same)).select("d", "p", "t").distinct()
 
 
-def _verified(scratch: Scratch, pairs: DataFrame, rows: DataFrame, counts: DataFrame, percent: int, bits: int, name: str) -> DataFrame:
-    """(d, p, t) of the lines b of pairs (ad, ap, d, p) with a whole token set similar enough to that of a."""
-    pairs = scratch.save(pairs, f"{name}-pairs")
-    places = scratch.save(pairs.selectExpr("ad AS d", "ap AS p").union(pairs.select("d", "p")).distinct(), f"{name}-places")
-    # whole sets of the lines in question only, from their texts
+def _whole(scratch: Scratch, places: DataFrame, rows: DataFrame, counts: DataFrame, bits: int, name: str) -> DataFrame:
+    """(d, p, t, w): whole token sets, from their texts, of the lines at these (d, p) only."""
+    places = scratch.save(places.distinct(), f"{name}-places")
     texts = rows.join(small(places.select("d").distinct(), 8), "d", "left_semi")
     lines = _lines(texts).join(small(places, 16), ["d", "p"], "left_semi")
     whole = scratch.save(_with_tokens(lines, counts, bits).dropDuplicates(["d", "p", "t"]), f"{name}-whole")
-    # one match is enough: most lines find it in their first candidate
-    pairs = pairs.join(whole.select("d", "p", "t"), ["d", "p"])
-    first = pairs.groupBy("d", "p", "t").agg(F.min(F.struct("ad", "ap")).alias("a")).select("a.*", "d", "p", "t")
-    sure = scratch.save(_similar(first, whole, percent), f"{name}-sure")
-    rest = scratch.save(_similar(pairs.join(sure, ["d", "p", "t"], "left_anti"), whole, percent), f"{name}-rest")
-    for part in ("pairs", "places", "whole"):
-        scratch.drop(f"{name}-{part}")
-    return sure.union(rest)
+    scratch.drop(f"{name}-places")
+    return whole
+
+
+def _settled(scratch: Scratch, sets: DataFrame, rows: DataFrame, counts: DataFrame, percent: int, bits: int) -> DataFrame:
+    """(d, p, t) of sets that are similar to an early one of those that share a pick with them."""
+    picks = F.array(*(F.expr(f"array_min(transform(filter(w, x -> x >= {SHARED}), x -> xxhash64({j}, x)))") for j in range(PICKS)))
+    # similar sets are of one class of lengths or of two that are neighbours
+    picked = sets.select("d", "p", "t", "n", "s1", "s2", F.floor(F.log("n") / math.log(100 / percent)).alias("m"), F.explode(picks).alias("pick")).where("pick IS NOT NULL")
+    crowded = lambda x: x.groupBy("pick", "m").agg(F.count("*").alias("c"), F.min(F.struct("d", "p", "n", "s1", "s2")).alias("a")).where(f"c >= {HOT}").drop("c")
+    heads = scratch.save(picked.groupBy("pick", "m").count().where(f"count >= {HOT}").select("pick", "m"), "hot")
+    there = picked.join(small(heads, 16), ["pick", "m"])
+    there = scratch.save(there, "there-0")
+    done = there.select("d", "p", "t").limit(0)
+    if there.isEmpty():
+        return done
+    whole = _whole(scratch, there.select("d", "p"), rows, counts, bits, "there")
+    for k in range(1, ROUNDS + 1):
+        heads = scratch.save(crowded(there), f"heads-{k}")
+        if heads.isEmpty():
+            break
+        met = there.select("pick", "m", "t", F.struct("d", "p", "n", "s1", "s2").alias("b")).join(small(heads, 56), ["pick", "m"])
+        pairs = met.where(f"{_earlier('a', 'b')} AND {_near('a', 'b', percent, places=False)}").selectExpr("a.d AS ad", "a.p AS ap", "b.d", "b.p", "t").distinct()
+        sure = scratch.save(_similar(pairs, whole, percent), f"settled-{k}")
+        done = done.union(sure)
+        left = there.join(small(sure, 24), ["d", "p", "t"], "left_anti")
+        # the firsts have met all of their crowd
+        left = left.join(small(heads.selectExpr("pick", "m", "a.d AS d", "a.p AS p"), 32), ["pick", "m", "d", "p"], "left_anti")
+        there = scratch.save(left, f"there-{k}")
+    return scratch.save(done.distinct(), "settled")
 
 
 def _removed(docs: DataFrame, scratch: Scratch, percent: int, bits: int | None) -> DataFrame:
@@ -136,14 +160,7 @@ def _removed(docs: DataFrame, scratch: Scratch, percent: int, bits: int | None)
     scratch.drop("lines")
     sets = known.where("w IS NOT NULL")
 
-    picks = F.array(*(F.array_min(F.transform(F.filter("w", lambda x: x >= SHARED), lambda x, j=j: F.xxhash64(F.lit(j), x))) for j in range(PICKS)))
-    picked = sets.select("d", "p", "n", "s1", "s2", F.explode(picks).alias("pick")).where("pick IS NOT NULL")
-    hot = scratch.save(picked.groupBy("pick").count().where(f"count >= {HOT}").select("pick"), "hot")
-    picked = scratch.save(picked.join(small(hot, 8), "pick"), "picked")
-    heads = scratch.save(picked.groupBy("pick").agg(F.min(F.struct("d", "p", "n", "s1", "s2")).alias("a")), "heads")
-    star = picked.select("pick", F.struct("d", "p", "n", "s1", "s2").alias("b")).join(small(heads, 48), "pick").where(f"{_earlier('a', 'b')} AND {_near('a', 'b', percent, places=False)}")
-    settled = _verified(scratch, star.selectExpr("a.d AS ad", "a.p AS ap", "b.d", "b.p").distinct(), rows, counts, percent, bits, "star")
-
+    settled = _settled(scratch, sets, rows, counts, percent, bits)
     marked = sets.join(small(settled.select("d", "p", "t", F.lit(1).alias("f")), 28), ["d", "p", "t"], "left")
     tokens = marked.select("d", "p", "n", "s1", "s2", F.coalesce("f", F.lit(0)).alias("f"), F.posexplode_outer("w").alias("i", "w")).where(F.col("w") >= SHARED)
     # a is the larger set, or the later of two of one size; every filter takes both sides' columns, so one shuffle serves both
@@ -151,12 +168,15 @@ def _removed(docs: DataFrame, scratch: Scratch, percent: int, bits: int | None)
     wanted = f"IF({_earlier('b', 'a')}, a.f, b.f) = 0 AND (a.d <> b.d OR a.p <> b.p)"
     both = tokens.alias("a").join(tokens.alias("b"), F.expr(f"a.w = b.w AND 100 * b.n >= {percent} * a.n AND ({order}) AND {_near('a', 'b', percent)} AND {wanted}"))
     both = both.selectExpr(f"{_earlier('b', 'a')} AS back", "a.d AS d1", "a.p AS p1", "b.d AS d2", "b.p AS p2").selectExpr("IF(back, d2, d1) AS ad", "IF(back, p2, p1) AS ap", "IF(back, d1, d2) AS d", "IF(back, p1, p2) AS p")
-    late = _verified(scratch, both.distinct(), rows, counts, percent, bits, "pair")
+    pairs = scratch.save(both.distinct(), "pairs")
+    whole = _whole(scratch, pairs.selectExpr("ad AS d", "ap AS p").union(pairs.select("d", "p")), rows, counts, bits, "pair")
+    # one match is enough: most lines find it in their first candidate
+    pairs = pairs.join(whole.select("d", "p", "t"), ["d", "p"])
+    one = pairs.groupBy("d", "p", "t").agg(F.min(F.struct("ad", "ap")).alias("a")).select("a.*", "d", "p", "t")
+    late = scratch.save(_similar(one, whole, percent), "late")
+    late = late.union(_similar(pairs.join(late, ["d", "p", "t"], "left_anti"), whole, percent))
     gone = known.where("again").select("d", "t", "p").union(settled.select("d", "t", "p")).union(late.select("d", "t", "p"))
-    gone = scratch.save(gone.groupBy("d", "t").agg(F.sort_array(F.collect_set("p")).alias("gone")), "gone")
-    for name in ("rarity", "firsts", "known", "hot", "picked", "heads", "star-sure", "star-rest", "pair-sure", "pair-rest"):
-        scratch.drop(name)
-    return gone
+    return scratch.only(gone.groupBy("d", "t").agg(F.sort_array(F.collect_set("p")).alias("gone")), "gone")
 
 
 def dedup_lines(docs: DataFrame, percent: int = 80, bucket_bits: int | None = None, drop_emptied: bool = False, counts: bool = True) -> DataFrame:

@@ -106,6 +106,16 @@ class Scratch:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(where)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def only(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a table and drop all others of the folder."""
+        out = self.save(df, name)
+        top = self.spark._jvm.org.apache.hadoop.fs.Path(self.uri)
+        system = top.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for x in system.listStatus(top):
+            if x.getPath().getName() != name:
+                system.delete(x.getPath(), True)
+        return out
+
     def finish(self, df: DataFrame, *names: str) -> DataFrame:
         """Write the result, drop the named work tables, and read the result again."""
         out = self.save(df, "result")
