@@ -11,7 +11,7 @@ documents; the counts' classes come as one scalar, of a byte a bucket, and there
 line. A token that occurs once in all documents is shared by no two sets and leaves
 the prefixes before anything is shuffled. Prefix tokens are joined with length,
 positional and parity filters (two sets that differ in k tokens differ in at most k
-bits of their 128 bits of parity), and what is left is verified on whole token sets.
+bits of their parity, of which long sets have 128 bits and others 64), and what is left is verified on whole token sets.
 
 Families of near copies stay linear: a set picks three of its prefix tokens by hash,
 and where many sets of like length pick the same, each is first held against the
@@ -40,6 +40,7 @@ LAST = (1 << 63) - 1
 PICKS = 3
 HOT = 32  # a crowd: sets of like length that pick one token; smaller ones go to the join as they are
 ROUNDS = 2
+LONG = 64  # sets of more tokens have 128 bits of parity
 SHARED = 1 << 56  # tokens of the lowest class, which occur once, lie below
 NO_WORD = "^[\\x20\\x09-\\x0D]*$"
 
@@ -70,7 +71,8 @@ def _with_tokens(lines: DataFrame, counts: DataFrame, bits: int) -> DataFrame:
     """lines with w, their distinct tokens as sorted longs: the class of rarity in the top bits, then 56 bits of the token's hash."""
     lines = lines.withColumn("_rank", counts.scalar())  # used once below, so the optimizer puts the scalar in its place
     hashes = F.array_remove(F.transform(F.split("line", " "), lambda w: F.xxhash64(w)), F.xxhash64(F.lit("")))
-    rank = lambda h: F.shiftleft(F.get("_rank", F.shiftrightunsigned(h, 64 - bits).cast("int")).cast("long"), 56)
+    # never null, as arrays that may hold nulls are sorted as objects
+    rank = lambda h: F.shiftleft(F.coalesce(F.get("_rank", F.shiftrightunsigned(h, 64 - bits).cast("int")), F.lit(0).cast("tinyint")).cast("long"), 56)
     keyed = F.transform(hashes, lambda h: rank(h).bitwiseOR(F.shiftrightunsigned(h, 8)))
     return lines.select(*[c for c in lines.columns if c not in ("_rank", "line")], F.sort_array(F.array_distinct(keyed)).alias("w"))
 
@@ -78,10 +80,11 @@ def _with_tokens(lines: DataFrame, counts: DataFrame, bits: int) -> DataFrame:
 def _near(a: str, b: str, percent: int, places: bool = True) -> str:
     """SQL of the length, positional and parity filters for rows aliased a and b."""
     need = f"ceil({percent} * ({a}.n + {b}.n) / {100 + percent}D)"
+    apart = f"IF(least({a}.n, {b}.n) > {LONG}, bit_count({a}.s2 ^ {b}.s2) + bit_count({a}.s1 ^ {a}.s2 ^ {b}.s1 ^ {b}.s2), bit_count({a}.s1 ^ {b}.s1))"
     by_place = f" AND least({a}.i, {b}.i) + least({a}.n - {a}.i, {b}.n - {b}.i) >= {need}" * places
     return (
         f"100 * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n){by_place}"
-        f" AND bit_count({a}.s1 ^ {b}.s1) + bit_count({a}.s2 ^ {b}.s2) <= {a}.n + {b}.n - 2 * {need}"
+        f" AND {apart} <= {a}.n + {b}.n - 2 * {need}"
     )
 
 
@@ -139,7 +142,7 @@ def _removed(docs: DataFrame, scratch: Scratch, percent: int, bits: int | None)
     """(d, t, gone) of the texts that lose lines: their places, in order."""
     rows = _rows(docs)
     if bits is None:
-        bits = min(max((expected_words(rows) // 32).bit_length(), 16), 24)
+        bits = min(max((expected_words(docs) // 128).bit_length(), 16), 24)
     # the counts are a table of their own: a scalar read from it is not computed again with each use
     counts = scratch.save(_rarity(rows, bits), "rarity")
     fold = "aggregate(w, 0L, (a, x) -> a ^ shiftleft({}, cast(x & 63 as int)))"
@@ -148,11 +151,12 @@ def _removed(docs: DataFrame, scratch: Scratch, percent: int, bits: int | None)
         "k2": "xxhash64(17, w)",
         "n": "size(w)",
         "s1": fold.format("1L"),
-        "s2": fold.format("shiftrightunsigned(x, 12) & 1L"),
-        "w": f"slice(w, 1, size(w) - cast(ceil({percent} * size(w) / 100D) as int) + 1)",
+        "s2": f"IF(size(w) > {LONG}, {fold.format('shiftrightunsigned(x, 12) & 1L')}, 0L)",  # of a half of the tokens; s1 ^ s2 is that of the others
+        "w": f"slice(w, 1, IF(size(w) > 0, size(w) - cast(ceil({percent} * size(w) / 100D) as int) + 1, 0))",
     }
-    lines = _with_tokens(_lines(rows), counts, bits).where("size(w) > 0").selectExpr("d", "t", "p", *(f"{sql} AS {name}" for name, sql in parts.items()))
-    lines = scratch.save(lines.withColumn("s1", F.expr("s1 ^ s2")), "lines")  # s2 has the tokens of one half, s1 now those of the other
+    # lines without words are left out later: a filter here would have the tokens made twice
+    lines = _with_tokens(_lines(rows), counts, bits).selectExpr("d", "t", "p", *(f"{sql} AS {name}" for name, sql in parts.items()))
+    lines = scratch.save(lines, "lines").where("n > 0")
     firsts = scratch.save(lines.groupBy("k", "k2").agg(F.min(F.struct("d", "p", "t")).alias("f")).selectExpr("k", "k2", "f.d AS fd", "f.p AS fp", "f.t AS ft"), "firsts")
     known = lines.join(firsts, ["k", "k2"])
     known = known.selectExpr("d", "t", "p", "n", "s1", "s2", "IF(d = fd AND p = fp AND t = ft, w, NULL) AS w", "d > fd OR (d = fd AND p > fp) AS again")
@@ -183,7 +187,7 @@ def dedup_lines(docs: DataFrame, percent: int = 80, bucket_bits: int | None = No
     """docs with their text's later similar lines removed; with counts, n_lines and n_removed are appended (in place of columns of that name).
 
     drop_emptied leaves out documents that lose every line that has words. bucket_bits:
-    the rarity order takes counts of 2**bucket_bits buckets; by default one a 32 words.
+    the rarity order takes counts of 2**bucket_bits buckets; by default one a 128 words.
     """
     scratch = Scratch(docs.sparkSession, "line-dedup")
     gone = _removed(docs, scratch, percent, bucket_bits)
