@@ -13,7 +13,7 @@ the prefixes before anything is shuffled. Prefix tokens are joined with length,
 positional and parity filters (two sets that differ in k tokens differ in at most k
 bits of their parity, of which long sets have 128 bits and others 64), and what is left is verified on whole token sets.
 
-Families of near copies stay linear: a set picks three of its prefix tokens by hash,
+Families of near copies stay linear: a set picks three of its commoner prefix tokens by hash,
 and where many sets of like length pick the same, each is first held against the
 earliest of them alone; those that match it are settled, the others go on with the
 earliest of themselves, for some rounds. Settled sets need no further match; the join
@@ -33,15 +33,16 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import Scratch, fresh, small
-from .substring_dedup import expected_words
+from .scratch import MOST_BROADCAST, Scratch, fresh, small
 
 LAST = (1 << 63) - 1
 PICKS = 3
 HOT = 32  # a crowd: sets of like length that pick one token; smaller ones go to the join as they are
 ROUNDS = 2
+WORDS = 128  # a bucket of token counts
 LONG = 64  # sets of more tokens have 128 bits of parity
 SHARED = 1 << 56  # tokens of the lowest class, which occur once, lie below
+COMMON = (2 * HOT.bit_length() - 2) << 56  # and those that occur too seldom for a crowd below this
 NO_WORD = "^[\\x20\\x09-\\x0D]*$"
 
 
@@ -112,9 +113,8 @@ def _whole(scratch: Scratch, places: DataFrame, rows: DataFrame, counts: DataFra
 
 def _settled(scratch: Scratch, sets: DataFrame, rows: DataFrame, counts: DataFrame, percent: int, bits: int) -> DataFrame:
     """(d, p, t) of sets that are similar to an early one of those that share a pick with them."""
-    picks = F.array(*(F.expr(f"array_min(transform(filter(w, x -> x >= {SHARED}), x -> xxhash64({j}, x)))") for j in range(PICKS)))
     # similar sets are of one class of lengths or of two that are neighbours
-    picked = sets.select("d", "p", "t", "n", "s1", "s2", F.floor(F.log("n") / math.log(100 / percent)).alias("m"), F.explode(picks).alias("pick")).where("pick IS NOT NULL")
+    picked = sets.select("d", "p", "t", "n", "s1", "s2", F.floor(F.log("n") / math.log(100 / percent)).alias("m"), F.explode_outer("picks").alias("pick")).where("pick IS NOT NULL")
     crowded = lambda x: x.groupBy("pick", "m").agg(F.count("*").alias("c"), F.min(F.struct("d", "p", "n", "s1", "s2")).alias("a")).where(f"c >= {HOT}").drop("c")
     heads = scratch.save(picked.groupBy("pick", "m").count().where(f"count >= {HOT}").select("pick", "m"), "hot")
     there = picked.join(small(heads, 16), ["pick", "m"])
@@ -142,7 +142,8 @@ def _removed(docs: DataFrame, scratch: Scratch, percent: int, bits: int | None)
     """(d, t, gone) of the texts that lose lines: their places, in order."""
     rows = _rows(docs)
     if bits is None:
-        bits = min(max((expected_words(docs) // 128).bit_length(), 16), 24)
+        size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+        bits = min(max((size // (6 * WORDS)).bit_length(), 16), 24)
     # the counts are a table of their own: a scalar read from it is not computed again with each use
     counts = scratch.save(_rarity(rows, bits), "rarity")
     fold = "aggregate(w, 0L, (a, x) -> a ^ shiftleft({}, cast(x & 63 as int)))"
@@ -152,17 +153,22 @@ def _removed(docs: DataFrame, scratch: Scratch, percent: int, bits: int | None)
         "n": "size(w)",
         "s1": fold.format("1L"),
         "s2": f"IF(size(w) > {LONG}, {fold.format('shiftrightunsigned(x, 12) & 1L')}, 0L)",  # of a half of the tokens; s1 ^ s2 is that of the others
-        "w": f"slice(w, 1, IF(size(w) > 0, size(w) - cast(ceil({percent} * size(w) / 100D) as int) + 1, 0))",
     }
     # lines without words are left out later: a filter here would have the tokens made twice
-    lines = _with_tokens(_lines(rows), counts, bits).selectExpr("d", "t", "p", *(f"{sql} AS {name}" for name, sql in parts.items()))
+    prefix = f"slice(w, 1, IF(size(w) > 0, size(w) - cast(ceil({percent} * size(w) / 100D) as int) + 1, 0))"
+    picks = ", ".join(f"array_min(transform(filter(w, x -> x >= {COMMON}), x -> xxhash64({j}, x)))" for j in range(PICKS))
+    lines = _with_tokens(_lines(rows), counts, bits).selectExpr("d", "t", "p", *(f"{sql} AS {name}" for name, sql in parts.items()), f"{prefix} AS w")
+    lines = lines.selectExpr("*", f"array({picks}) AS picks")
     lines = scratch.save(lines, "lines").where("n > 0")
-    firsts = scratch.save(lines.groupBy("k", "k2").agg(F.min(F.struct("d", "p", "t")).alias("f")).selectExpr("k", "k2", "f.d AS fd", "f.p AS fp", "f.t AS ft"), "firsts")
-    known = lines.join(firsts, ["k", "k2"])
-    known = known.selectExpr("d", "t", "p", "n", "s1", "s2", "IF(d = fd AND p = fp AND t = ft, w, NULL) AS w", "d > fd OR (d = fd AND p > fp) AS again")
-    known = scratch.save(known.where("again OR w IS NOT NULL"), "known")
-    scratch.drop("lines")
-    sets = known.where("w IS NOT NULL")
+    again = scratch.save(lines.groupBy("k", "k2").count().where("count > 1").select("k", "k2"), "again")
+    firsts = lines.join(small(again, 16), ["k", "k2"]).groupBy("k", "k2").agg(F.min(F.struct("d", "p", "t")).alias("f"))
+    firsts = scratch.save(firsts.selectExpr("k", "k2", "f.d AS fd", "f.p AS fp", "f.t AS ft"), "firsts")
+    n = firsts.count()
+    known = lines.join(small(firsts, 40, n), ["k", "k2"], "left")
+    known = known.selectExpr("d", "t", "p", "n", "s1", "s2", "w", "picks", "fd IS NULL OR (d = fd AND p = fp AND t = ft) AS first", "fd IS NOT NULL AND (d > fd OR (d = fd AND p > fp)) AS again")
+    if n * 40 > MOST_BROADCAST:
+        known = scratch.save(known, "known")
+    sets = known.where("first")
 
     settled = _settled(scratch, sets, rows, counts, percent, bits)
     marked = sets.join(small(settled.select("d", "p", "t", F.lit(1).alias("f")), 28), ["d", "p", "t"], "left")
