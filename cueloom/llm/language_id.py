@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scratch import fresh
+
 PIECE = 1 << 12
 MARGIN = 0.002
 SHORT = int(1 / MARGIN)
@@ -126,9 +128,8 @@ class Classifier:
         return self.languages[best], 1.0 if rest is None else (rest - sizes[best]) / rest
 
 
-def identify(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MARGIN) -> DataFrame:
-    """docs with lang_pred, score and accepted appended; columns of these names are replaced."""
-    docs = docs.drop("lang_pred", "score", "accepted")
+def _predictions(docs: DataFrame, dictionaries: dict[str, bytes], margin: float) -> tuple[DataFrame, Column]:
+    """docs with one more column, whose name clashes with none, and that column: struct(lang_pred, score, accepted)."""
     model: list[Classifier] = []
 
     def predict(batches):
@@ -142,13 +143,21 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MA
 
     predict.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     call = F.arrow_udf(predict, "lang_pred string, score double")
-    docs = docs.withColumn("_lid", call(F.col("text").cast("string")))
-    docs = docs.withColumns({"lang_pred": F.col("_lid.lang_pred"), "score": F.col("_lid.score")}).drop("_lid")
-    return docs.withColumn("accepted", (F.col("lang_pred") != "und") & (F.col("score") >= margin))
+    (name,) = fresh(docs.columns, "prediction")
+    docs = docs.withColumn(name, call(F.col("text").cast("string")))
+    accepted = (F.col(f"{name}.lang_pred") != "und") & (F.col(f"{name}.score") >= margin)
+    return docs.withColumn(name, F.col(name).withField("accepted", accepted)), F.col(name)
+
+
+def identify(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MARGIN) -> DataFrame:
+    """docs with lang_pred, score and accepted appended; columns of these names are replaced."""
+    docs = docs.drop("lang_pred", "score", "accepted")
+    made, prediction = _predictions(docs, dictionaries, margin)
+    return made.select(*docs.columns, *(prediction[x].alias(x) for x in ("lang_pred", "score", "accepted")))
 
 
 def keep_identified(docs: DataFrame, train: Column | None = None, margin: float = MARGIN) -> DataFrame:
-    """The rows whose language is identified, with the columns of docs."""
+    """The rows whose language is identified, with the columns of docs, whatever their names."""
     dictionaries = learn(docs, F.lit(True) if train is None else train)
-    names = docs.columns
-    return identify(docs, dictionaries, margin).where("accepted").select(*names)
+    made, prediction = _predictions(docs, dictionaries, margin)
+    return made.where(prediction["accepted"]).select(*docs.columns)

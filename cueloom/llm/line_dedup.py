@@ -156,10 +156,10 @@ def _removed(docs: DataFrame, scratch: Scratch, percent: int, bits: int | None)
     }
     # lines without words are left out later: a filter here would have the tokens made twice
     prefix = f"slice(w, 1, IF(size(w) > 0, size(w) - cast(ceil({percent} * size(w) / 100D) as int) + 1, 0))"
-    picks = ", ".join(f"array_min(transform(filter(w, x -> x >= {COMMON}), x -> xxhash64({j}, x)))" for j in range(PICKS))
+    picks = ", ".join(f"array_min(transform(common, x -> xxhash64({j}, x)))" for j in range(PICKS))
     lines = _with_tokens(_lines(rows), counts, bits).selectExpr("d", "t", "p", *(f"{sql} AS {name}" for name, sql in parts.items()), f"{prefix} AS w")
-    lines = lines.selectExpr("*", f"array({picks}) AS picks")
-    lines = scratch.save(lines, "lines").where("n > 0")
+    lines = lines.selectExpr("*", f"filter(w, x -> x >= {COMMON}) AS common").selectExpr("*", f"array({picks}) AS picks").drop("common")
+    lines = scratch.save(lines, "lines", "snappy").where("n > 0")  # hashes do not compress
     again = scratch.save(lines.groupBy("k", "k2").count().where("count > 1").select("k", "k2"), "again")
     firsts = lines.join(small(again, 16), ["k", "k2"]).groupBy("k", "k2").agg(F.min(F.struct("d", "p", "t")).alias("f"))
     firsts = scratch.save(firsts.selectExpr("k", "k2", "f.d AS fd", "f.p AS fp", "f.t AS ft"), "firsts")

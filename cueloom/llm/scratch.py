@@ -92,11 +92,11 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.uri}/{name}"
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
+    def save(self, df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
         before = self.spark.conf.get(CLEANUP, "false")
         self.spark.conf.set(CLEANUP, "true")
         try:
-            df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
+            df.write.mode("overwrite").option("compression", compression).parquet(self.path(name))
         finally:
             self.spark.conf.set(CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(self.path(name))

@@ -256,3 +256,11 @@ def test_plan_is_tight_and_complete():
         assert sum(n for _, n in made) <= 1.02 * -(-sum(k * v for k, v in counts.items()) // 2048) + 1
     million = plan({k: 10**6 for k in range(1, 2049)}, 2048)
     assert sum(n for _, n in million) <= 1.01 * sum(range(1, 2049)) * 10**6 / 2048
+
+
+def test_kept_rows_keep_columns_of_any_name(spark, docs):
+    from cueloom.llm.language_id import keep_identified
+
+    named = docs.select("doc_id", "text", "lang", docs.n.alias("score"), docs.h.alias("accepted"), docs.source.alias("lang_pred"), docs.h.alias("prediction"), docs.h.alias("_lid"))
+    got = keep_identified(named, margin=0.0)
+    assert got.columns == named.columns and {(r.score, r.accepted, r.lang_pred, r._lid) for r in got.collect()} == {(2, 1, "src", 1)}

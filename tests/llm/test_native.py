@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from cueloom.llm.license_scan import SENTENCES, license_scan
@@ -44,6 +46,28 @@ def test_line_dedup_edges(spark, empty):
     assert left.where("doc_id IS NULL").count() == 0 and left.count() == 6
 
 
+def test_line_dedup_keeps_columns_of_any_name(spark):
+    names = ["doc_id", "text", "d", "t", "P", "gone", "lines", "_gone", "n_lines", "n_removed", "w"]
+    rows = [(1, "a b c\nd e f", *range(9)), (2, "d e f\ng h i", *range(9))]
+    docs = spark.createDataFrame(rows, ", ".join(f"{n} {'string' if n == 'text' else 'long'}" for n in names))
+    got = dedup_lines(docs, counts=False).orderBy("doc_id")
+    assert got.columns == names and [tuple(r) for r in got.collect()] == [rows[0], (2, "g h i", *range(9))]
+    assert [(r.n_lines, r.n_removed, r.gone) for r in dedup_lines(docs).orderBy("doc_id").collect()] == [(2, 0, 3), (2, 1, 3)]
+
+
+def test_line_dedup_settles_a_large_family(spark):
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(40)]
+    texts = []
+    for i in range(150):
+        w = list(base)
+        for _ in range(rng.randint(0, 6)):
+            w[rng.randrange(40)] = f"x{rng.randrange(60)}"
+        texts.append((i, " ".join(w) + "\n" + " ".join(rng.choice(base) for _ in range(rng.randint(1, 30)))))
+    got = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in dedup_lines(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert got == brute_lines(texts, 80)
+
+
 def test_line_dedup_drops_copies_with_blank_lines(spark):
     rows = [(1, "a b c\n\nd e f\n"), (2, "a b c\n\nd e f\n"), (3, "a b c\n"), (4, "\n"), (5, "\na b c\n\ng h i\n")]
     got = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), bucket_bits=10, drop_emptied=True).collect()
