@@ -24,7 +24,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that repeat earlier ones; documents that lose every line go."""
-    return dedup_lines(docs, SIMILAR_PERCENT, drop_emptied=True).select(*docs.columns)
+    return dedup_lines(docs, SIMILAR_PERCENT, drop_emptied=True, counts=False)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,5 +62,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     scratch = Scratch(spark, "pipeline")
     for name, stage in STAGES:
-        docs = scratch.save(stage(spark, docs, sf_dir), name)
+        docs = scratch.only(stage(spark, docs, sf_dir), name)
+    scratch.leave()
     return docs
