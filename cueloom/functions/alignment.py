@@ -5,6 +5,8 @@ Both work on pairs of short word lists inside one row; nothing is shuffled.
 
 from __future__ import annotations
 
+from itertools import accumulate, pairwise
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
@@ -13,12 +15,17 @@ from pyspark.sql import functions as F
 from ..schema import WORDS_SQL
 from .text import col
 
-SCRIPT = "struct<ops:array<struct<op:string,original_index:int,patched_index:int,word:string>>,lcs:int,max_run:int>"
+SCRIPT = "array<struct<op:string,original_index:int,patched_index:int,word:string>>"
 
 
 def common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     """Index pairs of a longest common subsequence; walking back, a tie leaves the second list's word out first."""
     ids: dict[str, int] = {}
+    n, m = len(a), len(b)
+    while n and m and a[n - 1] == b[m - 1]:
+        n, m = n - 1, m - 1
+    ends = [(n + k, m + k) for k in range(len(a) - n)]  # walked back over without a choice
+    a, b = a[:n], b[:m]
     x = np.array([ids.setdefault(w, len(ids)) for w in a], np.int64)
     y = np.array([ids.setdefault(w, len(ids)) for w in b], np.int64)
     best = np.zeros((len(a) + 1, len(b) + 1), np.int32)
@@ -34,7 +41,7 @@ def common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
             i -= 1
         else:
             j -= 1
-    return pairs[::-1]
+    return pairs[::-1] + ends
 
 
 def edit_script(a: list[str], b: list[str]) -> list[tuple[str, int | None, int | None, str]]:
@@ -50,54 +57,53 @@ def edit_script(a: list[str], b: list[str]) -> list[tuple[str, int | None, int |
     return out
 
 
-def longest_change(script: list[tuple]) -> int:
-    longest = run = 0
-    for op, *_ in script:
-        run = 0 if op == "keep" else run + 1
-        longest = max(longest, run)
-    return longest
+def changes(a: list[str], b: list[str]) -> tuple[int, int]:
+    """(length of the common subsequence, most steps in a row that keep nothing)."""
+    kept = common(a, b)
+    gaps = pairwise([(-1, -1), *kept, (len(a), len(b))])
+    return len(kept), max(to - p - 1 + until - q - 1 for (p, q), (to, until) in gaps)
+
+
+def _shared(lead: dict, followers: list[str]) -> list[dict]:
+    """A timed word and those that follow it without times: each takes the later half of what its predecessor has left."""
+    rest = [{"word": w, "start": None, "end": None, "speaker": lead["speaker"], "score": None} for w in followers]
+    end = lead["end"]
+    if not rest or lead["start"] is None or end is None:
+        return [lead, *rest]
+    cuts = [*accumulate(followers, lambda cut, _: (cut + end) / 2, initial=lead["start"]), end]
+    return [{**w, "start": x, "end": y, "score": None} for w, (x, y) in zip([lead, *rest], pairwise(cuts), strict=True)]
 
 
 def reconciled(words: list[dict], patched: list[str], seg_start: float | None) -> list[dict]:
-    """The patched words with timings carried over from the original ones."""
+    """The patched words with timings carried over from the original ones.
+
+    Kept words cut both lists into blocks. A block's lead is its kept word, which lasts until
+    the end of the words removed behind it; before the first kept word it is the first added
+    one, which takes the whole span removed there, or the segment's start. The other added
+    words of a block share the lead's time. If words are removed from the front and none is
+    added, the first kept word starts where they did.
+    """
     if len(words) == len(patched):
         return [{**w, "word": p} for w, p in zip(words, patched, strict=True)]
+    kept = common([w["word"] for w in words], patched)
     out: list[dict] = []
-    waiting: dict | None = None  # timing of removed words that no kept word precedes
-    for op, i, j, _ in edit_script([w["word"] for w in words], patched):
-        if op == "keep":
-            word = dict(words[i])
-            if waiting:
-                if waiting["start"] is not None:
-                    word["start"] = waiting["start"]
-                word["score"], waiting = None, None
-            out.append(word)
-        elif op == "remove":
-            gone = words[i]
-            if out:
-                if gone["end"] is not None:
-                    out[-1]["end"] = gone["end"]
-                out[-1]["score"] = None
-            elif waiting is None:
-                waiting = {k: gone[k] for k in ("start", "end", "speaker")}
-            elif gone["end"] is not None:
-                waiting["end"] = gone["end"]
+    for (p, q), (to, until) in pairwise([(-1, -1), *kept, (len(words), len(patched))]):
+        gone, new = words[p + 1 : to], patched[q + 1 : until]
+        ends = [w["end"] for w in gone if w["end"] is not None]
+        if p >= 0:
+            lead = dict(words[p])
+            if q == 0 < p:
+                first = words[0]["start"]
+                lead |= {"start": lead["start"] if first is None else first, "score": None}
+            if gone:
+                lead |= {"end": ends[-1] if ends else lead["end"], "score": None}
+        elif new:
+            word, *new = new
+            span = (gone[0]["start"], ends[-1] if ends else None, gone[0]["speaker"]) if gone else (seg_start, seg_start, None)
+            lead = {"word": word, **dict(zip(("start", "end", "speaker"), span, strict=True)), "score": None}
         else:
-            word = {"word": patched[j], "start": None, "end": None, "speaker": None, "score": None}
-            if out:
-                last = out[-1]
-                if last["start"] is not None and last["end"] is not None:
-                    middle = (last["start"] + last["end"]) / 2
-                    word["start"], word["end"] = middle, last["end"]
-                    last["end"], last["score"] = middle, None
-                if last["speaker"]:
-                    word["speaker"] = last["speaker"]
-            elif waiting:
-                word.update(waiting)
-                waiting = None
-            else:
-                word["start"] = word["end"] = seg_start
-            out.append(word)
+            continue
+        out += _shared(lead, new)
     return out
 
 
@@ -107,11 +113,14 @@ def _script(a: pa.Array, b: pa.Array) -> pa.Array:
         if x is None or y is None:
             rows.append(None)
             continue
-        script = edit_script(x, y)
-        ops = [{"op": o, "original_index": i, "patched_index": j, "word": w} for o, i, j, w in script]
-        rows.append({"ops": ops, "lcs": sum(o == "keep" for o, *_ in script), "max_run": longest_change(script)})
+        rows.append([{"op": o, "original_index": i, "patched_index": j, "word": w} for o, i, j, w in edit_script(x, y)])
     step = pa.struct([("op", pa.string()), ("original_index", pa.int32()), ("patched_index", pa.int32()), ("word", pa.string())])
-    return pa.array(rows, pa.struct([("ops", pa.list_(step)), ("lcs", pa.int32()), ("max_run", pa.int32())]))
+    return pa.array(rows, pa.list_(step))
+
+
+def _changes(a: pa.Array, b: pa.Array) -> pa.Array:
+    got = [(None, None) if x is None or y is None else changes(x, y) for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)]
+    return pa.StructArray.from_arrays([pa.array([x for x, _ in got], pa.int32()), pa.array([x for _, x in got], pa.int32())], ["lcs", "max_run"])
 
 
 def _reconciled(words: pa.Array, patched: pa.Array, starts: pa.Array) -> pa.Array:
@@ -121,10 +130,15 @@ def _reconciled(words: pa.Array, patched: pa.Array, starts: pa.Array) -> pa.Arra
 
 
 def word_diff(a: Column | str, b: Column | str) -> Column:
-    """struct(ops, lcs, max_run) of two word arrays."""
+    """The edit script of two word arrays, an array of struct(op, original_index, patched_index, word)."""
     return F.arrow_udf(_script, SCRIPT)(col(a), col(b))
 
 
+def word_changes(a: Column | str, b: Column | str) -> Column:
+    """struct(lcs, max_run) of two word arrays: two numbers come back from Python, not the script."""
+    return F.arrow_udf(_changes, "lcs int, max_run int")(col(a), col(b))
+
+
 def reconcile_words(words: Column | str, patched: Column | str, seg_start: Column | str) -> Column:
     """words brought in line with the patched word list. Equal counts keep all timings, without leaving the JVM."""
     w, p = col(words), col(patched)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Validation
-from ..functions.alignment import norm_edit_distance, reconcile_words, word_change_ratio, word_diff
+from ..functions.alignment import norm_edit_distance, reconcile_words, word_change_ratio, word_changes
 from ..functions.text import bracketed_json, join_words, labelled_line, text_to_words, words_text
 from .speakers import apply_speaker_names
 
@@ -32,20 +32,20 @@ def parse_responses(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
 def validated(pairs: DataFrame, config: Validation = Validation()) -> DataFrame:
     """pairs (original, corrected) with ratio, distance, run and ignore_reason (null: the edit is good).
 
-    Equal texts and disabled validation never reach the alignment.
+    Equal texts never reach the alignment. Without validation every pair is good, equal texts too.
     """
     a, b = text_to_words(F.lower("original")), text_to_words(F.lower("corrected"))
     made = pairs.withColumns({"_a": a, "_b": b})
     differ = F.col("original") != F.col("corrected")
-    made = made.withColumn("_d", word_diff(F.when(differ, F.col("_a")), F.when(differ, F.col("_b"))))
+    made = made.withColumn("_d", word_changes(F.when(differ, F.col("_a")), F.when(differ, F.col("_b"))))
     n, m = F.size("_a"), F.size("_b")
     run = F.when(~differ, 0).when((n == 0) | (m == 0), F.greatest(n, m)).otherwise(F.col("_d.max_run"))
     made = made.withColumns({"ratio": F.when(differ, word_change_ratio("_d.lcs", n, m)).otherwise(F.lit(0.0)), "run": run})
     distance = norm_edit_distance("original", "corrected")
     long_run = F.when(F.col("run") > config.max_consecutive_changes, F.lit("consecutive-changes"))
     ladder = (
-        F.when(~differ, F.lit("no-change"))
-        .when(F.lit(not config.enabled), F.lit(None))
+        F.when(F.lit(not config.enabled), F.lit(None))
+        .when(~differ, F.lit("no-change"))
         .when(n < config.min_words_for_ratio_check, long_run)
         .when(F.col("ratio") > config.max_word_change_ratio, F.lit("word-change-ratio"))
         .when(F.col("distance") > config.max_normalized_edit_distance, F.lit("edit-distance"))
@@ -72,6 +72,8 @@ def apply_suggestions(
         own = ranked.where(F.col("_rank") == k).select("transcript_id", F.col("idx").alias("seg_idx"), "ord", F.col("text").alias("corrected"))
         met = current.join(own, ["transcript_id", "seg_idx"], "left").withColumn("original", words_text())
         judged = validated(met, config)
+        same = F.col("original") == F.col("corrected")  # nothing to apply, validation or not
+        judged = judged.withColumn("ignore_reason", F.when(same, F.lit("no-change")).otherwise(F.col("ignore_reason")))
         use = F.col("ord").isNotNull() & F.col("ignore_reason").isNull()
         judged = judged.withColumn("_new", F.when(use, text_to_words("corrected")))
         words = F.when(use & (F.size("words") > 0), reconcile_words("words", "_new", "start")).otherwise(F.col("words"))

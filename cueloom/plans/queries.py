@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import Captions, Normalization, Validation
-from ..functions.alignment import edit_distance, norm_edit_distance, reconcile_words, word_change_ratio, word_diff
+from ..functions.alignment import edit_distance, norm_edit_distance, reconcile_words, word_change_ratio, word_changes, word_diff
 from ..functions.text import byte_size, decoded_key, effective_speaker, escape_html, labelled_line, model_of, output_base, region_of, words_text, worker_base
 from ..functions.timing import srt_timestamp, vtt_timestamp
 from ..operators import captions as cap
@@ -293,7 +293,7 @@ def lcs_and_ratio(spark, sf_dir):
     made = segments(spark, sf_dir).select(*KEY, toks.alias("a")).withColumn("b", F.filter("a", lambda w, i: i % 7 != 3))
     first = F.get("a", F.lit(0))
     made = made.withColumn("c", F.concat(F.array(first, F.concat(first, F.lit("x"))), F.slice("a", 2, F.greatest(F.size("a") - 1, F.lit(0)))))
-    made = made.withColumns({"x": word_diff("a", "b")["lcs"], "y": word_diff("a", "c")["lcs"]})
+    made = made.withColumns({"x": word_changes("a", "b")["lcs"], "y": word_changes("a", "c")["lcs"]})
     return made.select(
         *KEY, F.col("x").cast("long").alias("lcs_dropped"), F.col("y").cast("long").alias("lcs_doubled"),
         word_change_ratio("x", F.size("a"), F.size("b")).alias("ratio_dropped"), word_change_ratio("y", F.size("a"), F.size("c")).alias("ratio_doubled"),
@@ -302,7 +302,7 @@ def lcs_and_ratio(spark, sf_dir):
 
 @query()
 def word_diff_ops(spark, sf_dir):
-    made = _pairs(spark, sf_dir).select(*KEY, F.posexplode(word_diff(F.split("original", " "), F.split("corrected", " "))["ops"]).alias("k", "op"))
+    made = _pairs(spark, sf_dir).select(*KEY, F.posexplode(word_diff(F.split("original", " "), F.split("corrected", " "))).alias("k", "op"))
     return made.select(*KEY, "k", "op.*")
 
 
