@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..config import PipelineConfig
 from ..operators.captions import render_json, render_srt, render_vtt
@@ -12,7 +14,7 @@ from ..operators.jobs import new_keys
 from ..operators.normalization import normalize_segments
 from ..operators.replacement import apply_replacements
 from ..operators.suggestions import apply_suggestions
-from ..sources.documents import output_manifest, parse_transcripts, to_segments, write_documents, write_table
+from ..sources.documents import output_manifest, set_aside, to_segments, write_captions, write_table
 
 
 @dataclass
@@ -32,6 +34,10 @@ def process(segments: DataFrame, config: PipelineConfig, updates: DataFrame | No
         stats |= {"refinement": counts, "applied": applied, "ignored": ignored}
     if config.normalization.normalize:
         segments, stats["normalization"] = normalize_segments(segments, config.normalization)
+    return Result(segments, captions(segments, config), stats)
+
+
+def captions(segments: DataFrame, config: PipelineConfig) -> dict[str, DataFrame]:
     documents = {}
     if config.captions.generate_vtt:
         documents["vtt"] = render_vtt(segments, config.captions)
@@ -39,27 +45,40 @@ def process(segments: DataFrame, config: PipelineConfig, updates: DataFrame | No
         documents["srt"] = render_srt(segments, config.captions)
     if config.captions.generate_simplified_json:
         documents["json"] = render_json(segments)
-    return Result(segments, documents, stats)
+    return documents
+
 
+def run_batch(transcripts: DataFrame, out: str, config: PipelineConfig, skip_existing: bool | None = None, run: str | None = None) -> Result:
+    """Process transcripts (key, output_base, segments) and write segments, statistics and caption files under out.
 
-def run_batch(transcripts: DataFrame, out: str, config: PipelineConfig, skip_existing: bool | None = None) -> Result:
-    """Process transcripts (key, output_base, segments) and write segments, statistics and captions under out."""
+    Each run adds partitions of its own (run=...) and overwrites nothing of other runs;
+    its manifest comes last, so that what is listed there is whole. Run names are
+    ordered by time unless given. Captions are rendered from the written segments.
+    """
     spark = transcripts.sparkSession
     if config.transcription.skip_if_output_exists if skip_existing is None else skip_existing:
         transcripts = new_keys(transcripts, output_manifest(spark, out))
+    run = run or f"{time.time_ns():020d}"
+    names = transcripts.select("output_base", F.xxhash64("key").alias("transcript_id"), "key")
     result = process(to_segments(transcripts), config)
-    write_table(result.segments, f"{out}/segments")
+    write_table(result.segments, f"{out}/segments/run={run}")
     for kind, df in result.stats.items():
-        write_table(df, f"{out}/stats/{kind}")
-    for kind, df in result.documents.items():
-        write_documents(df, f"{out}/captions", kind)
-    return result
+        write_table(df, f"{out}/stats/{kind}/run={run}")
+    segments = spark.read.schema(result.segments.schema).parquet(f"{out}/segments/run={run}")
+    documents = captions(segments, config)
+    for kind, df in documents.items():
+        write_table(write_captions(df.join(names, "transcript_id"), f"{out}/output", kind), f"{out}/captions/{kind}/run={run}")
+    write_table(names, f"{out}/manifest/run={run}")
+    return Result(segments, documents, result.stats)
 
 
 def handle_batch(out: str, config: PipelineConfig):
-    """A foreachBatch handler of arriving documents (key, extra). Each batch has a folder of its own, so a repeated one overwrites itself."""
+    """A foreachBatch handler of arriving documents (key, extra). A batch is a run named by its number, so a repeated one overwrites itself; documents that can't be read go to failed/."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        run_batch(parse_transcripts(batch), f"{out}/batch={batch_id}", config, skip_existing=False)
+        run = f"batch-{batch_id:012d}"
+        transcripts, failed = set_aside(batch)
+        write_table(failed, f"{out}/failed/run={run}")
+        run_batch(transcripts, out, config, run=run)
 
     return handle

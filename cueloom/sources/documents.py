@@ -2,17 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+import uuid
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import output_base
 from ..schema import SEGMENT, SEGMENTS, TRANSCRIPT
 
 
+def key_below(spark: SparkSession, path: str) -> Column:
+    """For a file source: the file's path below the folder that is read, as a name (not percent-encoded)."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    root = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toUri().getPath().rstrip("/") + "/"
+    # a plus sign is no space in a file's path
+    whole = F.url_decode(F.replace(F.regexp_replace(F.col("_metadata.file_path"), "^[A-Za-z0-9+.-]+:(//[^/]*)?", ""), F.lit("+"), F.lit("%2B")))
+    return F.when(whole.startswith(root), F.substr(whole, F.lit(len(root) + 1))).otherwise(F.col("_metadata.file_name"))
+
+
 def read_transcripts(spark: SparkSession, path: str) -> DataFrame:
-    """One row per JSON document: key, output_base, extra (the whole text), segments. A malformed or empty one fails the read."""
-    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("key"), F.col("value").alias("extra"))
-    return parse_transcripts(raw)
+    """One row per JSON document in the folder and those below: key (the path below it), output_base, extra (the whole text), segments. A malformed or empty one fails the read."""
+    raw = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+    return parse_transcripts(raw.select(key_below(spark, path).alias("key"), F.col("value").alias("extra")))
 
 
 def parse_transcripts(raw: DataFrame) -> DataFrame:
@@ -21,6 +34,14 @@ def parse_transcripts(raw: DataFrame) -> DataFrame:
     return raw.withColumn("extra", body).select("key", output_base("key").alias("output_base"), "extra", strict["segments"].alias("segments"))
 
 
+def set_aside(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(transcripts, failed) of documents (key, extra): one that is no JSON or has no segments costs only itself."""
+    made = raw.withColumn("segments", F.from_json("extra", TRANSCRIPT)["segments"])
+    good = F.try_parse_json("extra").isNotNull() & F.col("segments").isNotNull()
+    transcripts = made.where(good).select("key", output_base("key").alias("output_base"), "extra", "segments")
+    return transcripts, made.where(~F.coalesce(good, F.lit(False))).select("key", "extra")
+
+
 def to_segments(transcripts: DataFrame) -> DataFrame:
     """Transcripts as segment rows, keyed by a hash of their key; place in the list becomes seg_idx."""
     each = transcripts.select(F.xxhash64("key").alias("transcript_id"), F.posexplode("segments").alias("seg_idx", "s"))
@@ -42,13 +63,46 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def write_documents(documents: DataFrame, path: str, kind: str) -> None:
-    """Caption texts (transcript_id, document), one file per transcript under kind=... folders, written by the executors."""
-    out = documents.select(F.col("document").alias("value"), F.col("transcript_id"))
-    out.write.mode("overwrite").partitionBy("transcript_id").option("lineSep", "\n").text(f"{path}/{kind}")
+def write_captions(documents: DataFrame, path: str, kind: str) -> DataFrame:
+    """Write each document (output_base, document) to path/<output_base>_caption.<kind>, byte for byte. Returns (output_base, path, n_bytes).
+
+    Executors write to a name of their own and rename it, so a repeated task leaves one whole file.
+    """
+    spark = documents.sparkSession
+    top = spark._jvm.org.apache.hadoop.fs.Path(path)
+    top = top.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(top).toString()
+
+    def write(batches):
+        from pyarrow import fs
+
+        system, root = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", top))
+        for batch in batches:
+            paths, sizes = [], []
+            for base, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if ".." in base.split("/"):
+                    raise ValueError(f"a key may not leave the folder: {base}")
+                to, data = f"{root}/{base}_caption.{kind}", text.encode()
+                system.create_dir(to.rpartition("/")[0])
+                with system.open_output_stream(own := f"{to}.{uuid.uuid4().hex}") as f:
+                    f.write(data)
+                system.move(own, to)
+                paths.append(to)
+                sizes.append(len(data))
+            yield pa.record_batch([batch.column(0), pa.array(paths, pa.string()), pa.array(sizes, pa.int64())], ["output_base", "path", "n_bytes"])
+
+    return documents.select("output_base", "document").mapInArrow(write, "output_base string, path string, n_bytes long")
 
 
 def output_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """output_base of the documents under a folder, from file listings alone."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
-    return files.select(F.regexp_replace(F.regexp_extract("path", "([^/]+)$", 1), r"\.[^.]+$", "").alias("output_base")).distinct()
+    """(output_base, transcript_id, key, run) of what is done under a folder; empty before the first run."""
+    shape = "output_base string, transcript_id long, key string, run string"
+    top = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/manifest")
+    if not top.getFileSystem(spark._jsc.hadoopConfiguration()).exists(top):
+        return spark.createDataFrame([], shape)
+    return spark.read.schema(shape).parquet(f"{path}/manifest")
+
+
+def current(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """Rows of a table (segments, stats/...) of the run that last wrote each transcript; runs are ordered by name."""
+    last = output_manifest(spark, path).groupBy("transcript_id").agg(F.max("run").alias("run"))
+    return spark.read.parquet(f"{path}/{table}").join(last, ["transcript_id", "run"], "left_semi")

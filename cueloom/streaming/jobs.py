@@ -9,13 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQueryListener
 
+from ..sources.documents import key_below
+
 MESSAGE = "type string, until string, s3_key string, callback_id string, worker string"
 
 
 def arrivals(spark: SparkSession, path: str, glob: str = "*.json", most_files: int = 100) -> DataFrame:
-    """A stream of new documents under a folder: key and text, at most so many files a batch."""
-    source = spark.readStream.format("text").option("wholetext", "true").option("pathGlobFilter", glob).option("maxFilesPerTrigger", most_files)
-    return source.load(path).select(F.col("_metadata.file_name").alias("key"), F.col("value").alias("extra"))
+    """A stream of new documents under a folder: key (the path below it) and text, at most so many files a batch."""
+    source = spark.readStream.format("text").option("wholetext", "true").option("pathGlobFilter", glob).option("maxFilesPerTrigger", most_files).option("recursiveFileLookup", "true")
+    return source.load(path).select(key_below(spark, path).alias("key"), F.col("value").alias("extra"))
 
 
 def messages(raw: DataFrame) -> DataFrame:

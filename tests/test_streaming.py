@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cueloom.config import load_config
 from cueloom.plans.pipeline import handle_batch, run_batch
-from cueloom.sources.documents import read_transcripts, to_segments, to_transcripts
+from cueloom.sources.documents import current, read_transcripts, to_segments, to_transcripts
 from cueloom.streaming.jobs import IdleStop, arrivals, await_callbacks, run_stream, warmup_state
 
 DOC = {"segments": [{"start": 0, "end": 2.5, "text": " the end", "speaker": "A", "words": [{"word": "the", "start": 0, "end": 1}, {"word": "end", "start": 1, "end": 2.5}]}], "more": 1}
@@ -19,20 +19,40 @@ def test_documents_round_trip_and_batch(spark, tmp_path):
     assert row.output_base == "ep" and json.loads(row.extra)["more"] == 1
     back = json.loads(to_transcripts(to_segments(got)).first()["json"])
     assert back["segments"][0]["words"][1]["end"] == 2.5
-    config = load_config({"replacementRules": [{"type": "literal", "search": "end", "replacement": "END"}], "transcription": {"skipIfOutputExists": False}})
+    config = load_config({"replacementRules": [{"type": "literal", "search": "end", "replacement": "END"}]})
     result = run_batch(got, str(tmp_path / "out"), config)
     assert result.segments.first().text == "the END"
-    assert set(p.name for p in (tmp_path / "out/captions").iterdir()) == {"vtt", "srt", "json"}
+    assert sorted(p.name for p in (tmp_path / "out/output").iterdir() if p.suffix != ".crc") == ["ep_caption.json", "ep_caption.srt", "ep_caption.vtt"]
+    assert (tmp_path / "out/output/ep_caption.vtt").read_bytes().decode() == result.documents["vtt"].first().document
+
+
+def test_batches_skip_what_is_done_and_keep_equal_names_apart(spark, tmp_path):
+    for name, text in (("a/ep 1+x.json", "one"), ("b/ep 1+x.json", "two")):
+        (tmp_path / "in" / name).parent.mkdir(parents=True)
+        (tmp_path / "in" / name).write_text(json.dumps({"segments": [{"start": 0, "end": 1, "text": text}]}))
+    config, out = load_config({"transcription": {"skipIfOutputExists": True}}), str(tmp_path / "out")
+    assert run_batch(read_transcripts(spark, str(tmp_path / "in")), out, config).segments.count() == 2
+    first = (tmp_path / "out/output/a/ep 1+x_caption.vtt").read_text()
+    assert "one" in first and "two" in (tmp_path / "out/output/b/ep 1+x_caption.vtt").read_text()
+    (tmp_path / "in/c.json").write_text(json.dumps({"segments": [{"start": 0, "end": 1, "text": "three"}]}))
+    assert [r.text for r in run_batch(read_transcripts(spark, str(tmp_path / "in")), out, config).segments.collect()] == ["three"]
+    assert sorted(r.text for r in current(spark, out, "segments").collect()) == ["one", "three", "two"]
+    assert (tmp_path / "out/output/a/ep 1+x_caption.vtt").read_text() == first
+    again = run_batch(read_transcripts(spark, str(tmp_path / "in")), out, config, skip_existing=False)
+    assert again.segments.count() == 3 and current(spark, out, "segments").count() == 3
 
 
 def test_arrivals_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in/a.json").write_text(json.dumps(DOC))
+    (tmp_path / "in/bad.json").write_text("{no json")
+    (tmp_path / "in/odd.json").write_text('{"segments": 3}')
     source = arrivals(spark, str(tmp_path / "in"))
     for _ in range(2):  # the second run finds nothing new
         run_stream(source, handle_batch(str(tmp_path / "out"), load_config()), str(tmp_path / "check"), str(tmp_path / "done")).awaitTermination(120)
-    assert spark.read.parquet(str(tmp_path / "out/batch=0/segments")).count() == 1
-    assert not (tmp_path / "out/batch=1").exists()
+    assert spark.read.parquet(str(tmp_path / "out/segments")).count() == 1
+    assert sorted(r.key for r in spark.read.parquet(str(tmp_path / "out/failed")).collect()) == ["bad.json", "odd.json"]
+    assert [p.name for p in (tmp_path / "out/segments").iterdir()] == ["run=batch-000000000000"]
 
 
 def test_warmup_state_only_extends(spark, tmp_path):
