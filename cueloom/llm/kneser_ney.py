@@ -4,11 +4,14 @@ Any order from 2. Words and their n-grams are counted as sorted arrays: a map ta
 for each shard of the hash range, the distinct entries it met with their counts;
 a shard's task adds them up. Nothing passes through the driver but the number of
 entries a shard and the counts of counts, and no shard holds more than its share, as
-entries are dealt by a hash of their own. The model is two families of files in
-the shared folder: words (hash, count, context total, how many follow once,
-twice, more often, how many precede) and bigrams (hash, count). Beyond order 2 each
-length k has two more: k-grams (hash, count) and their contexts (hash, total, how many
-follow once, twice, more often). Workers map them and read the pages they touch.
+entries are dealt by a hash of their own. The model is families of files in the
+shared folder, of one file a shard: words (hash, count, id; context total, how many follow
+once, twice, more often, how many precede), and for each length from 3 the contexts
+(hash, how many follow; where these are many, total, once, twice) with the last words of
+their n-grams and these n-grams' counts side by side. A bigram's count lies beside the context that it is.
+Counts take one byte, with a list of those that are larger. Workers map the files and
+read the pages they touch. Each length is counted in an action of its own, the longest
+in passes over the texts, each of which takes its share of the shards.
 
     P(w|v) = max(c(vw) - D(c), 0) / c(v.) + (D1 N1(v) + D2 N2(v) + D3 N3(v)) / c(v.) * P(w)
     P(w)   = max(N(.w) - E(N), 0) / N(..) + (E1 M1 + E2 M2 + E3 M3) / N(..) / (V + 1)
@@ -28,13 +31,15 @@ At most 2**32 distinct words.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import Scratch, SortedTable, mapped, write_array
+from .scratch import Scratch, SortedTable, columns, narrow, write_columns
 from .substring_dedup import expected_words
 from .text import mix, streams, unmix
 
@@ -43,9 +48,13 @@ FLUSH = 3 << 20
 SHARD = 22
 U = np.uint64
 GOLDEN = U(0x9E3779B97F4A7C15)
-CONTEXT = [("total", "int64"), ("n1", "uint32"), ("n2", "uint32"), ("n3", "uint32")]
 ROW = "level long, shard long, keys binary, counts binary, info array<long>"
-WORD = [("c", "int64"), ("context", "int64"), ("n1", "uint32"), ("n2", "uint32"), ("n3", "uint32"), ("before", "uint32"), ("id", "uint32")]
+RAW = [np.uint64, None, np.uint32]  # hash, count, id
+WORD = [None] * 5  # context total, followers by count (1, 2, more), words before; in order of RAW
+GRAMS = [np.uint64, None, np.uint32, np.uint32, None, *[np.int64] * 4]  # contexts: hash, followers, where each block's n-grams begin; n-grams: last word, count; contexts of many: place, total, followers by count (1, 2)
+PAIRS = [None, np.uint64, None]  # counts of the bigrams that are contexts; hash and count of others
+BLOCK = MANY = 8
+PASSES = 2
 
 
 def _pack(values: np.ndarray, counts: np.ndarray | None = None) -> bytes:
@@ -82,10 +91,42 @@ def _context(ids: list[np.ndarray]) -> np.ndarray:
     return key
 
 
-def _gram(context: np.ndarray, last: np.ndarray, bits: int) -> np.ndarray:
-    """Hash of an n-gram, in the shard of its context."""
-    key = mix(context + GOLDEN * (last.astype(np.uint64) + U(1)))
-    return context >> U(64 - bits) << U(64 - bits) | key >> U(bits) if bits else key
+def _at(keys: np.ndarray, want: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of want are among sorted keys, and the places of these."""
+    at = np.searchsorted(keys, want)
+    hit = np.flatnonzero(at < len(keys))
+    hit = hit[keys[at[hit]] == want[hit]]
+    return hit, at[hit]
+
+
+def _within(values: np.ndarray, start: np.ndarray, stop: np.ndarray, want: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same, each of want in its own sorted range of values."""
+    low, high = start.copy(), stop.copy()
+    live = np.flatnonzero(low < high)
+    while len(live):
+        mid = (low[live] + high[live]) // 2
+        less = values[mid] < want[live]
+        low[live[less]] = mid[less] + 1
+        high[live[~less]] = mid[~less]
+        live = live[low[live] < high[live]]
+    hit = np.flatnonzero(low < stop)
+    hit = hit[values[low[hit]] == want[hit]]
+    return hit, low[hit]
+
+
+class Files:
+    """A family of column files, one a shard."""
+
+    def __init__(self, scratch: Scratch, name: str, bits: int, shards, types: list):
+        self.uri, self.bits, self.shards, self.types = scratch.path(f"model/{name}"), bits, set(shards), types
+        scratch.publish([f"model/{name}-{s}.bin" for s in self.shards])
+
+    def read(self, shard: int) -> list:
+        return columns(f"{self.uri}-{shard}.bin", self.types)
+
+    def parts(self, keys: np.ndarray):
+        """(shard, from, to) of runs of sorted keys, where there are files."""
+        return [x for x in _parts(keys, self.bits) if x[0] in self.shards]
 
 
 def _sum_grams(ids: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
@@ -104,16 +145,17 @@ def _changes(ids: list[np.ndarray]) -> np.ndarray:
     return new
 
 
-def _rows(ids: list[np.ndarray], counts: np.ndarray, bits: int) -> list[tuple]:
-    """Rows of ROW: the distinct n-grams for each shard of contexts; of bigrams, the sorted mixed pairs for each shard of their own."""
-    if len(ids) == 2:
-        keys, counts = _sum(_context(ids), counts)
-        return [(2, s, _pack(keys[a:b]), _pack(counts[a:b].astype(np.uint32), counts), []) for s, a, b in _parts(keys, bits)]
+def _rows(ids: list[np.ndarray], counts: np.ndarray, bits: int, turn: int | None = None) -> list[tuple]:
+    """Rows of ROW: the distinct n-grams for each shard of contexts; of bigrams, for each shard of their own. turn: of those shards only."""
+    by = _context(ids if len(ids) == 2 else ids[:-1])
+    if turn is not None:
+        own = np.flatnonzero(SortedTable.shard(by, bits) % PASSES == turn)
+        ids, counts = [x[own] for x in ids], counts[own]
     ids, counts = _sum_grams(ids, counts)
-    context = _context(ids[:-1])
-    order = np.argsort(SortedTable.shard(context, bits), kind="stable")
+    by = _context(ids if len(ids) == 2 else ids[:-1])
+    order = np.argsort(SortedTable.shard(by, bits), kind="stable")
     ids, counts = [x[order].astype(np.uint32) for x in ids], counts[order].astype(np.uint32)
-    return [(len(ids), s, _pack(np.concatenate([x[a:b] for x in ids]), counts), _pack(counts[a:b], counts), []) for s, a, b in _parts(context[order], bits)]
+    return [(len(ids), s, _pack(np.concatenate([x[a:b] for x in ids]), counts), _pack(counts[a:b], counts), []) for s, a, b in _parts(by[order], bits)]
 
 
 def _table(rows: list[tuple]) -> pa.Table:
@@ -146,10 +188,67 @@ def _discounts(n: list[int]) -> tuple[float, float, float]:
 class Model:
     """The files' places and the scalars of a trained model; small enough for a closure."""
 
-    def __init__(self, words: SortedTable, bigrams: SortedTable, tokens: int, types: int, d, e, pairs: int, spread: float):
-        self.words, self.bigrams, self.tokens, self.types = words, bigrams, tokens, types
-        self.d, self.e, self.pairs, self.spread = d, e, pairs, spread
-        self.longer: list[tuple[int, SortedTable, SortedTable, tuple]] = []  # length, its n-grams, their contexts, discounts
+    def __init__(self, raw: Files, words: Files, pairs: Files, longer: list[tuple[int, Files, tuple]], tokens: int, types: int, d, e, n_pairs: int, spread: float):
+        self.raw, self.words, self.pairs, self.tokens, self.types = raw, words, pairs, tokens, types
+        self.longer = longer  # length, its n-grams and their contexts, discounts
+        self.d, self.e, self.n_pairs, self.spread = d, e, n_pairs, spread
+
+    def _find_words(self, kinds: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+        there = np.zeros(len(kinds), bool)
+        v = {name: np.zeros(len(kinds), np.int64) for name in ("id", "c", "context", "n1", "n2", "n3", "before")}
+        for s, a, b in self.raw.parts(kinds):
+            keys, c, ids = self.raw.read(s)
+            hit, at = _at(keys, kinds[a:b])
+            there[a + hit] = True
+            for x, values in zip(v.values(), (ids, c, *self.words.read(s)), strict=True):
+                x[a + hit] = values[at]
+        return there, v
+
+    def _count_pairs(self, keys: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(keys), np.int64)
+        for s, a, b in self.pairs.parts(keys):
+            n, rest, n_rest = self.pairs.read(s)
+            kinds = [(rest, n_rest)]
+            if self.longer and s in self.longer[0][1].shards:
+                kinds.append((self.longer[0][1].read(s)[0], n))
+            for hashes, values in kinds:
+                hit, at = _at(hashes, keys[a:b])
+                out[a + hit] = values[at]
+        return out
+
+    def _follow(self, grams: Files, keys: np.ndarray, last: np.ndarray, known: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
+        """For each key of a context, the context's totals, and the count of its n-gram with this last word."""
+        kinds, back = np.unique(keys, return_inverse=True)
+        v = {name: np.zeros(len(kinds), np.int64) for name in ("total", "n1", "n2", "n", "start")}
+        seen = np.zeros(len(keys), np.int64)
+        order = np.argsort(back, kind="stable")
+        order = order[known[order]]
+        for s, a, b in grams.parts(kinds):
+            hashes, n, blocks, lasts, counts, places, *many = grams.read(s)
+            hit, at = _at(hashes, kinds[a:b])
+            if not len(hit):
+                continue
+            first = at // BLOCK * BLOCK
+            start, size = blocks[at // BLOCK].astype(np.int64), n[at]
+            for j in range(BLOCK - 1):
+                some = np.flatnonzero(first + j < at)
+                start[some] += n[first[some] + j]
+            found = {name: np.zeros(len(at), np.int64) for name in ("total", "n1", "n2")} | {"n": size, "start": start}
+            for j in range(MANY):
+                some = np.flatnonzero((size > j) & (size <= MANY))
+                c = counts[start[some] + j]
+                for name, x in zip(found, (c, c == 1, c == 2), strict=False):
+                    found[name][some] += x
+            some = np.flatnonzero(size > MANY)
+            for name, x in zip(found, many, strict=False):
+                found[name][some] = x[np.searchsorted(places, at[some])]
+            for name, x in found.items():
+                v[name][a + hit] = x
+            own = order[slice(*np.searchsorted(back[order], (a, b)))]
+            start, stop = v["start"][back[own]], v["start"][back[own]] + v["n"][back[own]]
+            hit, at = _within(lasts, start, stop, last[own].astype(np.uint32))
+            seen[own[hit]] = counts[at]
+        return {name: x[back] for name, x in v.items()}, seen
 
     def score(self, texts: pa.Array) -> list[np.ndarray]:
         """For each row: tokens, known tokens, base log10 probability, model log10 probability."""
@@ -157,7 +256,7 @@ class Model:
         d, e = np.array([0.0, *self.d]), np.array([0.0, *self.e])
         for _, sizes, h in _sentences(texts):
             kinds, at = np.unique(h, return_inverse=True)
-            there, v = self.words.find(kinds)
+            there, v = self._find_words(kinds)
             ends = np.cumsum(sizes)
             token = np.ones(len(h), bool)
             token[ends - sizes] = False
@@ -166,23 +265,23 @@ class Model:
             c = v["c"][w]
             n = v["before"].astype(np.float64)
             lower = np.full(len(kinds), 1.0)
-            if self.pairs:
-                lower = np.maximum(n - e[np.minimum(v["before"], 3)], 0) / self.pairs + self.spread / (self.types + 1)
+            if self.n_pairs:
+                lower = np.maximum(n - e[np.minimum(v["before"], 3)], 0) / self.n_pairs + self.spread / (self.types + 1)
             lower = lower[w]
             context = v["context"][before].astype(np.float64)
             both = there[w] & there[before]
-            key = mix(v["id"][before[both]].astype(np.uint64) << U(32) | v["id"][w[both]])
+            key = mix(v["id"][before[both]].astype(np.uint64) << U(32) | v["id"][w[both]].astype(np.uint64))
             seen = np.zeros(len(now), np.int64)
             if len(key):
                 some, back = np.unique(key, return_inverse=True)
-                seen[both] = self.bigrams.find(some)[1]["n"][back]
+                seen[both] = self._count_pairs(some)[back]
             with np.errstate(divide="ignore", invalid="ignore"):
                 gamma = (d[1] * v["n1"][before] + d[2] * v["n2"][before] + d[3] * v["n3"][before]) / context
                 p = np.maximum(seen - d[np.minimum(seen, 3)], 0) / context + gamma * lower
             p = np.where(context > 0, p, lower)
             ids, known = v["id"][at], there[at]
             place = now - np.repeat(ends - sizes, sizes - 1)
-            for k, grams, contexts, discounts in self.longer:
+            for k, grams, discounts in self.longer:
                 some = place >= k - 1
                 for j in range(1, k):
                     some[some] = known[now[some] - j]
@@ -191,16 +290,11 @@ class Model:
                     continue
                 dk = np.array([0.0, *discounts])
                 key = _context([ids[now[some] - j] for j in range(k - 1, 0, -1)])
-                kind, back = np.unique(key, return_inverse=True)
-                c_of = {name: x[back] for name, x in contexts.find(kind)[1].items()}
-                met = c_of["total"] > 0
-                some, key, c_of = some[met], key[met], {name: x[met] for name, x in c_of.items()}
-                seen = np.zeros(len(some), np.int64)
-                there_w = known[now[some]]
-                kind, back = np.unique(_gram(key[there_w], ids[now[some[there_w]]], grams.bits), return_inverse=True)
-                seen[there_w] = grams.find(kind)[1]["n"][back]
-                gamma = dk[1] * c_of["n1"] + dk[2] * c_of["n2"] + dk[3] * c_of["n3"]
-                p[some] = (np.maximum(seen - dk[np.minimum(seen, 3)], 0) + gamma * p[some]) / c_of["total"]
+                of, seen = self._follow(grams, key, ids[now[some]], known[now[some]])
+                met = np.flatnonzero(of["total"] > 0)
+                some, seen, of = some[met], seen[met], {name: x[met] for name, x in of.items()}
+                gamma = dk[1] * of["n1"] + dk[2] * of["n2"] + dk[3] * (of["n"] - of["n1"] - of["n2"])
+                p[some] = (np.maximum(seen - dk[np.minimum(seen, 3)], 0) + gamma * p[some]) / of["total"]
             base = np.log10((c + 0.1) / (self.tokens + 0.1 * (self.types + 1)))
             first = ends - sizes - np.arange(len(sizes))
             out[0].append(sizes - 1)
@@ -214,8 +308,7 @@ def train(texts: DataFrame, scratch: Scratch, order: int = 2) -> Model:
     if order < 2:
         raise ValueError("order must be 2 at least")
     bits = max(0, int(max(expected_words(texts.toDF("text")), 1)).bit_length() - SHARD)
-    words_uri, raw_uri, pairs_uri = (scratch.path(f"model/{x}") for x in ("words", "raw", "pairs"))
-    spark, model_uri = scratch.spark, scratch.path("model")
+    spark, uri = scratch.spark, scratch.path("model")
     parallel = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
 
     def count_words(batches):
@@ -246,71 +339,58 @@ def train(texts: DataFrame, scratch: Scratch, order: int = 2) -> Model:
         keys, counts = _sum(keys, counts)
         if len(keys) >= 1 << (32 - bits):
             raise ValueError("more than 2**32 distinct words")
-        write_array(f"{raw_uri}-{shard}.bin", keys, counts, np.arange(len(keys), dtype=np.uint32) + np.uint32(shard << (32 - bits)) if bits else np.arange(len(keys), dtype=np.uint32))
+        # common words first, so that ids in a shuffle compress well
+        ids = np.empty(len(keys), np.uint32)
+        ids[np.argsort(-counts, kind="stable")] = np.arange(len(keys), dtype=np.uint32)
+        write_columns(f"{uri}/raw-{shard}.bin", keys, narrow(counts), ids | np.uint32(shard << (32 - bits)) if bits else ids)
         special = np.isin(keys, [START])
-        return pa.table({"shard": [shard], "n": [len(keys)], "tokens": [int(counts[~special].sum())], "types": [int((~special).sum())]}, pa.schema([("shard", pa.int64()), ("n", pa.int64()), ("tokens", pa.int64()), ("types", pa.int64())]))
+        return pa.table({"shard": [shard], "tokens": [int(counts[~special].sum())], "types": [int((~special).sum())]}, pa.schema([("shard", pa.int64()), ("tokens", pa.int64()), ("types", pa.int64())]))
 
-    made = texts.mapInArrow(count_words, "shard long, keys binary, counts binary").groupBy("shard").applyInArrow(add_words, "shard long, n long, tokens long, types long").collect()
-    raw = SortedTable(raw_uri, bits, {r["shard"]: r["n"] for r in made}, [("c", "int64"), ("id", "uint32")])
-    scratch.publish([f"model/raw-{r['shard']}.bin" for r in made])
-    tokens, types = sum(r["tokens"] for r in made), sum(r["types"] for r in made)
+    made = texts.mapInArrow(count_words, "shard long, keys binary, counts binary").groupBy("shard").applyInArrow(add_words, "shard long, tokens long, types long").collect()
+    raw = Files(scratch, "raw", bits, [r["shard"] for r in made], RAW)
 
-    def count_pairs(batches):
-        held, starts, n = [], [], 0
+    def ids_of(kinds: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(kinds), np.uint32)
+        for s, a, b in raw.parts(kinds):
+            keys, _, ids = raw.read(s)
+            hit, at = _at(keys, kinds[a:b])
+            out[a + hit] = ids[at]
+        return out
 
-        def emit():
-            h, start = np.concatenate(held), np.concatenate(starts)
-            kinds, at = np.unique(h, return_inverse=True)
-            ids = raw.find(kinds)[1]["id"].astype(np.uint64)[at]
-            pairs = (ids[:-1] << U(32) | ids[1:])[~start[1:]]
-            # mixed pairs take as many bytes each however many shards there are
-            packed, c = np.unique(mix(pairs), return_counts=True)
-            c, parts = c.astype(np.uint32), _parts(packed, bits)
-            return pa.record_batch(
-                [pa.array([s for s, _, _ in parts], pa.int64()), pa.array([_pack(packed[a:b]) for _, a, b in parts], pa.binary()), pa.array([_pack(c[a:b], c) for _, a, b in parts], pa.binary())],
-                ["shard", "keys", "counts"],
-            )
-
-        for batch in batches:
-            for _, sizes, h in _sentences(batch.column(0)):
-                start = np.zeros(len(h), bool)
-                start[np.cumsum(sizes) - sizes] = True
-                held.append(h)
-                starts.append(start)
-                n += len(h)
-                if n >= FLUSH:
-                    yield emit()
-                    held, starts, n = [], [], 0
-        if n:
-            yield emit()
-
-    def count_grams(batches):
-        held, starts, n = [], [], 0
-
-        def emit():
-            h, start = np.concatenate(held), np.concatenate(starts)
-            kinds, at = np.unique(h, return_inverse=True)
-            ids, i = raw.find(kinds)[1]["id"][at], np.arange(len(h))
-            place = i - np.maximum.accumulate(np.where(start, i, 0))
-            rows = []
-            for k in range(2, order + 1):  # shorter ones only where they begin the text
-                to = np.flatnonzero(place >= k - 1 if k == order else place == k - 1)
-                if len(to):
-                    rows += _rows([ids[to - j] for j in range(k - 1, -1, -1)], np.ones(len(to), np.int64), bits)
-            return _table(rows).combine_chunks().to_batches()
+    tokens, types = sum(r["tokens"] for r in made), sum(r["types"] for r in made)
 
-        for batch in batches:
-            for _, sizes, h in _sentences(batch.column(0)):
-                start = np.zeros(len(h), bool)
-                start[np.cumsum(sizes) - sizes] = True
-                held.append(h)
-                starts.append(start)
-                n += len(h)
-                if n >= FLUSH:
-                    yield from emit()
-                    held, starts, n = [], [], 0
-        if n:
-            yield from emit()
+    def count_grams(turn: int | None):
+        """Rows of ROW; of the longest n-grams, those in this turn's shards."""
+
+        def count(batches):
+            held, starts, n = [], [], 0
+
+            def emit():
+                h, start = np.concatenate(held), np.concatenate(starts)
+                kinds, at = np.unique(h, return_inverse=True)
+                ids, i = ids_of(kinds)[at], np.arange(len(h))
+                place = i - np.maximum.accumulate(np.where(start, i, 0))
+                rows = []
+                for k in range(order if turn else 2, order + 1):  # shorter ones only where they begin the text
+                    to = np.flatnonzero(place >= k - 1 if k == order else place == k - 1)
+                    if len(to):
+                        rows += _rows([ids[to - j] for j in range(k - 1, -1, -1)], np.ones(len(to), np.int64), bits, turn if k == order else None)
+                return _table(rows).combine_chunks().to_batches()
+
+            for batch in batches:
+                for _, sizes, h in _sentences(batch.column(0)):
+                    start = np.zeros(len(h), bool)
+                    start[np.cumsum(sizes) - sizes] = True
+                    held.append(h)
+                    starts.append(start)
+                    n += len(h)
+                    if n >= FLUSH:
+                        yield from emit()
+                        held, starts, n = [], [], 0
+            if n:
+                yield from emit()
+
+        return count
 
     def add_grams(k: int):
         def add(group: pa.Table) -> pa.Table:
@@ -324,26 +404,29 @@ def train(texts: DataFrame, scratch: Scratch, order: int = 2) -> Model:
             first = np.flatnonzero(_changes(ids[:-1]))
             context = _context([x[first] for x in ids[:-1]])
             one, two = counts == 1, counts == 2
-            columns = [np.add.reduceat(x.astype(np.int64), first) for x in (counts, one, two, ~(one | two))]
+            n = np.diff(np.append(first, len(counts)))
+            total, ones, twos = (np.add.reduceat(x.astype(np.int64), first) for x in (counts, one, two))
             by = np.argsort(context)
-            write_array(f"{model_uri}/contexts{k}-{shard}.bin", context[by], *(x[by].astype(t) for x, (_, t) in zip(columns, CONTEXT, strict=True)))
-            keys = _gram(np.repeat(context, np.diff(np.append(first, len(counts)))), ids[-1], bits)
-            by = np.argsort(keys)
-            write_array(f"{model_uri}/grams{k}-{shard}.bin", keys[by], counts[by].astype(np.uint32))
-            info = [shard, len(counts), len(first), *(int((counts == x).sum()) for x in (1, 2, 3, 4))]
+            order_by = np.repeat(first[by] - np.cumsum(n[by]) + n[by], n[by]) + np.arange(len(counts))
+            starts = (np.cumsum(n[by]) - n[by])[::BLOCK]
+            places = np.flatnonzero(n[by] > MANY)
+            many = [x[by][places].astype(np.int64) for x in (total, ones, twos)]
+            write_columns(f"{uri}/grams{k}-{shard}.bin", context[by], narrow(n[by]), starts.astype(np.uint32), ids[-1][order_by].astype(np.uint32), narrow(counts[order_by]), places.astype(np.int64), *many)
+            info = [shard, *(int((counts == x).sum()) for x in (1, 2, 3, 4))]
             return _table([*_rows(ids[1:], np.ones(len(counts), np.int64), bits), (0, -k, b"", b"", info)])
 
         return add
 
     def add_pairs(group: pa.Table) -> pa.Table:
         shard = group["shard"][0].as_py()
-        if shard < 0:  # sizes of longer n-grams
-            n = len(group)
-            return pa.table({"shard": group["shard"], "keys": group["keys"], "counts": pa.array([[]] * n, pa.list_(pa.binary())), "info": group["info"], "source": pa.array([0] * n, pa.int64())})
-        keys = np.concatenate([_unpack(x.as_py(), np.uint64) for x in group["keys"]])
+        keys = np.concatenate([_context(list(_unpack(x.as_py(), np.uint32, False).reshape(2, -1))) for x in group["keys"]])
         counts = np.concatenate([_unpack(x.as_py(), np.uint32, False) for x in group["counts"]])
         keys, counts = _sum(keys, counts)
-        write_array(f"{pairs_uri}-{shard}.bin", keys, counts.astype(np.uint32))
+        rest, n = np.ones(len(keys), bool), counts[:0]
+        if longer and shard in longer[0][1].shards:
+            at = np.searchsorted(keys, longer[0][1].read(shard)[0])  # a context of two words is a bigram
+            rest[at], n = False, counts[at]
+        write_columns(f"{uri}/pairs-{shard}.bin", narrow(n), keys[rest], narrow(counts[rest]))
         keys = unmix(keys)
         a, b = (keys >> U(32)).astype(np.uint32), (keys & U(0xFFFFFFFF)).astype(np.uint32)
         one, two = counts == 1, counts == 2
@@ -360,51 +443,50 @@ def train(texts: DataFrame, scratch: Scratch, order: int = 2) -> Model:
 
     def close(group: pa.Table) -> pa.Table:
         shard = group["shard"][0].as_py()
-        if shard < -1:
-            return pa.table({"shard": pa.array([shard], pa.int64()), "info": pa.array([[v for x in group["info"].to_pylist() for v in x]], pa.list_(pa.int64()))})
         if shard < 0:  # one row a shard of pairs
             info = np.array(group["info"].to_pylist(), np.int64).sum(axis=0)
-            sizes = {"source": group["source"].to_pylist(), "n": [x[0] for x in group["info"].to_pylist()]}
-            return pa.table({"shard": pa.array([-1], pa.int64()), "info": pa.array([info.tolist() + [v for pair in zip(sizes["source"], sizes["n"], strict=True) for v in pair]], pa.list_(pa.int64()))})
-        n = raw.sizes[shard]
-        uri = f"{raw_uri}-{shard}.bin"
-        h, c, base = mapped(uri, np.uint64, 0, n), mapped(uri, np.int64, 8 * n, n), int(mapped(uri, np.uint32, 16 * n, n)[0])
-        columns = [np.zeros(n, np.int64) for _ in range(5)]
+            return pa.table({"shard": pa.array([-1], pa.int64()), "info": pa.array([info.tolist() + group["source"].to_pylist()], pa.list_(pa.int64()))})
+        ids = raw.read(shard)[2].astype(np.int64)
+        base, n = int(ids.min()), len(ids)
+        totals = [np.zeros(n, np.int64) for _ in range(5)]
         for keys, counts, info in zip(group["keys"], group["counts"], group["info"], strict=True):
             at = _unpack(keys.as_py(), np.uint32).astype(np.int64) - base
             names = range(4) if info.as_py()[0] == 0 else (4,)
             for k, blob in zip(names, counts.as_py(), strict=False):
-                columns[k][at] += _unpack(blob, np.uint64, False).astype(np.int64)
-        ids = np.arange(n, dtype=np.int64) + base
-        write_array(f"{words_uri}-{shard}.bin", h, *(x.astype(t) for x, (_, t) in zip([c, *columns, ids], WORD, strict=True)))
-        return pa.table({"shard": pa.array([shard], pa.int64()), "info": pa.array([[n, *(int((columns[4] == k).sum()) for k in (1, 2, 3, 4)), int((columns[4] > 2).sum())]], pa.list_(pa.int64()))})
+                totals[k][at] += _unpack(blob, np.uint64, False).astype(np.int64)
+        write_columns(f"{uri}/words-{shard}.bin", *(narrow(x[ids - base]) for x in totals))
+        before = totals[4]
+        return pa.table({"shard": pa.array([shard], pa.int64()), "info": pa.array([[*(int((before == k).sum()) for k in (1, 2, 3, 4)), int((before > 2).sum())]], pa.list_(pa.int64()))})
 
+    longer: list[tuple[int, Files, tuple]] = []
     if order == 2:
-        counted = texts.mapInArrow(count_pairs, "shard long, keys binary, counts binary")
+        counted = texts.mapInArrow(count_grams(None), ROW)
     else:
-        counted = texts.mapInArrow(count_grams, ROW)
+        turns = range(PASSES) if bits else [None]
         for k in range(order, 2, -1):
-            counted = counted.repartition(parallel, "level", "shard").groupBy("level", "shard").applyInArrow(add_grams(k), ROW)
-    added = counted.repartition(parallel, "shard").groupBy("shard")
+            parts = [texts.mapInArrow(count_grams(t), ROW) for t in turns] if k == order else [counted]
+            saved = []
+            for t, part in enumerate(parts):  # a table each, so that one turn's shuffle files go before the next begins
+                added = part.repartition(parallel, "level", "shard").groupBy("level", "shard").applyInArrow(add_grams(k), ROW)
+                saved.append(scratch.save(added, f"level-{k}/{t}", "uncompressed"))
+            every = reduce(DataFrame.unionAll, saved)
+            info = np.array([r["info"] for r in every.where("level = 0").select("info").collect()], np.int64).reshape(-1, 5)
+            longer.insert(0, (k, Files(scratch, f"grams{k}", bits, info[:, 0].tolist(), GRAMS), _discounts(info[:, 1:].sum(axis=0).tolist())))
+            counted = every.where("level > 0")
+            scratch.drop(f"level-{k + 1}")
+    added = counted.select("shard", "keys", "counts").repartition(parallel, "shard").groupBy("shard")
     added = added.applyInArrow(add_pairs, "shard long, keys binary, counts array<binary>, info array<long>, source long")
     done = added.groupBy("shard").applyInArrow(close, "shard long, info array<long>").collect()
     parts = {r["shard"]: r["info"] for r in done}
     total = parts.pop(-1, [0] * 5)
-    longer = {k: np.array(parts.pop(-k, []), np.int64).reshape(-1, 7) for k in range(3, order + 1)}
-    pair_sizes = dict(zip(total[5::2], total[6::2], strict=True))
-    m = [sum(x[k] for x in parts.values()) for k in range(1, 6)]
+    m = [sum(x[k] for x in parts.values()) for k in range(5)]
     d, e = _discounts(total[1:5]), _discounts(m[:4])
     spread = (e[0] * m[0] + e[1] * m[1] + e[2] * m[4]) / total[0] if total[0] else 1.0
-    words = SortedTable(words_uri, bits, {s: x[0] for s, x in parts.items()}, WORD)
-    scratch.publish([f"model/words-{s}.bin" for s in words.sizes] + [f"model/pairs-{s}.bin" for s in pair_sizes])
-    model = Model(words, SortedTable(pairs_uri, bits, pair_sizes, [("n", "uint32")]), tokens, types, d, e, total[0], spread)
-    for k, info in longer.items():
-        tables = []
-        for name, column, values in (("grams", 1, [("n", "uint32")]), ("contexts", 2, CONTEXT)):
-            tables.append(SortedTable(scratch.path(f"model/{name}{k}"), bits, dict(zip(info[:, 0].tolist(), info[:, column].tolist(), strict=True)), values))
-            scratch.publish([f"model/{name}{k}-{s}.bin" for s in tables[-1].sizes])
-        model.longer.append((k, *tables, _discounts(info[:, 3:].sum(axis=0).tolist())))
-    return model
+    words = Files(scratch, "words", bits, parts, WORD)
+    raw.shards &= words.shards
+    pairs = Files(scratch, "pairs", bits, total[5:], PAIRS)
+    scratch.drop("level-3")
+    return Model(raw, words, pairs, longer, tokens, types, d, e, total[0], spread)
 
 
 def score_documents(docs: DataFrame, held_out: Column, order: int = 2) -> DataFrame:

@@ -58,6 +58,42 @@ def write_array(uri: str, *arrays: np.ndarray) -> None:
         os.replace(local_path(to), path)
 
 
+def narrow(values: np.ndarray) -> list[np.ndarray]:
+    """Counts as one byte each, with places and values of those that take more."""
+    big = np.flatnonzero(values >= 255)
+    return [np.minimum(values, 255).astype(np.uint8), big.astype(np.int64), values[big].astype(np.int64)]
+
+
+class Narrow:
+    """Counts written by :func:`narrow`."""
+
+    def __init__(self, low: np.ndarray, places: np.ndarray, values: np.ndarray):
+        self.low, self.places, self.values = low, places, values
+
+    def __getitem__(self, at: np.ndarray) -> np.ndarray:
+        out = self.low[at].astype(np.int64)
+        big = np.flatnonzero(out == 255)
+        out[big] = self.values[np.searchsorted(self.places, at[big])]
+        return out
+
+
+def write_columns(uri: str, *columns: np.ndarray | list[np.ndarray]) -> None:
+    """Arrays and narrow counts in one file, which begins with the bytes of each array."""
+    arrays = [np.ascontiguousarray(a) for c in columns for a in (c if isinstance(c, list) else [c])]
+    write_array(uri, np.array([a.nbytes for a in arrays], np.int64), *(x for a in arrays for x in (a, np.zeros(-a.nbytes % 8, np.uint8))))
+
+
+def columns(uri: str, types: list) -> list:
+    """Memory-mapped columns of write_columns; the type of narrow counts is None."""
+    flat = [t for x in types for t in ((np.uint8, np.int64, np.int64) if x is None else (x,))]
+    whole, at, arrays = np.asarray(mapped(uri, np.uint8)), 8 * len(flat), []
+    for t, n in zip(flat, whole[:at].view(np.int64).tolist(), strict=True):
+        arrays.append(whole[at : at + n].view(t))
+        at += n + -n % 8
+    left = iter(arrays)
+    return [Narrow(next(left), next(left), next(left)) if x is None else next(left) for x in types]
+
+
 #: Bytes of a table's values that are broadcast at most; as a hash table they take some five times that.
 MOST_BROADCAST = 1 << 24
 #: Shuffle files go when the action that made them ends: the table it wrote is what is read again.
