@@ -131,12 +131,26 @@ class Files:
 
 def _sum_grams(ids: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """Distinct n-grams in order of their words, and the sums of their counts."""
+    if len(ids) == 2:
+        keys, counts = _sum(ids[0].astype(np.uint64) << U(32) | ids[1].astype(np.uint64), counts)
+        return [(keys >> U(32)).astype(np.uint32), keys.astype(np.uint32)], counts
     order = np.lexsort(ids[::-1])
     ids = [x[order] for x in ids]
     first = np.flatnonzero(_changes(ids))
     return [x[first] for x in ids], np.add.reduceat(counts[order].astype(np.int64), first) if len(first) else counts.astype(np.int64)
 
 
+def _count_grams(ranks: list[np.ndarray], ids: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """The same for n-grams given by their words' ranks among sorted ids, once each; in one number where they fit."""
+    width = max(len(ids) - 1, 1).bit_length()
+    if width * len(ranks) > 64:
+        return _sum_grams([ids[r] for r in ranks], np.ones(len(ranks[0]), np.int64))
+    keys = reduce(lambda a, b: a << U(width) | b.astype(np.uint64), ranks[1:], ranks[0].astype(np.uint64))
+    keys, counts = np.unique(keys, return_counts=True)
+    mask = U((1 << width) - 1)
+    return [ids[keys >> U(width * j) & mask] for j in range(len(ranks) - 1, -1, -1)], counts
+
+
 def _changes(ids: list[np.ndarray]) -> np.ndarray:
     new = np.zeros(len(ids[0]), bool)
     new[:1] = True
@@ -146,13 +160,11 @@ def _changes(ids: list[np.ndarray]) -> np.ndarray:
 
 
 def _rows(ids: list[np.ndarray], counts: np.ndarray, bits: int, turn: int | None = None) -> list[tuple]:
-    """Rows of ROW: the distinct n-grams for each shard of contexts; of bigrams, for each shard of their own. turn: of those shards only."""
+    """Rows of ROW: distinct n-grams, in order of their words, for each shard of contexts; bigrams for each shard of their own. turn: of those shards only."""
     by = _context(ids if len(ids) == 2 else ids[:-1])
     if turn is not None:
         own = np.flatnonzero(SortedTable.shard(by, bits) % PASSES == turn)
-        ids, counts = [x[own] for x in ids], counts[own]
-    ids, counts = _sum_grams(ids, counts)
-    by = _context(ids if len(ids) == 2 else ids[:-1])
+        ids, counts, by = [x[own] for x in ids], counts[own], by[own]
     order = np.argsort(SortedTable.shard(by, bits), kind="stable")
     ids, counts = [x[order].astype(np.uint32) for x in ids], counts[order].astype(np.uint32)
     return [(len(ids), s, _pack(np.concatenate([x[a:b] for x in ids]), counts), _pack(counts[a:b], counts), []) for s, a, b in _parts(by[order], bits)]
@@ -218,10 +230,12 @@ class Model:
 
     def _follow(self, grams: Files, keys: np.ndarray, last: np.ndarray, known: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
         """For each key of a context, the context's totals, and the count of its n-gram with this last word."""
-        kinds, back = np.unique(keys, return_inverse=True)
+        order = np.argsort(keys)
+        new = _changes([keys[order]])
+        kinds, back = keys[order[new]], np.empty(len(keys), np.int64)
+        back[order] = np.cumsum(new) - 1
         v = {name: np.zeros(len(kinds), np.int64) for name in ("total", "n1", "n2", "n", "start")}
         seen = np.zeros(len(keys), np.int64)
-        order = np.argsort(back, kind="stable")
         order = order[known[order]]
         for s, a, b in grams.parts(kinds):
             hashes, n, blocks, lasts, counts, places, *many = grams.read(s)
@@ -368,13 +382,17 @@ def train(texts: DataFrame, scratch: Scratch, order: int = 2) -> Model:
             def emit():
                 h, start = np.concatenate(held), np.concatenate(starts)
                 kinds, at = np.unique(h, return_inverse=True)
-                ids, i = ids_of(kinds)[at], np.arange(len(h))
+                ids, i = ids_of(kinds), np.arange(len(h))
+                by = np.argsort(ids)
+                ranks = np.empty(len(ids), np.int64)
+                ranks[by] = np.arange(len(ids))
+                ids, ranks = ids[by], ranks[at]
                 place = i - np.maximum.accumulate(np.where(start, i, 0))
                 rows = []
                 for k in range(order if turn else 2, order + 1):  # shorter ones only where they begin the text
                     to = np.flatnonzero(place >= k - 1 if k == order else place == k - 1)
                     if len(to):
-                        rows += _rows([ids[to - j] for j in range(k - 1, -1, -1)], np.ones(len(to), np.int64), bits, turn if k == order else None)
+                        rows += _rows(*_count_grams([ranks[to - j] for j in range(k - 1, -1, -1)], ids), bits, turn if k == order else None)
                 return _table(rows).combine_chunks().to_batches()
 
             for batch in batches:
@@ -399,21 +417,25 @@ def train(texts: DataFrame, scratch: Scratch, order: int = 2) -> Model:
             shard = group["shard"][0].as_py()
             got = [_unpack(x.as_py(), np.uint32, False).reshape(k, -1) for x in group["keys"]]
             counts = np.concatenate([_unpack(x.as_py(), np.uint32, False) for x in group["counts"]])
-            ids, counts = _sum_grams([np.concatenate([x[j] for x in got]) for j in range(k)], counts)
+            ids = [np.concatenate([x[j] for x in got]) for j in range(k)]
             del got
-            first = np.flatnonzero(_changes(ids[:-1]))
-            context = _context([x[first] for x in ids[:-1]])
+            # contexts in order of their hashes, their n-grams in order of the last word
+            context, group = np.unique(_context(ids[:-1]), return_inverse=True)
+            keys = group.astype(np.uint64) << U(32) | ids[-1].astype(np.uint64)
+            by = np.argsort(keys)
+            keys = keys[by]
+            distinct = np.flatnonzero(_changes([keys]))
+            counts = np.add.reduceat(counts[by].astype(np.int64), distinct)
+            ids = [x[by[distinct]] for x in ids]
+            first = np.flatnonzero(_changes([keys[distinct] >> U(32)]))
             one, two = counts == 1, counts == 2
             n = np.diff(np.append(first, len(counts)))
             total, ones, twos = (np.add.reduceat(x.astype(np.int64), first) for x in (counts, one, two))
-            by = np.argsort(context)
-            order_by = np.repeat(first[by] - np.cumsum(n[by]) + n[by], n[by]) + np.arange(len(counts))
-            starts = (np.cumsum(n[by]) - n[by])[::BLOCK]
-            places = np.flatnonzero(n[by] > MANY)
-            many = [x[by][places].astype(np.int64) for x in (total, ones, twos)]
-            write_columns(f"{uri}/grams{k}-{shard}.bin", context[by], narrow(n[by]), starts.astype(np.uint32), ids[-1][order_by].astype(np.uint32), narrow(counts[order_by]), places.astype(np.int64), *many)
+            places = np.flatnonzero(n > MANY)
+            many = [x[places] for x in (total, ones, twos)]
+            write_columns(f"{uri}/grams{k}-{shard}.bin", context, narrow(n), first[::BLOCK].astype(np.uint32), ids[-1].astype(np.uint32), narrow(counts), places, *many)
             info = [shard, *(int((counts == x).sum()) for x in (1, 2, 3, 4))]
-            return _table([*_rows(ids[1:], np.ones(len(counts), np.int64), bits), (0, -k, b"", b"", info)])
+            return _table([*_rows(*_sum_grams(ids[1:], np.ones(len(counts), np.int64)), bits), (0, -k, b"", b"", info)])
 
         return add
 
