@@ -78,6 +78,24 @@ def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_columns(_documents(spark, sf_dir))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .filter_audit import audit
+
+    return audit(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .prefix_trie import prefix_trie
+
+    return prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op13_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .kd_sharding import placed
+
+    return placed(_documents(spark, sf_dir), dims=("source", "lang", "n_chars"), shards=24)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -96,12 +114,28 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_ngram_join,
         op9_pii,
         op10_media_columns,
+        op11_filter_audit,
+        op12_prefix_trie,
+        op13_kd_sharding,
         pipeline,
     )
     return {f.__name__: f for f in every}
 
 
 ORACLES = {
+    "op11_filter_audit": r"""
+WITH RECURSIVE d AS (SELECT doc_id, COALESCE(source, '') AS part, COALESCE(text, '') AS text, COALESCE(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+f AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS m, part, [len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w), 100 * len(regexp_extract_all(text, '[A-Z]')) > 5 * length(text), regexp_matches(text, '[#$%&*|]')] AS abcd FROM d),
+said AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+x AS (SELECT part, list_append(abcd, m < f.doc_id) AS fails, COALESCE(good, 0) AS good, COALESCE(toxic, 0) AS toxic FROM f LEFT JOIN said USING (doc_id)),
+c AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM x GROUP BY ALL),
+o AS (SELECT '' AS p UNION ALL SELECT p || l FROM o, (SELECT UNNEST(['A', 'B', 'C', 'D', 'E']) AS l) AS ls WHERE NOT contains(p, l)),
+s AS (SELECT p, step, ascii(p[step]) - 64 AS own, list_transform(range(1, step), lambda i: ascii(p[i]) - 64) AS earlier FROM o, (SELECT UNNEST(range(1, 6)) AS step) AS steps WHERE len(p) = 5),
+r AS (SELECT part, p, step, own, n, good, toxic, fails[own] AS now, len(list_filter(earlier, lambda i: fails[i])) > 0 AS gone, len(list_filter(fails, lambda y: y)) = 1 AS alone FROM c, s),
+t AS (SELECT part, p, step, own, sum(n) FILTER (NOT now AND NOT gone) AS kept, sum(n) FILTER (now AND NOT gone) AS removed, sum(n) FILTER (now AND gone) AS redundant, sum(n) FILTER (now AND alone) AS unique_fails,
+  sum(good) FILTER (now AND NOT gone) AS good_lost, sum(toxic) FILTER (now AND NOT gone) AS toxic_lost FROM r GROUP BY ALL)
+SELECT part, p AS filter_order, step::INT AS step, COALESCE(kept, 0)::BIGINT AS kept, COALESCE(removed, 0)::BIGINT AS removed, COALESCE(redundant, 0)::BIGINT AS redundant, COALESCE(unique_fails, 0)::BIGINT AS unique_fails,
+  COALESCE(good_lost, 0)::BIGINT AS good_lost, COALESCE(toxic_lost, 0)::BIGINT AS toxic_lost, COALESCE(sum(removed) OVER (PARTITION BY part, own), 0)::BIGINT AS shapley FROM t""",
     "op2_substring_dedup": r"""
 WITH d AS (SELECT doc_id, COALESCE(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
 e AS (SELECT doc_id, list_transform(range(1, len(w) - 11), lambda i: array_to_string(w[i:i+12], ' ')) AS ks FROM d),
