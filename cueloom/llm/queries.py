@@ -123,6 +123,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 ORACLES = {
+    "op12_prefix_trie": r"""
+WITH t AS (SELECT conv_id AS c, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT c, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role, text) AS l FROM t GROUP BY c),
+h AS (SELECT c, l, xor(list_reduce(list_transform(range(1, len(c::VARCHAR) + 1), lambda i: ascii((c::VARCHAR)[i])), lambda a, x: list_reduce(range(0, 8), lambda v, j: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, xor(a, x)), 4294967295), 4294967295) % 4 AS h FROM o),
+r AS (SELECT a.c, list_concat(COALESCE(b.l[1:a.h], []), a.l[a.h + 1:]) AS l FROM h a LEFT JOIN o b ON b.c = a.c - a.c % 20),
+p AS (SELECT c, d, md5(to_json(l[1:d])::VARCHAR) AS k, md5(to_json(l[1:d - 1])::VARCHAR) AS up, len(l) = d AS ended, CASE WHEN d > 0 THEN len(regexp_extract_all(l[d].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS w FROM r, UNNEST(range(0, len(l) + 1)) AS u(d)),
+x AS (SELECT d, k, any_value(up) AS up, min(c) AS conv, count(*) AS n, any_value(w) AS w, sha256(COALESCE(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ended), '')) AS ends FROM p GROUP BY d, k),
+below AS (SELECT d - 1 AS d, up AS k, count(*) AS m FROM x WHERE d > 0 GROUP BY ALL),
+y AS (SELECT x.*, COALESCE(m, 0) AS m FROM x LEFT JOIN below USING (d, k)),
+sums AS (SELECT p.d, p.k, count(*) FILTER (y.m = 0) AS leaves, sum((y.n - 1) * y.w) AS saved FROM y JOIN p ON p.c = y.conv AND p.d <= y.d GROUP BY ALL)
+SELECT y.conv AS conv_id, y.d AS depth, top.conv AS parent_conv_id, y.n AS n_convs, y.m AS n_children, leaves AS n_leaves, saved::BIGINT AS saved_tokens, y.ends AS ends_sha256
+FROM y JOIN sums USING (d, k) LEFT JOIN x AS top ON top.d = y.d - 1 AND top.k = y.up""",
     "op11_filter_audit": r"""
 WITH RECURSIVE d AS (SELECT doc_id, COALESCE(source, '') AS part, COALESCE(text, '') AS text, COALESCE(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
 f AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS m, part, [len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w), 100 * len(regexp_extract_all(text, '[A-Z]')) > 5 * length(text), regexp_matches(text, '[#$%&*|]')] AS abcd FROM d),
