@@ -41,6 +41,33 @@ WITH tok AS (
 )"""
 
 
+def aligned_sql(given: str, name: str) -> str:
+    """CTEs that align word lists in SQL: <name>_kept (t, s, p, q), places counted from 0, of rows given as (t, s, a, b).
+
+    The table of a longest common subsequence a row at a time, then the way back through it; on a tie b's word is left out first.
+    """
+    return f"""
+, {name}_pair AS MATERIALIZED (SELECT t, s, a, b, len(a) AS n, len(b) AS m FROM ({given}))
+, {name}_a AS MATERIALIZED (SELECT t, s, UNNEST(a) AS x, UNNEST(range(1, n + 1)) AS i FROM {name}_pair)
+, {name}_b AS MATERIALIZED (SELECT t, s, UNNEST(b) AS y, UNNEST(range(1, m + 1)) AS j FROM {name}_pair)
+, {name}_cell AS (
+  SELECT t, s, 0::BIGINT AS i, j, 0 AS best, false AS hit FROM {name}_pair, UNNEST(range(0, m + 1)) AS r(j)
+  UNION ALL
+  SELECT t, s, i, j, max(v) OVER (PARTITION BY t, s ORDER BY j), hit FROM (
+    SELECT t, s, c.i + 1 AS i, j, COALESCE(x = y, false) AS hit, CASE WHEN x = y THEN lag(best) OVER (PARTITION BY t, s ORDER BY j) + 1 ELSE best END AS v
+    FROM {name}_cell c JOIN {name}_a a USING (t, s) LEFT JOIN {name}_b USING (t, s, j) WHERE a.i = c.i + 1))
+, {name}_move AS MATERIALIZED (
+  SELECT t, s, i, list(CASE WHEN hit THEN 2 WHEN best > before THEN 1 ELSE 0 END ORDER BY j) AS moves FROM (SELECT *, lag(best) OVER (PARTITION BY t, s, i ORDER BY j) AS before FROM {name}_cell WHERE i > 0) WHERE j > 0 GROUP BY t, s, i)
+, {name}_way AS (
+  SELECT t, s, n AS i, m AS j, 0 AS move FROM {name}_pair
+  UNION ALL
+  SELECT t, s, i - (moves[j] > 0)::INT, j - (moves[j] <> 1)::INT, moves[j] FROM {name}_way JOIN {name}_move USING (t, s, i) WHERE j > 0)
+, {name}_kept AS MATERIALIZED (SELECT t, s, i AS p, j AS q FROM {name}_way WHERE move = 2)
+, {name}_gap AS MATERIALIZED (
+  SELECT t, s, lag(p, 1, -1) OVER w AS p, lag(q, 1, -1) OVER w AS q, p AS until_p, q AS until_q, row_number() OVER w - 1 AS g
+  FROM (SELECT t, s, p, q FROM {name}_kept UNION ALL SELECT t, s, n, m FROM {name}_pair) WINDOW w AS (PARTITION BY t, s ORDER BY p, q))"""
+
+
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """conversations as segments: a turn is a segment, a token a word of half a second."""
     c = spark.read.parquet(f"{sf_dir}/conversations.parquet")

