@@ -6,6 +6,8 @@ import dataclasses
 from dataclasses import dataclass, field
 from typing import Any
 
+from .functions.script_regex import Pattern, PatternError, replacement
+
 
 class ConfigError(ValueError):
     """A configuration value has the wrong kind or is out of range."""
@@ -22,6 +24,11 @@ class Rule:
             raise ConfigError(f"rule type {self.type!r} is neither regex nor literal")
         if not self.search:
             raise ConfigError("a rule's search text must not be empty")
+        if self.type == "regex":
+            try:
+                replacement(self.replacement, Pattern(self.search))
+            except PatternError as e:
+                raise ConfigError(str(e)) from e
 
 
 @dataclass(frozen=True)

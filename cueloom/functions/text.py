@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..config import Rule
+from .script_regex import Pattern, replacement
 
 # The white-space characters of ECMAScript's \s.
 SPACE = r"\t\n\x0B\f\r \u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
@@ -73,60 +74,6 @@ def rule_key(rule: Rule) -> str:
     return f"r'{rule.search}'->{rule.replacement}" if rule.type == "regex" else f"{rule.search}->{rule.replacement}"
 
 
-def java_regex(pattern: str) -> str:
-    """An ECMAScript pattern (no flags but g) for Java: ASCII word boundaries, Unicode white space, named groups alike."""
-    boundary = r"(?:(?<=[A-Za-z0-9_])(?![A-Za-z0-9_])|(?<![A-Za-z0-9_])(?=[A-Za-z0-9_]))"
-    inside = r"(?:(?<=[A-Za-z0-9_])(?=[A-Za-z0-9_])|(?<![A-Za-z0-9_])(?![A-Za-z0-9_]))"
-    out, i, in_class = [], 0, False
-    while i < len(pattern):
-        two = pattern[i : i + 2]
-        if two[0] == "\\" and len(two) == 2:
-            plain = {r"\s": SPACE if in_class else f"[{SPACE}]", r"\S": f"[^{SPACE}]", r"\/": "/", r"\d": "0-9" if in_class else "[0-9]"}
-            if two == r"\b" and not in_class:
-                out.append(boundary)
-            elif two == r"\B" and not in_class:
-                out.append(inside)
-            else:
-                out.append(plain.get(two, two))
-            i += 2
-            continue
-        if two[0] == "[" and in_class:
-            out.append("\\[")
-        elif two == "[]" and not in_class:
-            out.append("(?!)")
-            i += 2
-            continue
-        elif two[0] == "&" and in_class:
-            out.append("\\&")
-        else:
-            in_class = {"[": True, "]": False}.get(two[0], in_class)
-            out.append(two[0])
-        i += 1
-    return "".join(out)
-
-
-def java_replacement(replacement: str, groups: int) -> str:
-    """An ECMAScript replacement for Java: $$, $& and $n; what names no group stays as it is."""
-
-    def one(m: re.Match) -> str:
-        token = m[0]
-        if token == "\\":
-            return "\\\\"
-        if token == "$$":
-            return "\\$"
-        if token == "$&":
-            return "$0"
-        digits = token[1:]
-        if digits:
-            for n in (2, 1):
-                if len(digits) >= n and 1 <= int(digits[:n]) <= groups:
-                    rest = digits[n:]
-                    return "$" + str(int(digits[:n])) + (f"\\{rest}" if rest else "")
-        return "\\" + token
-
-    return re.sub(r"\\|\$\$|\$&|\$[0-9]{1,2}|\$", one, replacement)
-
-
 def literal_replacement(search: str, replacement: str) -> str:
     """What a literal rule puts in place of each match: $$ and $& are special there too."""
     return re.sub(r"\$\$|\$&", lambda m: "$" if m[0] == "$$" else search, replacement)
@@ -134,15 +81,14 @@ def literal_replacement(search: str, replacement: str) -> str:
 
 def count_matches(text: Column | str, rule: Rule) -> Column:
     if rule.type == "regex":
-        return F.regexp_count(col(text), F.lit(java_regex(rule.search)))
+        return F.regexp_count(col(text), F.lit(Pattern(rule.search).java))
     t = col(text)
     return ((F.length(t) - F.length(F.replace(t, F.lit(rule.search), F.lit("")))) / len(rule.search)).cast("int")
 
 
 def replace_all(text: Column | str, rule: Rule) -> Column:
     if rule.type == "regex":
-        groups = re.compile(re.sub(r"\(\?<([A-Za-z])", r"(?P<\1", rule.search)).groups
-        return F.regexp_replace(col(text), java_regex(rule.search), java_replacement(rule.replacement, groups))
+        return F.regexp_replace(col(text), *replacement(rule.replacement, Pattern(rule.search)))
     return F.replace(col(text), F.lit(rule.search), F.lit(literal_replacement(rule.search, rule.replacement)))
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -112,3 +115,14 @@ def updates(made: DataFrame) -> DataFrame:
 def names(made: DataFrame) -> DataFrame:
     entries = F.array(*(F.struct(F.lit(a).alias("speaker"), F.lit(b).alias("name")) for a, b in NAMES))
     return made.select("transcript_id").distinct().select("transcript_id", F.explode(entries).alias("x")).select("transcript_id", "x.*")
+
+
+def deterministic_client():
+    """A client that answers by rule: every third line, of those with five words or more, gets an x at its end; SPEAKER_00 is Alice."""
+
+    def answer(prompt: str) -> str:
+        lines = re.findall(r"^\[(\d+)\] \[(\w+)\] (.*)$", prompt, re.M)
+        updates = [{"idx": int(i), "text": f"{text}x"} for i, _, text in lines if int(i) % 3 == 1 and len(text.split()) >= 5]
+        return "Here it is: " + json.dumps({"identifiedSpeakers": {"SPEAKER_00": "Alice"}, "updates": updates}) + " That is all."
+
+    return answer

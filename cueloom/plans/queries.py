@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..config import Captions, Normalization, Validation
+from ..config import Captions, Normalization, Refinement, Validation
 from ..functions.alignment import edit_distance, norm_edit_distance, reconcile_words, word_change_ratio, word_changes, word_diff
 from ..functions.text import byte_size, decoded_key, effective_speaker, escape_html, labelled_line, model_of, output_base, region_of, words_text, worker_base
 from ..functions.timing import srt_timestamp, vtt_timestamp
 from ..operators import captions as cap
 from ..operators.jobs import idle_shutdowns, new_keys, step_durations, warmup_expiry
 from ..operators.normalization import normalization_stats, normalize_segments, split_parts
+from ..operators.refinement import refine
 from ..operators.replacement import apply_replacements, patched_text, rule_counts
 from ..operators.speakers import apply_speaker_names, speaker_labels
 from ..operators.suggestions import apply_suggestions, prompt_lines, validated
-from .fixtures import BASE_SQL, RULES, aligned_sql, names, segments, updates
+from ..sources.runs import work_folder
+from .fixtures import BASE_SQL, RULES, aligned_sql, deterministic_client, names, segments, updates
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -316,6 +319,22 @@ def refinement_stats(spark, sf_dir):
     return apply_suggestions(made, updates(made), names(made), most_rounds=1)[3]
 
 
+def _refined(spark, sf_dir):
+    """The fixture refined by its client, answers kept in a new folder of the work folder."""
+    memo = f"{work_folder(spark)}/answers-{uuid.uuid4().hex}"
+    return refine(segments(spark, sf_dir), Refinement(profile_id="eu.fixture"), deterministic_client, memo, most_rounds=1)
+
+
+@query(" SELECT t AS transcript_id, s AS seg_idx, CASE WHEN speaker = 'SPEAKER_00' THEN 'Alice' ELSE speaker END AS speaker, CASE WHEN s % 3 = 1 AND n >= 5 THEN array_to_string(toks, ' ') || 'x' ELSE text END AS text, n::INT AS n_words FROM seg")
+def client_refined_segments(spark, sf_dir):
+    return _refined(spark, sf_dir).segments.select(*KEY, "speaker", "text", F.size("words").alias("n_words"))
+
+
+@query(" SELECT t AS transcript_id, count(*)::BIGINT AS segments_processed, count_if(s % 3 = 1 AND n >= 5)::BIGINT AS segments_updated, 1::BIGINT AS speakers_identified FROM seg GROUP BY t")
+def client_refinement_stats(spark, sf_dir):
+    return _refined(spark, sf_dir).stats
+
+
 @query(
     """, d AS (SELECT t, s, toks, n, list_filter(toks, lambda x, i: (i - 1) % 7 <> 3) AS dropped FROM seg)
 SELECT t AS transcript_id, s AS seg_idx, len(dropped)::BIGINT AS lcs_dropped, n::BIGINT AS lcs_doubled,

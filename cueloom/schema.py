@@ -25,6 +25,7 @@ SEGMENTS = T.StructType([T.StructField("transcript_id", T.LongType()), T.StructF
 UPDATES = T.StructType(
     [T.StructField("transcript_id", T.LongType()), T.StructField("ord", T.LongType()), T.StructField("idx", T.LongType()), T.StructField("text", T.StringType())]
 )
+EVENTS = "key string, status string, error_type string, error string, bus string, source string, detail_type string, detail string, run string"
 WORDS_SQL = "array<struct<word:string,start:double,end:double,speaker:string,score:double>>"
 # Step names and states of timing records.
 STEPS = (

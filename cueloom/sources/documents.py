@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import re
-import uuid
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import output_base
 from ..schema import SEGMENT, SEGMENTS, TRANSCRIPT
+from .runs import RunLog
 
 
 def key_below(spark: SparkSession, path: str) -> Column:
@@ -63,46 +60,16 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def write_captions(documents: DataFrame, path: str, kind: str) -> DataFrame:
-    """Write each document (output_base, document) to path/<output_base>_caption.<kind>, byte for byte. Returns (output_base, path, n_bytes).
-
-    Executors write to a name of their own and rename it, so a repeated task leaves one whole file.
-    """
-    spark = documents.sparkSession
-    top = spark._jvm.org.apache.hadoop.fs.Path(path)
-    top = top.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(top).toString()
-
-    def write(batches):
-        from pyarrow import fs
-
-        system, root = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", top))
-        for batch in batches:
-            paths, sizes = [], []
-            for base, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if ".." in base.split("/"):
-                    raise ValueError(f"a key may not leave the folder: {base}")
-                to, data = f"{root}/{base}_caption.{kind}", text.encode()
-                system.create_dir(to.rpartition("/")[0])
-                with system.open_output_stream(own := f"{to}.{uuid.uuid4().hex}") as f:
-                    f.write(data)
-                system.move(own, to)
-                paths.append(to)
-                sizes.append(len(data))
-            yield pa.record_batch([batch.column(0), pa.array(paths, pa.string()), pa.array(sizes, pa.int64())], ["output_base", "path", "n_bytes"])
-
-    return documents.select("output_base", "document").mapInArrow(write, "output_base string, path string, n_bytes long")
-
-
 def output_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """(output_base, transcript_id, key, run) of what is done under a folder; empty before the first run."""
+    """(output_base, transcript_id, key, run, seq) of what finished runs did under a folder; empty before the first one."""
     shape = "output_base string, transcript_id long, key string, run string"
     top = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/manifest")
-    if not top.getFileSystem(spark._jsc.hadoopConfiguration()).exists(top):
-        return spark.createDataFrame([], shape)
-    return spark.read.schema(shape).parquet(f"{path}/manifest")
+    there = top.getFileSystem(spark._jsc.hadoopConfiguration()).exists(top)
+    rows = spark.read.schema(shape).parquet(f"{path}/manifest") if there else spark.createDataFrame([], shape)
+    return RunLog(spark, path).whole(rows).select("output_base", "transcript_id", "key", "run", "seq")
 
 
 def current(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Rows of a table (segments, stats/...) of the run that last wrote each transcript; runs are ordered by name."""
-    last = output_manifest(spark, path).groupBy("transcript_id").agg(F.max("run").alias("run"))
+    """Rows of a table (segments, stats/...) of the finished run that last wrote each transcript, in the order of the log."""
+    last = output_manifest(spark, path).groupBy("transcript_id").agg(F.max_by("run", "seq").alias("run"))
     return spark.read.parquet(f"{path}/{table}").join(last, ["transcript_id", "run"], "left_semi")
