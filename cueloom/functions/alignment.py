@@ -162,14 +162,14 @@ def reconciled(words: list[dict], patched: list[str], seg_start: float | None) -
     return [dict(zip(names, row, strict=True)) for row in zip(*out, strict=True)]
 
 
-def _lists(column: pa.Array) -> tuple[np.ndarray, pa.Array, list[bool]]:
+def flat_lists(column: pa.Array) -> tuple[np.ndarray, pa.Array, list[bool]]:
     """Offsets and flat values of a list column, and which rows are there."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     at = column.offsets.to_numpy()
     return at - at[0], column.values.slice(at[0], at[-1] - at[0]), column.is_valid().to_pylist()
 
 
-def _listed(counts: list[int | None], values: pa.Array) -> pa.Array:
+def listed(counts: list[int | None], values: pa.Array) -> pa.Array:
     """Flat values as lists of so many each; None is a null."""
     ends = np.cumsum([0, *(n or 0 for n in counts)])
     at = pa.array(np.where([*(n is None for n in counts), False], 0, ends), pa.int32(), mask=np.array([*(n is None for n in counts), False]))
@@ -185,7 +185,7 @@ def _script(a: pa.Array, b: pa.Array) -> pa.Array:
             for to, v in zip(out, step, strict=True):
                 to.append(v)
     kinds = {"op": pa.string(), "original_index": pa.int32(), "patched_index": pa.int32(), "word": pa.string()}
-    return _listed(counts, pa.StructArray.from_arrays([pa.array(v, k) for v, k in zip(out, kinds.values(), strict=True)], list(kinds)))
+    return listed(counts, pa.StructArray.from_arrays([pa.array(v, k) for v, k in zip(out, kinds.values(), strict=True)], list(kinds)))
 
 
 def _changes(a: pa.Array, b: pa.Array) -> pa.Array:
@@ -194,9 +194,9 @@ def _changes(a: pa.Array, b: pa.Array) -> pa.Array:
 
 
 def _reconciled(words: pa.Array, patched: pa.Array, starts: pa.Array) -> pa.Array:
-    at, flat, there = _lists(words)
+    at, flat, there = flat_lists(words)
     columns = tuple(flat.field(k).to_pylist() for k in ("word", "start", "end", "speaker", "score"))
-    to, new, given = _lists(patched)
+    to, new, given = flat_lists(patched)
     new, counts, out = new.to_pylist(), [], ([], [], [], [], [])
     for i, start in enumerate(starts.to_pylist()):
         if not there[i] or not given[i]:
@@ -206,7 +206,7 @@ def _reconciled(words: pa.Array, patched: pa.Array, starts: pa.Array) -> pa.Arra
         reconcile(tuple(c[at[i] : at[i + 1]] for c in columns), new[to[i] : to[i + 1]], start, out)
         counts.append(len(out[0]) - before)
     kinds = {"word": pa.string(), "start": pa.float64(), "end": pa.float64(), "speaker": pa.string(), "score": pa.float64()}
-    return _listed(counts, pa.StructArray.from_arrays([pa.array(v, k) for v, k in zip(out, kinds.values(), strict=True)], list(kinds)))
+    return listed(counts, pa.StructArray.from_arrays([pa.array(v, k) for v, k in zip(out, kinds.values(), strict=True)], list(kinds)))
 
 
 def word_diff(a: Column | str, b: Column | str) -> Column:
@@ -227,16 +227,6 @@ def reconcile_words(words: Column | str, patched: Column | str, seg_start: Colum
     return F.when(F.size(w) == F.size(p), same).otherwise(changed)
 
 
-def edit_distance(a: Column | str, b: Column | str) -> Column:
-    return F.levenshtein(col(a), col(b))
-
-
-def norm_edit_distance(a: Column | str, b: Column | str) -> Column:
-    """Edit distance over the longer length: 0 for equal texts, 1 where one is empty."""
-    x, y = col(a), col(b)
-    return F.when(x == y, F.lit(0.0)).when((F.length(x) == 0) | (F.length(y) == 0), F.lit(1.0)).otherwise(F.levenshtein(x, y) / F.greatest(F.length(x), F.length(y)))
-
-
 def word_change_ratio(lcs: Column | str, n: Column | str, m: Column | str) -> Column:
     """Share of the longer word list outside the common subsequence."""
     most = F.greatest(col(n), col(m))

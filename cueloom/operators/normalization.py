@@ -1,18 +1,64 @@
-"""Caption-friendly re-segmentation as a fold over each segment's words, and its statistics."""
+"""Caption-friendly re-segmentation in one walk over each segment's words, and its statistics."""
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Normalization
-from ..functions.text import join_words, words_text
+from ..functions.alignment import flat_lists, listed
+from ..functions.text import join_words, utf16_length, words_text
 from ..functions.timing import round_half_up
 
 
-def _let(value: Column, use) -> Column:
-    """use(value) with value computed once."""
-    return F.transform(F.array(value), use)[0]
+RANGES = "array<struct<first:int,to:int,who:string>>"
+
+
+def _ranges(words: list[str], speakers: list[str | None], who: str | None, config: Normalization, out: tuple[list, list, list]) -> int:
+    """Add the parts of one segment's words to out: first word, end (exclusive) and speaker. Returns how many they are."""
+    most_words, most_chars, enough = config.max_words_per_segment, config.max_chars_per_segment, config.punctuation_split_threshold
+    firsts, ends, names = out
+    by_speaker, marks, last = config.split_segment_at_speaker_change, tuple(config.punctuation_chars), len(words) - 1
+    before, first, n, chars = len(firsts), 0, 0, 0
+
+    def close(to: int) -> None:
+        nonlocal first, n, chars
+        firsts.append(first)
+        ends.append(to)
+        names.append(who)
+        first, n, chars = to, 0, 0
+
+    for i, word in enumerate(words):
+        speaker = speakers[i]
+        if by_speaker and n and speaker and who and speaker != who:
+            close(i)
+            who = speaker
+        size = len(word) if word.isascii() else len(word.encode("utf-16-le", "surrogatepass")) // 2
+        if n and (n + 1 > most_words or chars + 1 + size > most_chars):
+            close(i)
+        chars += size + (n > 0)
+        n += 1
+        if speaker is not None:
+            who = speaker
+        if i < last and max(chars / most_chars, n / most_words) >= enough and word.endswith(marks):
+            close(i + 1)
+    if n:
+        close(len(words))
+    return len(firsts) - before
+
+
+def _splitter(config: Normalization):
+    def split(words: pa.Array, speakers: pa.Array, whos: pa.Array) -> pa.Array:
+        at, flat, there = flat_lists(words)
+        flat, own, counts, out = flat.to_pylist(), flat_lists(speakers)[1].to_pylist(), [], ([], [], [])
+        for i, who in enumerate(whos.to_pylist()):
+            a, b = at[i], at[i + 1]
+            counts.append(_ranges(flat[a:b], own[a:b], who, config, out) if there[i] else None)
+        kinds = {"first": pa.int32(), "to": pa.int32(), "who": pa.string()}
+        return listed(counts, pa.StructArray.from_arrays([pa.array(v, k) for v, k in zip(out, kinds.values(), strict=True)], list(kinds)))
+
+    return split
 
 
 def split_ranges(words: Column, speaker: Column, config: Normalization) -> Column:
@@ -20,56 +66,11 @@ def split_ranges(words: Column, speaker: Column, config: Normalization) -> Colum
 
     Before a word a part is closed at a change of speaker, or where the word would go
     over a limit; after it, where the part is full enough and the word ends with
-    punctuation. Ranges are kept, not a number per word: the result is used once, so
-    the optimizer can't put the fold into a loop over it.
+    punctuation. Lengths are UTF-16 units. What a part holds depends on where the last one ended, so
+    each segment's words are walked over once, in an Arrow function that gets words and speakers only; its time grows with the words, whatever their number.
     """
-    most_words, most_chars = float(config.max_words_per_segment), float(config.max_chars_per_segment)
-    total = F.size(words)
-    nothing = F.array().cast("array<struct<first:int,to:int,who:string>>")
-
-    def named(x: Column) -> Column:
-        return F.coalesce(x, F.lit("")) != ""
-
-    def cut_at(s: Column, cut: Column, to: Column, who: Column) -> list[Column]:
-        """The state's fields, with the part closed before position to where cut holds."""
-        made = F.array(F.struct(s["first"].alias("first"), to.cast("int").alias("to"), s["who"].alias("who")))
-        return [
-            F.when(cut, 0).otherwise(s["n"]).alias("n"), F.when(cut, 0).otherwise(s["chars"]).alias("chars"), who.alias("who"),
-            F.when(cut, to).otherwise(s["first"]).cast("int").alias("first"), F.when(cut, F.concat(s["parts"], made)).otherwise(s["parts"]).alias("parts"),
-        ]
-
-    def step(state: Column, word: Column) -> Column:
-        size, pos = F.length(word["word"]), word["pos"]
-
-        def at_speaker(s: Column) -> Column:
-            cut = F.lit(config.split_segment_at_speaker_change) & named(word["speaker"]) & named(s["who"]) & (word["speaker"] != s["who"]) & (s["n"] > 0)
-            return F.struct(*cut_at(s, cut, pos, F.when(cut, word["speaker"]).otherwise(s["who"])))
-
-        def at_limit(s: Column) -> Column:
-            cut = (s["n"] > 0) & ((s["n"] + 1 > most_words) | (s["chars"] + 1 + size > most_chars))
-            return F.struct(*cut_at(s, cut, pos, s["who"]))
-
-        def take(s: Column) -> Column:
-            chars = s["chars"] + F.when(s["n"] > 0, 1).otherwise(0) + size
-            return F.struct((s["n"] + 1).alias("n"), chars.alias("chars"), F.coalesce(word["speaker"], s["who"]).alias("who"), s["first"].alias("first"), s["parts"].alias("parts"))
-
-        def at_punctuation(s: Column) -> Column:
-            ends = F.lit(False)
-            for mark in config.punctuation_chars:
-                ends = ends | word["word"].endswith(mark)
-            full = F.greatest(s["chars"] / most_chars, s["n"] / most_words) >= F.lit(float(config.punctuation_split_threshold))
-            return F.struct(*cut_at(s, (pos < word["last"]) & full & ends, pos + 1, s["who"]))
-
-        return _let(_let(_let(at_speaker(state), at_limit), take), at_punctuation)
-
-    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("chars"), speaker.alias("who"), F.lit(0).alias("first"), nothing.alias("parts"))
-    placed = F.transform(words, lambda w, i: F.struct(w["word"].alias("word"), w["speaker"].alias("speaker"), i.alias("pos"), (total - 1).alias("last")))
-
-    def close(s: Column) -> Column:
-        rest = F.array(F.struct(s["first"].alias("first"), total.alias("to"), s["who"].alias("who")))
-        return F.concat(s["parts"], F.when(s["n"] > 0, rest).otherwise(nothing))
-
-    return F.aggregate(placed, start, step, close)
+    timed = F.when(F.size(words) > 0, words)
+    return F.arrow_udf(_splitter(config), RANGES)(F.transform(timed, lambda w: F.coalesce(w["word"], F.lit(""))), F.transform(timed, lambda w: w["speaker"]), speaker)
 
 
 def split_parts(segments: DataFrame, config: Normalization) -> DataFrame:
@@ -121,9 +122,9 @@ def normalization_stats(made: DataFrame) -> DataFrame:
         F.count("*").alias("original_segments"), F.sum(F.size("parts")).alias("normalized_segments"), F.sum(F.when(timed, F.greatest(F.size("parts"), F.lit(1)) - 1).otherwise(0)).alias("splits")
     )
     part = made.select("transcript_id", F.explode_outer("parts").alias("part"))
-    words, chars = F.greatest(F.coalesce(F.size("part.words"), F.lit(0)), F.lit(0)), F.coalesce(F.length("part.text"), F.lit(0))
+    words, chars = F.greatest(F.coalesce(F.size("part.words"), F.lit(0)), F.lit(0)), F.coalesce(utf16_length("part.text"), F.lit(0))
     return before.join(part.groupBy("transcript_id").agg(*distribution(words, "words"), *distribution(chars, "chars")), "transcript_id")
 
 
 def segment_chars(segments: DataFrame) -> DataFrame:
-    return segments.select("transcript_id", "seg_idx", F.greatest(F.size("words"), F.lit(0)).alias("n_words"), F.length(words_text()).alias("n_chars"))
+    return segments.select("transcript_id", "seg_idx", F.greatest(F.size("words"), F.lit(0)).alias("n_words"), utf16_length(words_text()).alias("n_chars"))

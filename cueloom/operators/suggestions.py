@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Validation
-from ..functions.alignment import norm_edit_distance, reconcile_words, word_change_ratio, word_changes
+from ..functions.alignment import reconcile_words, word_change_ratio, word_changes
+from ..functions.distance import norm_edit_distance
 from ..functions.text import bracketed_json, join_words, labelled_line, text_to_words, words_text
 from .speakers import apply_speaker_names
 

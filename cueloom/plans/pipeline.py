@@ -19,9 +19,9 @@ from ..operators.refinement import Client, refine
 from ..operators.replacement import apply_replacements
 from ..operators.suggestions import apply_suggestions
 from ..schema import EVENTS, SEGMENTS
-from ..sources.documents import output_manifest, set_aside, to_segments, write_table
+from ..sources.documents import output_manifest, refined_documents, set_aside, to_segments, write_table
 from ..sources.runs import RunLog
-from ..sources.sinks import write_caption_files
+from ..sources.sinks import write_text_files
 
 
 @dataclass
@@ -54,6 +54,7 @@ def process(
     return Result(segments, captions(segments, config), stats)
 
 
+REFINED = "_refined_transcript.json"
 #: Documents of a transcript without segments; the others are joined to these by what transcripts there are.
 EMPTY = {"vtt": "WEBVTT\n", "srt": "", "json": '{\n  "speakers": {\n    "spk_0": "SPEAKER_00"\n  },\n  "segments": []\n}'}
 
@@ -79,7 +80,7 @@ def _events(names: DataFrame, kinds: list[str], config: PipelineConfig, started:
     ended = time.time()
     outputs = F.create_map(*(x for k in kinds for x in (F.lit(k), F.concat("output_base", F.lit(f"_caption.{k}"))))) if kinds else F.create_map().cast("map<string,string>")
     timing = F.struct(F.lit(at(started)).alias("startedAt"), F.lit(at(ended)).alias("completedAt"), F.lit(int((ended - started) * 1000)).alias("durationMs"))
-    detail = F.to_json(F.struct(F.col("key").alias("inputKey"), F.struct(F.col("output_base").alias("transcript"), outputs.alias("captions")).alias("outputKeys"), timing.alias("timing")))
+    detail = F.to_json(F.struct(F.col("key").alias("inputKey"), F.struct(F.concat("output_base", F.lit(REFINED)).alias("refinedTranscript"), outputs.alias("captions")).alias("outputKeys"), timing.alias("timing")))
     n = config.notification
     return names.select("key", F.lit("success").alias("status"), F.lit(None).cast("string").alias("error_type"), F.lit(None).cast("string").alias("error"), *(F.lit(v).alias(c) for c, v in (("bus", n.event_bus), ("source", n.source), ("detail_type", n.detail_type))), detail.alias("detail"))
 
@@ -87,7 +88,7 @@ def _events(names: DataFrame, kinds: list[str], config: PipelineConfig, started:
 def _failures(failed: DataFrame, config: PipelineConfig) -> DataFrame:
     """An event for each document that could not be read."""
     n = config.notification
-    what = F.when(F.trim(F.coalesce("extra", F.lit(""))) == "", F.lit("empty document")).when(F.try_parse_json("extra").isNull(), F.lit("no JSON")).otherwise(F.lit("no segments"))
+    what = F.when(F.coalesce("extra", F.lit("")).rlike(r"^\s*$"), F.lit("empty document")).when(F.try_parse_json("extra").isNull(), F.lit("no JSON")).otherwise(F.lit("no segments"))
     detail = F.to_json(F.struct(F.col("key").alias("inputKey"), F.struct(F.lit("DocumentError").alias("ErrorType"), what.alias("ErrorMessage")).alias("Error")))
     return failed.select("key", F.lit("failure").alias("status"), F.lit("DocumentError").alias("error_type"), what.alias("error"), *(F.lit(v).alias(c) for c, v in (("bus", n.event_bus), ("source", n.source), ("detail_type", n.detail_type))), detail.alias("detail"))
 
@@ -101,7 +102,7 @@ def run_batch(
     transcripts: DataFrame, out: str, config: PipelineConfig, skip_existing: bool | None = None, run: str | None = None, failed: DataFrame | None = None,
     make_client: Callable[[], Client] | None = None,
 ) -> Result:
-    """Process transcripts (key, output_base, segments) and write segments, statistics, events and caption files under out.
+    """Process transcripts (key, output_base, extra, segments) and write segments, statistics, events, refined transcripts and caption files under out.
 
     A run adds partitions of its own (run=...) and overwrites nothing of other runs; it is finished by its
     entry in the log, which comes last. A run that is in the log is not done again: what it wrote is
@@ -113,20 +114,21 @@ def run_batch(
     if run not in log:
         if config.transcription.skip_if_output_exists if skip_existing is None else skip_existing:
             transcripts = new_keys(transcripts, output_manifest(spark, out))
-        names = transcripts.select("output_base", F.xxhash64("key").alias("transcript_id"), "key")
+        ids = F.xxhash64("key").alias("transcript_id")
+        names = transcripts.select("output_base", ids, "key")
         write_table(names, f"{out}/manifest/run={run}")
         result = process(to_segments(transcripts), config, make_client=make_client, memo=f"{out}/answers")
         write_table(result.segments.select(*SEGMENTS.fieldNames()), f"{out}/segments/run={run}")
         for kind, df in result.stats.items():
             write_table(df, f"{out}/stats/{kind}/run={run}")
         names = spark.read.schema(names.schema).parquet(f"{out}/manifest/run={run}")
-        documents = captions(_segments(spark, out, run), config, names)
-        files = None
+        segments = _segments(spark, out, run)
+        documents = captions(segments, config, names)
+        named = lambda df, end: df.join(names, "transcript_id").select(F.concat("output_base", F.lit(end)).alias("name"), "document")
+        files = named(refined_documents(transcripts.select(ids, "extra"), segments, not config.normalization.normalize), REFINED)
         for kind, df in documents.items():
-            own = df.join(names, "transcript_id").select("output_base", F.lit(kind).alias("kind"), "document")
-            files = own if files is None else files.union(own)
-        if files is not None:
-            write_caption_files(files, f"{out}/output")
+            files = files.union(named(df, f"_caption.{kind}"))
+        write_text_files(files, f"{out}/output")
         if config.notification.enabled:
             events = _events(names, list(documents), config, started)
             write_table(events if failed is None else events.union(_failures(failed, config)), f"{out}/events/run={run}")

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import Captions, Normalization, Refinement, Validation
-from ..functions.alignment import edit_distance, norm_edit_distance, reconcile_words, word_change_ratio, word_changes, word_diff
+from ..functions.alignment import reconcile_words, word_change_ratio, word_changes, word_diff
+from ..functions.distance import edit_distance, norm_edit_distance
 from ..functions.text import byte_size, decoded_key, effective_speaker, escape_html, labelled_line, model_of, output_base, region_of, words_text, worker_base
 from ..functions.timing import srt_timestamp, vtt_timestamp
 from ..operators import captions as cap

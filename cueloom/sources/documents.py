@@ -27,7 +27,7 @@ def read_transcripts(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_transcripts(raw: DataFrame) -> DataFrame:
     strict = F.from_json("extra", TRANSCRIPT, {"mode": "FAILFAST"})
-    body = F.when(F.trim("extra") == "", F.raise_error(F.concat(F.lit("empty document: "), "key"))).otherwise(F.col("extra"))
+    body = F.when(F.col("extra").rlike(r"^\s*$"), F.raise_error(F.concat(F.lit("empty document: "), "key"))).otherwise(F.col("extra"))
     return raw.withColumn("extra", body).select("key", output_base("key").alias("output_base"), "extra", strict["segments"].alias("segments"))
 
 
@@ -52,6 +52,29 @@ def to_transcripts(segments: DataFrame) -> DataFrame:
     return rows.select("transcript_id", F.to_json(F.struct(F.transform("x", lambda r: r["s"]).alias("segments"))).alias("json"))
 
 
+def refined_documents(transcripts: DataFrame, segments: DataFrame, same_segments: bool = False) -> DataFrame:
+    """(transcript_id, document): each transcript (transcript_id, extra) as the JSON it came as, with these segments in place of its own.
+
+    All other fields stay as they were, whatever they hold. With same_segments, where segments were not cut
+    anew, fields of a segment that are not known here stay too.
+    """
+    fields = [f.name for f in SEGMENT.fields]
+    own = segments.select("transcript_id", "seg_idx", F.parse_json(F.to_json(F.struct(*fields))).alias("s"))
+    if same_segments:
+        known = F.array(*(F.lit(f) for f in fields))
+        came = transcripts.select("transcript_id", F.posexplode(F.try_variant_get(F.parse_json("extra"), "$.segments", "array<map<string,variant>>")).alias("seg_idx", "m"))
+        came = came.select("transcript_id", F.col("seg_idx").cast("long").alias("seg_idx"), F.map_filter("m", lambda k, v: ~F.array_contains(known, k)).alias("m"))
+        own = own.join(came, ["transcript_id", "seg_idx"], "left")
+        both = F.map_concat(F.try_variant_get("s", "$", "map<string,variant>"), F.coalesce("m", F.create_map().cast("map<string,variant>")))
+        own = own.select("transcript_id", "seg_idx", F.parse_json(F.to_json(both)).alias("s"))
+    # variants have no order: they travel as text
+    rows = own.select("transcript_id", F.struct("seg_idx", F.to_json("s").alias("s")).alias("x")).groupBy("transcript_id").agg(F.array_sort(F.collect_list("x")).alias("x"))
+    listed = F.concat(F.lit("["), F.array_join(F.transform("x", lambda r: r["s"]), ","), F.lit("]"))
+    others = F.map_filter(F.try_variant_get(F.parse_json("extra"), "$", "map<string,variant>"), lambda k, v: k != "segments")
+    made = transcripts.join(rows, "transcript_id", "left").select("transcript_id", others.alias("m"), F.parse_json(F.coalesce(listed, F.lit("[]"))).alias("v"))
+    return made.select("transcript_id", F.to_json(F.map_concat("m", F.create_map(F.lit("segments"), F.col("v")))).alias("document"))
+
+
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SEGMENTS).parquet(path)
 

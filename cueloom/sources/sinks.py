@@ -1,7 +1,7 @@
-"""Caption files as a data source to write to: nothing is seen under its name before the whole job has ended.
+"""Text files as a data source to write to: nothing is seen under its name before the whole job has ended.
 
-``df.write.format("caption_files").option("path", folder).mode("append").save()`` takes rows
-(output_base, kind, document) and leaves ``folder/<output_base>_caption.<kind>``, byte for byte. A task stages its
+``df.write.format("text_files").option("path", folder).mode("append").save()`` takes rows
+(name, document) and leaves each document as ``folder/<name>``, byte for byte. A task stages its
 files in a folder of its own below ``folder/.staged-<job>``; the commit moves those of the tasks that Spark took,
 and an abort, or what a failed task left, goes with the staging folder. Moves replace what is there, so a job that is
 done again leaves the same files.
@@ -14,10 +14,10 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
-SHAPE = "output_base string, kind string, document string"
+SHAPE = "name string, document string"
 MOVERS = 32
 
 
@@ -44,10 +44,10 @@ class _Writer(DataSourceArrowWriter):
         system, own, n, made = self._system(), f"{self.staging}/{uuid.uuid4().hex}", 0, set()
         for batch in batches:
             rows = {c.lower(): batch.column(i) for i, c in enumerate(batch.schema.names)}
-            for base, kind, text in zip(*(rows[c].to_pylist() for c in ("output_base", "kind", "document")), strict=True):
-                if ".." in base.split("/"):
-                    raise ValueError(f"a key may not leave the folder: {base}")
-                to = f"{own}/{base}_caption.{kind}"
+            for name, text in zip(*(rows[c].to_pylist() for c in ("name", "document")), strict=True):
+                if ".." in name.split("/"):
+                    raise ValueError(f"a name may not leave the folder: {name}")
+                to = f"{own}/{name}"
                 if (parent := to.rpartition("/")[0]) not in made:
                     system.create_dir(parent)
                     made.add(parent)
@@ -85,29 +85,29 @@ class _Writer(DataSourceArrowWriter):
             system.delete_dir(self.staging)
 
 
-class CaptionFiles(DataSource):
+class TextFiles(DataSource):
     @classmethod
     def name(cls) -> str:
-        return "caption_files"
+        return "text_files"
 
     def schema(self) -> str:
         return SHAPE
 
     def writer(self, schema, overwrite: bool) -> _Writer:
         if overwrite:
-            raise ValueError("caption_files adds files and replaces those of the same name: use mode append")
+            raise ValueError("text_files adds files and replaces those of the same name: use mode append")
         return _Writer(self.options["path"])
 
 
 def register(spark: SparkSession) -> None:
     """Let the session write to the data source by its name."""
-    spark.dataSource.register(CaptionFiles)
+    spark.dataSource.register(TextFiles)
 
 
-def write_caption_files(documents, path: str) -> None:
-    """Write documents (output_base, kind, document) as files below path."""
+def write_text_files(documents: DataFrame, path: str) -> None:
+    """Write documents (name, document) as files below path."""
     spark = documents.sparkSession
     register(spark)
     top = spark._jvm.org.apache.hadoop.fs.Path(path)
     top = top.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(top).toString()
-    documents.select("output_base", "kind", "document").write.format("caption_files").option("path", top).mode("append").save()
+    documents.select("name", "document").write.format("text_files").option("path", top).mode("append").save()

@@ -10,7 +10,7 @@ from cueloom.config import load_config
 from cueloom.plans.pipeline import handle_batch, outbox, run_batch
 from cueloom.sources.documents import current, output_manifest, read_transcripts
 from cueloom.sources.runs import RunLog
-from cueloom.sources.sinks import write_caption_files
+from cueloom.sources.sinks import write_text_files
 from cueloom.streaming.jobs import arrivals, run_stream
 
 SKIP = {"transcription": {"skipIfOutputExists": True}}
@@ -115,19 +115,34 @@ def test_transcripts_without_segments_have_documents(spark, tmp_path):
     read = lambda kind: (tmp_path / f"out/output/empty_caption.{kind}").read_text()
     assert read("vtt") == "WEBVTT\n" and read("srt") == ""
     assert json.loads(read("json")) == {"speakers": {"spk_0": "SPEAKER_00"}, "segments": []}
-    assert sorted(p.name for p in (tmp_path / "out/output").iterdir()) == sorted(f"{n}_caption.{k}" for n in ("empty", "full") for k in ("vtt", "srt", "json"))
+    assert sorted(p.name for p in (tmp_path / "out/output").iterdir()) == sorted(f"{n}_{k}" for n in ("empty", "full") for k in ("caption.vtt", "caption.srt", "caption.json", "refined_transcript.json"))
+    assert json.loads((tmp_path / "out/output/empty_refined_transcript.json").read_text()) == {"segments": []}
     assert got.documents["vtt"].count() == 2 and outbox(spark, str(tmp_path / "out")).count() == 2
 
 
 def test_failed_tasks_leave_no_files(spark, tmp_path):
-    rows = spark.range(40, numPartitions=4).select(F.concat(F.lit("d/k"), F.col("id").cast("string")).alias("output_base"), F.lit("vtt").alias("kind"), F.lit("text").alias("document"))
-    broken = rows.withColumn("document", F.when(F.col("output_base") == "d/k39", F.raise_error(F.lit("lost"))).otherwise(F.col("document")))
+    rows = spark.range(40, numPartitions=4).select(F.concat(F.lit("d/k"), F.col("id").cast("string"), F.lit("_caption.vtt")).alias("name"), F.lit("text").alias("document"))
+    broken = rows.withColumn("document", F.when(F.col("name") == "d/k39_caption.vtt", F.raise_error(F.lit("lost"))).otherwise(F.col("document")))
     with pytest.raises(Exception, match="lost"):
-        write_caption_files(broken, str(tmp_path / "out"))
+        write_text_files(broken, str(tmp_path / "out"))
     assert [p for p in (tmp_path / "out").rglob("*") if p.is_file()] == [] if (tmp_path / "out").exists() else True
     for _ in range(2):  # again: the same files
-        write_caption_files(rows, str(tmp_path / "out"))
+        write_text_files(rows, str(tmp_path / "out"))
     assert sorted(p.name for p in (tmp_path / "out/d").iterdir()) == sorted(f"k{i}_caption.vtt" for i in range(40))
     assert [p.name for p in (tmp_path / "out").iterdir()] == ["d"]
     with pytest.raises(Exception, match="may not leave"):
-        write_caption_files(rows.withColumn("output_base", F.lit("../x")), str(tmp_path / "out"))
+        write_text_files(rows.withColumn("name", F.lit("../x")), str(tmp_path / "out"))
+
+
+@pytest.mark.parametrize("normalize", [True, False])
+def test_fields_that_are_not_known_survive(spark, tmp_path, normalize):
+    doc = {"language": "en", "stats": {"n": 1, "deep": [1, {"a": None}]}, "segments": [{"start": 0, "end": 1, "text": "the end", "id": 7, "tokens": [1, 2]}, {"start": 1, "end": 2, "text": "x", "speaker": "A"}], "text": "the end"}
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.json").write_text(json.dumps(doc))
+    config = load_config({"replacementRules": [{"type": "literal", "search": "end", "replacement": "END"}], "normalization": {"normalize": normalize}})
+    run_batch(read_transcripts(spark, str(tmp_path / "in")), str(tmp_path / "out"), config)
+    got = json.loads((tmp_path / "out/output/a_refined_transcript.json").read_text())
+    assert {k: v for k, v in got.items() if k != "segments"} == {k: v for k, v in doc.items() if k != "segments"}
+    first, second = got["segments"]
+    assert first["text"] == "the END" and first["start"] == 0 and second == {"start": 1.0, "end": 2.0, "text": "x", "speaker": "A"}
+    assert ({"id": 7, "tokens": [1, 2]}.items() <= first.items()) is not normalize

@@ -22,7 +22,8 @@ def test_documents_round_trip_and_batch(spark, tmp_path):
     config = load_config({"replacementRules": [{"type": "literal", "search": "end", "replacement": "END"}]})
     result = run_batch(got, str(tmp_path / "out"), config)
     assert result.segments.first().text == "the END"
-    assert sorted(p.name for p in (tmp_path / "out/output").iterdir() if p.suffix != ".crc") == ["ep_caption.json", "ep_caption.srt", "ep_caption.vtt"]
+    assert sorted(p.name for p in (tmp_path / "out/output").iterdir() if p.suffix != ".crc") == ["ep_caption.json", "ep_caption.srt", "ep_caption.vtt", "ep_refined_transcript.json"]
+    assert json.loads((tmp_path / "out/output/ep_refined_transcript.json").read_text())["more"] == 1
     assert (tmp_path / "out/output/ep_caption.vtt").read_bytes().decode() == result.documents["vtt"].first().document
 
 
