@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .scratch import Scratch
-from .sketch import CountMin
+from .sketch import FLUSH, CountMin
 from .substring_dedup import expected_words
 from .text import left_in_row, mix, rolling, streams
 
@@ -128,12 +128,12 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "items").mapInArrow(check, "a long, b long")
 
 
-def ngram_components(docs: DataFrame, k: int = 5, percent: int = 80, cells_per_shingle: float = 1.5) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (the smallest doc_id that links reach)."""
+def ngram_components(docs: DataFrame, k: int = 5, percent: int = 80, cells_per_shingle: float = 1.5, flush: int = FLUSH) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (the smallest doc_id that links reach). flush: shingles that a task holds for its sketch; fewer take less memory and more shuffle."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scratch = Scratch(docs.sparkSession, "ngram-join")
     sketch = CountMin.build(
-        scratch, "sketch/s", docs.select("text"), lambda b: (got for *_, got in shingle_sets(b.column(0), k)), expected_words(docs), cells_per_shingle
+        scratch, "sketch/s", docs.select("text"), lambda b: (got for *_, got in shingle_sets(b.column(0), k)), expected_words(docs), cells_per_shingle, flush=flush
     )
 
     def signatures(batches):

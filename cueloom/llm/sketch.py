@@ -65,8 +65,9 @@ class CountMin:
         per_item: float,
         depth: int = 2,
         bits: bool = False,
+        flush: int = FLUSH,
     ) -> CountMin:
-        """hashes: the items of a batch, as often as they count. per_item: cells of each row per expected item."""
+        """hashes: the items of a batch, as often as they count. per_item: cells of each row per expected item. flush: items that a task puts together before it sends their cells."""
         width = int(min(max(round(np.log2(max(expected, 1) * per_item)), 12), MOST_CELLS))
         uri, segment = scratch.path(name), min(width, SEGMENT)
         self = cls(uri, width, depth, bits, set())
@@ -94,7 +95,7 @@ class CountMin:
                     if len(h):
                         parts.append(h)
                         n += len(h)
-                    if n >= FLUSH:
+                    if n >= flush:
                         yield from emit(parts)
                         parts, n = [], 0
             if n:
