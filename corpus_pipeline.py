@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +16,21 @@ from cueloom.llm.scratch import Scratch
 
 SHINGLE_WORDS = 5
 SIMILAR_PERCENT = 80
+#: A worker of this pipeline keeps what other stages loaded, so the widest stage goes in small steps.
+SKETCHED = 1 << 19
+BATCH_ROWS = 1000
+BATCHES = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of fewer rows for the jobs that run inside."""
+    before = spark.conf.get(BATCHES)
+    spark.conf.set(BATCHES, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCHES, before)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +45,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one of smallest doc_id. Wordless texts and null ids stay."""
-    groups = ngram_components(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
+    with small_batches(spark):
+        groups = ngram_components(docs, SHINGLE_WORDS, SIMILAR_PERCENT, flush=SKETCHED)
     late = groups.where("component_id <> doc_id").select("doc_id").distinct()
     return docs.join(late, "doc_id", "left_anti").select(*docs.columns)
 
