@@ -30,6 +30,11 @@ def warmup_expiry(messages: DataFrame, key: str = "worker", now: F.Column | None
     return warm.groupBy(key).agg(F.max(expiry("until", now if now is not None else F.current_timestamp())).alias("until"))
 
 
+def is_warm(until: F.Column, now: F.Column | None = None) -> F.Column:
+    """Whether a worker that is kept warm to a time still is; one that was never warmed is not."""
+    return F.coalesce(until > (now if now is not None else F.current_timestamp()), F.lit(False))
+
+
 def idle_shutdowns(polls: DataFrame, key: str, order: str, most_empty: int = 3) -> DataFrame:
     """polls (key, order, n_messages, warm) with empty_run (empty polls in a row, warm or not) and stops.
 

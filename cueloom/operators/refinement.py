@@ -124,7 +124,7 @@ def refine(
     spark = segments.sparkSession
     if not config.profile_id:
         made, none = segments.groupBy("transcript_id").agg(F.count("*").alias("segments_processed")), F.lit(0).cast("long")
-        nothing = spark.createDataFrame([], "transcript_id long, ord long, idx long, original string, corrected string, ratio double, distance double, run int, ignore_reason string")
+        nothing = spark.createDataFrame([], "transcript_id long, ord long, idx long, original string, corrected string, ratio double, run int, ignore_reason string")
         return Refined(segments, nothing, nothing, made.withColumns({"segments_updated": none, "speakers_identified": none}), spark.createDataFrame([], "transcript_id long, error string"))
     asked = prompts(segments, config, template)
     answers = answered(asked, memo, make_client, calls)

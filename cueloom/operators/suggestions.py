@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import Validation
 from ..functions.alignment import reconcile_words, word_change_ratio, word_changes
-from ..functions.distance import norm_edit_distance
+from ..functions.distance import distance_beyond, norm_edit_distance
 from ..functions.text import bracketed_json, join_words, labelled_line, text_to_words, words_text
 from .speakers import apply_speaker_names
 
@@ -30,10 +30,11 @@ def parse_responses(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
     return updates, names
 
 
-def validated(pairs: DataFrame, config: Validation = Validation()) -> DataFrame:
+def validated(pairs: DataFrame, config: Validation = Validation(), distances: bool = True) -> DataFrame:
     """pairs (original, corrected) with ratio, distance, run and ignore_reason (null: the edit is good).
 
-    Equal texts never reach the alignment. Without validation every pair is good, equal texts too.
+    Equal texts never reach the alignment. Without validation every pair is good, equal texts too. Where
+    distances are not asked for, only texts that pass the ratio are measured, and only as far as the limit.
     """
     a, b = text_to_words(F.lower("original")), text_to_words(F.lower("corrected"))
     made = pairs.withColumns({"_a": a, "_b": b})
@@ -42,17 +43,24 @@ def validated(pairs: DataFrame, config: Validation = Validation()) -> DataFrame:
     n, m = F.size("_a"), F.size("_b")
     run = F.when(~differ, 0).when((n == 0) | (m == 0), F.greatest(n, m)).otherwise(F.col("_d.max_run"))
     made = made.withColumns({"ratio": F.when(differ, word_change_ratio("_d.lcs", n, m)).otherwise(F.lit(0.0)), "run": run})
-    distance = norm_edit_distance("original", "corrected")
+    limit = config.max_normalized_edit_distance
+    if distances:
+        made = made.withColumn("distance", norm_edit_distance("original", "corrected"))
+        far = F.col("distance") > limit
+    else:
+        open_still = differ & (n >= config.min_words_for_ratio_check) & (F.col("ratio") <= config.max_word_change_ratio)
+        made = made.withColumn("_far", distance_beyond(F.when(open_still, F.col("original")), F.when(open_still, F.col("corrected")), limit))
+        far = F.coalesce("_far", F.lit(False))
     long_run = F.when(F.col("run") > config.max_consecutive_changes, F.lit("consecutive-changes"))
     ladder = (
         F.when(F.lit(not config.enabled), F.lit(None))
         .when(~differ, F.lit("no-change"))
         .when(n < config.min_words_for_ratio_check, long_run)
         .when(F.col("ratio") > config.max_word_change_ratio, F.lit("word-change-ratio"))
-        .when(F.col("distance") > config.max_normalized_edit_distance, F.lit("edit-distance"))
+        .when(far, F.lit("edit-distance"))
         .otherwise(long_run)
     )
-    return made.withColumn("distance", distance).withColumn("ignore_reason", ladder).drop("_a", "_b", "_d")
+    return made.withColumn("ignore_reason", ladder).drop("_a", "_b", "_d", "_far")
 
 
 def apply_suggestions(
@@ -72,7 +80,7 @@ def apply_suggestions(
     for k in range(1, rounds + 1):
         own = ranked.where(F.col("_rank") == k).select("transcript_id", F.col("idx").alias("seg_idx"), "ord", F.col("text").alias("corrected"))
         met = current.join(own, ["transcript_id", "seg_idx"], "left").withColumn("original", words_text())
-        judged = validated(met, config)
+        judged = validated(met, config, distances=False)
         same = F.col("original") == F.col("corrected")  # nothing to apply, validation or not
         judged = judged.withColumn("ignore_reason", F.when(same, F.lit("no-change")).otherwise(F.col("ignore_reason")))
         use = F.col("ord").isNotNull() & F.col("ignore_reason").isNull()
@@ -80,11 +88,11 @@ def apply_suggestions(
         words = F.when(use & (F.size("words") > 0), reconcile_words("words", "_new", "start")).otherwise(F.col("words"))
         text = F.when(use, join_words("_new")).otherwise(F.col("text"))
         judged = judged.withColumns({"_words": words, "_text": text})
-        log = judged.where("ord IS NOT NULL").select("transcript_id", "ord", F.col("seg_idx").alias("idx"), "original", "corrected", "ratio", "distance", "run", "ignore_reason")
+        log = judged.where("ord IS NOT NULL").select("transcript_id", "ord", F.col("seg_idx").alias("idx"), "original", "corrected", "ratio", "run", "ignore_reason")
         logs = log if logs is None else logs.union(log)
         current = judged.select(*[{"words": F.col("_words"), "text": F.col("_text")}.get(c, F.col(c)).alias(c) for c in segments.columns])
     if logs is None:
-        logs = updates.limit(0).selectExpr("transcript_id", "ord", "idx", "text AS original", "text AS corrected", "0D AS ratio", "0D AS distance", "0 AS run", "text AS ignore_reason")
+        logs = updates.limit(0).selectExpr("transcript_id", "ord", "idx", "text AS original", "text AS corrected", "0D AS ratio", "0 AS run", "text AS ignore_reason")
     applied, ignored = logs.where("ignore_reason IS NULL"), logs.where("ignore_reason IS NOT NULL")
     stats = segments.groupBy("transcript_id").agg(F.count("*").alias("segments_processed"))
     stats = stats.join(applied.groupBy("transcript_id").agg(F.count("*").alias("segments_updated")), "transcript_id", "left")

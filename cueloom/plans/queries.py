@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import uuid
 from collections.abc import Callable
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -323,6 +326,8 @@ def refinement_stats(spark, sf_dir):
 def _refined(spark, sf_dir):
     """The fixture refined by its client, answers kept in a new folder of the work folder."""
     memo = f"{work_folder(spark)}/answers-{uuid.uuid4().hex}"
+    if (at := urlparse(memo)).scheme in ("", "file"):
+        atexit.register(shutil.rmtree, at.path, ignore_errors=True)
     return refine(segments(spark, sf_dir), Refinement(profile_id="eu.fixture"), deterministic_client, memo, most_rounds=1)
 
 

@@ -17,10 +17,11 @@ from ..sources.documents import key_below
 MESSAGE = "type string, until string, s3_key string, callback_id string, worker string"
 
 
-def arrivals(spark: SparkSession, path: str, glob: str = "*.json", most_files: int = 100) -> DataFrame:
-    """A stream of new documents under a folder: key (the path below it) and text, at most so many files a batch. Spark's file sources pass over files of no bytes."""
+def arrivals(spark: SparkSession, path: str, glob: str = "*.json", most_files: int = 100, prefix: str = "") -> DataFrame:
+    """A stream of new documents under a folder: key (the path below it) and text, at most so many files a batch; with a prefix, such as `input/`, only of keys that begin with it. Spark's file sources pass over files of no bytes."""
     source = spark.readStream.format("text").option("wholetext", "true").option("pathGlobFilter", glob).option("maxFilesPerTrigger", most_files).option("recursiveFileLookup", "true")
-    return source.load(path).select(key_below(spark, path).alias("key"), F.col("value").alias("extra"))
+    made = source.load(path).select(key_below(spark, path).alias("key"), F.col("value").alias("extra"))
+    return made.where(F.col("key").startswith(prefix)) if prefix else made
 
 
 def messages(raw: DataFrame) -> DataFrame:

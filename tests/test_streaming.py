@@ -44,15 +44,14 @@ def test_batches_skip_what_is_done_and_keep_equal_names_apart(spark, tmp_path):
 
 
 def test_arrivals_stream(spark, tmp_path):
-    (tmp_path / "in").mkdir()
-    (tmp_path / "in/a.json").write_text(json.dumps(DOC))
-    (tmp_path / "in/bad.json").write_text("{no json")
-    (tmp_path / "in/odd.json").write_text('{"segments": 3}')
-    source = arrivals(spark, str(tmp_path / "in"))
+    for folder, name, text in (("input", "a", json.dumps(DOC)), ("input", "bad", "{no json"), ("input", "odd", '{"segments": 3}'), ("output", "a", json.dumps(DOC))):
+        (tmp_path / "in" / folder).mkdir(parents=True, exist_ok=True)
+        (tmp_path / f"in/{folder}/{name}.json").write_text(text)
+    source = arrivals(spark, str(tmp_path / "in"), prefix="input/")
     for _ in range(2):  # the second run finds nothing new
         run_stream(source, handle_batch(str(tmp_path / "out"), load_config()), str(tmp_path / "check"), str(tmp_path / "done")).awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out/segments")).count() == 1
-    assert sorted(r.key for r in spark.read.parquet(str(tmp_path / "out/failed")).collect()) == ["bad.json", "odd.json"]
+    assert sorted(r.key for r in spark.read.parquet(str(tmp_path / "out/failed")).collect()) == ["input/bad.json", "input/odd.json"]
     assert [p.name.endswith("-000000000000") for p in (tmp_path / "out/segments").iterdir()] == [True]
 
 
