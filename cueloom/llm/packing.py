@@ -10,7 +10,7 @@ new bin is opened only where no open one has room: sequences are to be few.
 
 Packing needs lengths alone. Only the number of pieces of each length is
 gathered: at most ``capacity`` rows, whatever the input. The rule runs once over
-those counts and gives a plan: how many sequences of each composition. The
+those counts, to the piece and by no other way for larger inputs, and gives a plan: how many sequences of each composition. The
 pieces then take their places by rank within their length, which is a window per
 length dealt over ``SALTS`` ranges, so no task holds all pieces of a length.
 
@@ -25,6 +25,7 @@ import sys
 import zlib
 from array import array
 from collections import Counter
+from heapq import heapify, heappop, heappush
 from pathlib import Path
 
 import numpy as np
@@ -130,69 +131,155 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end: int = 0)
     return docs.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def plan(counts: dict[int, int], capacity: int, exact_steps: int = 1 << 18) -> list[tuple[tuple[int, ...], int]]:
+def _take(bins: list, g: int, to: int, size: int, n: int, done: Counter) -> None:
+    """Put a piece of this size into each of n bins of gap g."""
+    while n:
+        what, there = bins[g][-1]
+        k = min(there, n)
+        n -= k
+        bins[g][-1:] = [(what, there - k)] if there > k else []
+        what = (*what, size)
+        if not to:
+            done[what] += k
+        elif bins[to] and bins[to][-1][0] == what:
+            bins[to][-1] = (what, bins[to][-1][1] + k)
+        else:
+            bins[to].append((what, k))
+
+
+def _score(gaps: list, size: int, g: int) -> int:
+    return 2 * (gaps[g - size] - gaps[g]) + 2 if g > size else 1 - 2 * gaps[g]
+
+
+def _rounds(gaps: list, seen: dict, least: dict, taken: dict, most: int, size: int, left: int) -> int:
+    """How many times more the choices since the snapshot (seen, least, taken, most) are sure to come again, in their order.
+
+    They do if the scores of all gaps chosen have moved by one amount, as long as no
+    other gap comes below them, none runs empty that did not, and pieces are left. A
+    gap that ran empty does so again if it has as many bins as it had.
+    """
+    score = lambda g: _score(gaps, size, g)
+    if len(moves := {score(g) - seen[g][0] for g in taken}) > 1 or any(not least[g] and gaps[g] != n for g, (_, n) in seen.items() if g >= size):
+        return 0
+    (d,) = moves
+    m = left // sum(taken.values())
+    for g, (_, n) in seen.items():
+        if g >= size and gaps[g] < n:
+            m = min(m, (least[g] - 1) // (n - gaps[g]))
+    for g in range(size, len(gaps)):
+        if g not in taken and (gaps[g] or g in seen and seen[g][1]):
+            # a gap beside chosen ones falls by some amount a round
+            ahead, nearer = score(g) - most, d - (score(g) - seen[g][0] if g in seen else 0)
+            if ahead <= 0:
+                return 0
+            if nearer > 0:
+                m = min(m, (ahead - 1) // nearer)
+    return m
+
+
+def _place(gaps: list, bins: list, done: Counter, size: int, left: int) -> int:
+    """Put pieces of one size into open bins by the rule; returns how many found no room."""
+    top = len(gaps) - 1
+
+    def score(g: int) -> int | None:
+        return _score(gaps, size, g) if size <= g <= top and gaps[g] else None
+
+    now = [score(g) for g in range(top + 1)]
+    heap = [(x, g) for g, x in enumerate(now) if x is not None]
+    heapify(heap)
+    seen, least, taken, most, anchor, age, limit = {}, {}, {}, 0, -1, 0, 4
+    while left:
+        while heap and now[heap[0][1]] != heap[0][0]:
+            heappop(heap)
+        if not heap:
+            break
+        best, g = heap[0]  # ties: the smallest gap
+        if g == anchor and age and (m := _rounds(gaps, seen, least, taken, most, size, left)):
+            moved = {h: gaps[h] - n for h, (_, n) in seen.items()}
+            for h in sorted(taken, reverse=True):  # a gap receives before it gives
+                _take(bins, h, h - size, size, m * taken[h], done)
+            left -= m * sum(taken.values())
+            for h, n in moved.items():
+                gaps[h] += m * n
+            for h in {x for h in moved for x in (h, h + size) if size <= x <= top}:
+                now[h] = score(h)
+                if now[h] is not None:
+                    heappush(heap, (now[h], h))
+            anchor = -1
+            continue
+        if anchor < 0 or age >= limit:
+            limit = 4 if anchor < 0 else 2 * limit
+            seen, least, taken, most, anchor, age = {}, {}, {}, best, g, 0
+        heappop(heap)
+        while heap and now[heap[0][1]] != heap[0][0]:
+            heappop(heap)
+        # how many times in a row this gap stays the best choice: its score rises, those a piece above and below fall
+        rise, to = 4 if g > size else 2, g - size
+        run = min(left, gaps[g])
+        others = [(*heap[0], 0)] if heap else []
+        others += [(now[h], h, 2) for h in (g + size, to) if size <= h <= top and now[h] is not None]
+        for other, h, fall in others:
+            run = min(run, (other - best) // (rise + fall) + 1 if h > g else -((best - other) // (rise + fall)))
+        if to >= size and not gaps[to]:
+            run = 1  # opens a gap that is a choice too
+        run = max(run, 1)
+        beside = [h for h in (to, g, g + size) if 0 < h <= top]
+        for h in beside:
+            if h not in seen:
+                seen[h], least[h] = (_score(gaps, size, h), gaps[h]), gaps[h]
+        _take(bins, g, to, size, run, done)
+        left -= run
+        gaps[g] -= run
+        if to:
+            gaps[to] += run
+        taken[g] = taken.get(g, 0) + run
+        most = max(most, best + rise * (run - 1))
+        least[g] = min(least[g], gaps[g])
+        age += 1
+        for h in beside:
+            if h >= size:
+                now[h] = score(h)
+                if now[h] is not None:
+                    heappush(heap, (now[h], h))
+    return left
+
+
+def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
     """Compositions (lengths in order of placing) with how many sequences have each, by the sum-of-squares rule.
 
     Equal bins are kept together: a state is a gap with the compositions of its
-    open bins. A length's pieces are placed in runs for which the best gap stays
-    the same: the rule itself, piece by piece. After exact_steps such runs, and with
-    1,024 or more pieces of a length left, a run is a 512th of those left at least, so
-    the work is bounded by the number of lengths and not by that of pieces.
+    open bins. The result is that of the rule, piece by piece, whatever the counts.
+    A length's pieces are placed in runs for which the best gap stays the same; where
+    a row of choices has moved all gaps in it by one amount, it comes again until
+    another gap is met or one runs empty, and those rounds are placed at once. So the
+    work grows with the number of such events and not with that of pieces.
     """
-    gaps = np.zeros(capacity + 1, np.int64)
+    gaps = [0] * (capacity + 1)
     bins: list[list[tuple[tuple[int, ...], int]]] = [[] for _ in range(capacity + 1)]
     done: Counter = Counter()
-    steps = 0
     for size in sorted(counts, reverse=True):
         left = counts[size]
         if size == capacity:
             done[(size,)] += left
             continue
-        while left:
-            room = np.flatnonzero(gaps[size:]) + size
-            if len(room):
-                after = np.where(room > size, gaps[room - size], 0)
-                change = np.where(room > size, 2 * (after - gaps[room]) + 2, 1 - 2 * gaps[room])
-                best = int(np.argmin(change))  # ties: the smallest gap
-                g = int(room[best])
-                steps += 1
-                # how many times in a row this gap stays the best choice: its score rises, those a piece above and below fall
-                step = np.full(len(room), 4 if g > size else 2) + 2 * ((room == g + size) | (room == g - size))
-                meet = change - change[best]
-                meet = np.where(room > g, meet // step + 1, -(-meet // step))
-                meet[best] = left
-                run = int(meet.min())
-                if g - size >= size and not gaps[g - size]:
-                    run = 1  # opens a gap that is a choice too
-                run = int(min(max(run, left // 512 if steps > exact_steps else 1), left, gaps[g]))
-                left -= run
-                gaps[g] -= run
-                while run:
-                    what, n = bins[g][-1]
-                    take = min(n, run)
-                    run -= take
-                    bins[g][-1:] = [(what, n - take)] if n > take else []
-                    if g == size:
-                        done[(*what, size)] += take
-                    else:
-                        bins[g - size].append(((*what, size), take))
-                        gaps[g - size] += take
+        while left := _place(gaps, bins, done, size, left):
+            # no open bin has room: new ones, of which each may hold several of this size
+            each = capacity // size
+            n = left // each
+            if n and each > 1:
+                # what single placing into bins of one's own comes to
+                take, fill = n, (size,) * each
+            else:
+                take, fill = (left, (size,)) if each == 1 else (1, (size,) * left)
+            left -= take * len(fill)
+            g = capacity - size * len(fill)
+            if g:
+                bins[g].append((fill, take))
+                gaps[g] += take
             else:
-                # no open bin has room: new ones, of which each may hold several of this size
-                each = capacity // size
-                n = left // each
-                if n and each > 1:
-                    # what single placing into bins of one's own comes to
-                    take, fill = n, (size,) * each
-                else:
-                    take, fill = (left, (size,)) if each == 1 else (1, (size,) * left)
-                left -= take * len(fill)
-                g = capacity - size * len(fill)
-                if g:
-                    bins[g].append((fill, take))
-                    gaps[g] += take
-                else:
-                    done[fill] += take
+                done[fill] += take
+            if not left:
+                break
     for g in range(capacity + 1):
         for what, n in bins[g]:
             done[what] += n

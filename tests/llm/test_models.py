@@ -1,5 +1,6 @@
 import math
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -243,6 +244,37 @@ def test_plan_follows_the_rule_piece_by_piece():
     assert sum(n for _, n in plan(counts, 29)) == brute_plan(counts, 29)
 
 
+def left_open(counts, capacity):
+    """How many bins of each gap the rule leaves, piece by piece."""
+    gaps = [0] * (capacity + 1)
+    for size in sorted(counts, reverse=True):
+        for _ in range(counts[size]):
+            best, g = None, capacity
+            for h in range(size, capacity):
+                if gaps[h]:
+                    change = 2 * (gaps[h - size] - gaps[h]) + 2 if h > size else 1 - 2 * gaps[h]
+                    if best is None or change < best:
+                        best, g = change, h
+            gaps[g] -= best is not None
+            gaps[g - size] += g > size
+    return gaps
+
+
+def test_plan_keeps_to_the_rule_at_any_size():
+    rng = random.Random(5)
+    some = [Counter({rng.randint(1, 40): rng.choice([rng.randint(1, 30), rng.randint(1, 1500)]) for _ in range(rng.randint(1, 12))}) for _ in range(60)]
+    # the last takes more than 2**18 runs of equal choices
+    for counts, capacity in [*((c, 41) for c in some), ({3: 2320 * 80, 5: 2645 * 80, 6: 2122 * 80, 16: 1366 * 80}, 29)]:
+        gaps = [0] * (capacity + 1)
+        for lengths, n in plan(dict(counts), capacity):
+            gaps[capacity - sum(lengths)] += n
+        assert gaps[1:] == left_open(counts, capacity)[1:]
+    # and the work does not grow with the pieces
+    began = time.process_time()
+    plan({3: 2320 * 10**6, 5: 2645 * 10**6, 6: 2122 * 10**6, 16: 1366 * 10**6}, 29)
+    assert time.process_time() - began < 5
+
+
 def test_plan_is_tight_and_complete():
     rng = random.Random(1)
     for draw in (lambda: rng.randint(1, 2048), lambda: rng.randint(1, 300), lambda: rng.choice([700, 1348, 1024])):
