@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .scratch import Scratch
+from .scratch import Scratch, SortedTable
 from .sketch import FLUSH, CountMin
 from .substring_dedup import expected_words
 from .text import left_in_row, mix, rolling, streams
@@ -177,10 +177,13 @@ def ngram_components(docs: DataFrame, k: int = 5, percent: int = 80, cells_per_s
     # a shared passage can be long in few documents or short in thousands: h alone is never a task's whole work
     groups = rows.groupBy("h").agg(F.count("*").alias("c"), F.min(F.struct("id", "n", "place", *PARITY)).alias("m")).where("c > 1")
     shared = scratch.save(rows.join(groups.drop("c"), "h"), "shared")
-    need = shared.select("id").distinct()
+    # the ids whose sets are wanted, as mapped arrays: looked up where the texts are read, so no text is shuffled
+    need = scratch.save(shared.select(F.xxhash64("id").alias("h")).distinct(), "need")
+    wanted = SortedTable.build(scratch, "wanted/w", need, max(0, need.count().bit_length() - 19), [])
 
     def sets(batches):
         for batch in batches:
+            batch = batch.filter(pa.array(wanted.find(batch.column(2).to_numpy().view(np.uint64))[0]))
             ids, out_id, out = batch.column(0), [], []
             for row, n_rows, of, got in shingle_sets(batch.column(1), k):
                 edge = np.searchsorted(of, np.arange(n_rows + 1))
@@ -189,7 +192,7 @@ def ngram_components(docs: DataFrame, k: int = 5, percent: int = 80, cells_per_s
                     out.append(np.sort(got[edge[i] : edge[i + 1]]).tobytes())
             yield pa.record_batch([pa.array(out_id, pa.int64()), pa.array(out, pa.binary())], ["id", "items"])
 
-    known = docs.join(need.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi").mapInArrow(sets, "id long, items binary")
+    known = docs.where("doc_id IS NOT NULL").select("doc_id", "text", F.xxhash64("doc_id").alias("h")).mapInArrow(sets, "id long, items binary")
     known = scratch.save(known, "sets")
 
     star = shared.select(F.struct("id", "n", "place", *PARITY).alias("b"), F.col("m").alias("a")).where("a.id <> b.id").where(_near("a", "b", percent))
@@ -223,4 +226,4 @@ def ngram_components(docs: DataFrame, k: int = 5, percent: int = 80, cells_per_s
     final = scratch.save(components(scratch, edges.union(twice), "c2"), "final")
     out = own.select("doc_id", F.col("n").alias("n_shingles")).join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     out = out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
-    return scratch.finish(out, "signatures", "rows", "shared", "sets", "star", "first", "marked", "open", "sides", "nodes", "final")
+    return scratch.finish(out, "signatures", "rows", "shared", "need", "wanted", "sets", "star", "first", "marked", "open", "sides", "nodes", "final")

@@ -3,6 +3,7 @@ import re
 from collections import defaultdict
 
 from cueloom.llm.ngram_join import ngram_components
+from cueloom.llm.scratch import Scratch
 from cueloom.llm.substring_dedup import substring_dedup
 
 
@@ -67,6 +68,24 @@ def test_ngram_components_equal_brute_force(docs, texts):
         assert got == brute_components(texts, k, percent)
 
 
+def test_ngram_components_shuffle_no_text(spark, docs, monkeypatch):
+    plans, save = {}, Scratch.save
+
+    def look(self, df, name, *rest):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return save(self, df, name, *rest)
+
+    monkeypatch.setattr(Scratch, "save", look)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as on tables too large to broadcast
+    try:
+        ngram_components(docs, 4, 85).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # the texts of docs come by one exchange, their repartition
+    assert "MapInArrow" in plans["sets"] and plans["sets"].count("Exchange") <= 1 and "Join" not in plans["sets"]
+
+
 def test_ngram_components_edges(spark, empty):
     assert ngram_components(empty).count() == 0
     rows = [(5, "a b c d e f"), (5, "q r s t u v"), (7, "Q r s t u v"), (9, "a b c d e f"), (None, "a b c d e f"), (3, None)]
