@@ -6,13 +6,14 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cueloom.llm.decontaminate import drop_contaminated
 from cueloom.llm.language_id import keep_identified
 from cueloom.llm.line_dedup import dedup_lines
 from cueloom.llm.ngram_join import ngram_components
 from cueloom.llm.packing import pack_documents
-from cueloom.llm.scratch import Scratch
+from cueloom.llm.scratch import Scratch, SortedTable
 
 SHINGLE_WORDS = 5
 SIMILAR_PERCENT = 80
@@ -47,8 +48,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group of near duplicates: the one of smallest doc_id. Wordless texts and null ids stay."""
     with small_batches(spark):
         groups = ngram_components(docs, SHINGLE_WORDS, SIMILAR_PERCENT, flush=SKETCHED)
-    late = groups.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(late, "doc_id", "left_anti").select(*docs.columns)
+    # the ids that go, as mapped arrays: texts stay where they are read, however many ids there are
+    scratch = Scratch(spark, "late")
+    late = scratch.save(groups.where("component_id <> doc_id").select(F.xxhash64("doc_id").alias("h")).distinct(), "ids")
+    table = SortedTable.build(scratch, "late/l", late, max(0, late.count().bit_length() - 19), [])
+    scratch.leave()
+    return docs.where(F.col("doc_id").isNull() | ~table.holds(F.xxhash64(F.col("doc_id").cast("long"))))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -128,11 +128,11 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.uri}/{name}"
 
-    def save(self, df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
+    def save(self, df: DataFrame, name: str, compression: str = "zstd", dictionary: bool = True) -> DataFrame:
         before = self.spark.conf.get(CLEANUP, "false")
         self.spark.conf.set(CLEANUP, "true")
         try:
-            df.write.mode("overwrite").option("compression", compression).parquet(self.path(name))
+            df.write.mode("overwrite").option("compression", compression).option("parquet.enable.dictionary", dictionary).parquet(self.path(name))
         finally:
             self.spark.conf.set(CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
@@ -246,6 +246,15 @@ class SortedTable:
                 out[name][where] = self._column(shard, name)[at[hit]]
         return there, out
 
+    def holds(self, h: Column) -> Column:
+        """Whether a long is among the hashes; only h goes to Python."""
+
+        def look(column: pa.Array) -> pa.Array:
+            return pa.array(self.find(column.to_numpy(zero_copy_only=False).view(np.uint64))[0])
+
+        look.__annotations__ = {"column": pa.Array, "return": pa.Array}
+        return F.arrow_udf(look, "boolean")(h)
+
     @classmethod
     def build(cls, scratch: Scratch, name: str, df: DataFrame, bits: int, values: list[tuple[str, str]]) -> SortedTable:
         """df: column h (long, unique) and the value columns, any order. A shard is one group: bits must grow with the rows."""

@@ -56,3 +56,19 @@ def test_stages(spark, tmp_path):
     for r in got["packing"]:
         lengths[r.doc_id] += r.length
     assert lengths == {d: len(t.encode(x, add_special_tokens=False).ids) + 1 for d, x in texts["decontamination"].items()}
+
+
+def test_near_duplicates_leave_texts_where_they_are_read(spark, tmp_path):
+    words = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, words), (2, words), (2, words), (3, words + " more"), (4, "other words"), (5, None), (None, words), (None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = corpus_pipeline.near_duplicates(spark, spark.read.parquet(str(tmp_path / "docs")), str(tmp_path))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        kept = sorted(((r.doc_id or 0), r.text or "") for r in got.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Exchange" not in plan
+    assert kept == [(0, ""), (0, words), (1, words), (4, "other words"), (5, "")]
