@@ -29,6 +29,8 @@ carried along unchanged, whatever their names.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,14 +45,17 @@ WORDS = 128  # a bucket of token counts
 LONG = 64  # sets of more tokens have 128 bits of parity
 SHARED = 1 << 56  # tokens of the lowest class, which occur once, lie below
 COMMON = (2 * HOT.bit_length() - 2) << 56  # and those that occur too seldom for a crowd below this
+WHITE = ("\t", "\x0b", "\x0c", "\r")  # white space that is neither a line end nor the space
 NO_WORD = "^[\\x20\\x09-\\x0D]*$"
 
 
 def _rows(docs: DataFrame) -> DataFrame:
     """(d, t, text) of the rows that have text; white space other than line ends is made spaces, which tell words apart faster than a pattern."""
-    text = F.col("text").cast("string")
-    for x in ("\t", "\x0b", "\x0c", "\r"):
-        text = F.replace(text, F.lit(x), F.lit(" "))
+    text = plain = F.col("text").cast("string")
+    for x in WHITE:
+        plain = F.replace(plain, F.lit(x), F.lit(" "))
+    # these are rare, and seen to be absent in a third of the time that replacing takes
+    text = F.when(reduce(or_, (F.contains(text, F.lit(x)) for x in WHITE)), plain).otherwise(text)
     return docs.where("text IS NOT NULL").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("d"), F.xxhash64(F.col("text").cast("string")).alias("t"), text.alias("text"))
 
 
@@ -60,7 +65,7 @@ def _lines(rows: DataFrame) -> DataFrame:
 
 def _rarity(rows: DataFrame, bits: int) -> DataFrame:
     """One row: for each bucket of token hashes the class of its count (0: once, two classes a doubling)."""
-    words = rows.select(F.explode_outer(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("w"))
+    words = _lines(rows).select(F.explode_outer(F.split("line", " ")).alias("w"))
     counts = words.select(F.shiftrightunsigned(F.xxhash64("w"), 64 - bits).alias("b")).groupBy("b").count().select("b", F.floor(2 * F.log2("count")).cast("int").alias("c"))
     every = rows.sparkSession.range(1 << bits).toDF("b").join(counts, "b", "left").select("b", F.coalesce("c", F.lit(0)).alias("c"))
     # blocks are put together first, so that the last task takes 256 arrays and not all counts one by one
@@ -159,7 +164,7 @@ def _removed(docs: DataFrame, scratch: Scratch, percent: int, bits: int | None)
     picks = ", ".join(f"array_min(transform(common, x -> xxhash64({j}, x)))" for j in range(PICKS))
     lines = _with_tokens(_lines(rows), counts, bits).selectExpr("d", "t", "p", *(f"{sql} AS {name}" for name, sql in parts.items()), f"{prefix} AS w")
     lines = lines.selectExpr("*", f"filter(w, x -> x >= {COMMON}) AS common").selectExpr("*", f"array({picks}) AS picks").drop("common")
-    lines = scratch.save(lines, "lines", "snappy").where("n > 0")  # hashes do not compress
+    lines = scratch.save(lines, "lines", "snappy", dictionary=False).where("n > 0")  # hashes do not compress
     again = scratch.save(lines.groupBy("k", "k2").count().where("count > 1").select("k", "k2"), "again")
     firsts = lines.join(small(again, 16), ["k", "k2"]).groupBy("k", "k2").agg(F.min(F.struct("d", "p", "t")).alias("f"))
     firsts = scratch.save(firsts.selectExpr("k", "k2", "f.d AS fd", "f.p AS fp", "f.t AS ft"), "firsts")

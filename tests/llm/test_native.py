@@ -178,3 +178,9 @@ def test_license_scan_examples_of_every_sentence_pass_the_prefilter(spark):
     assert {x for x, _ in examples} == {name for name, _ in SENTENCES}
     got = {r.doc_id: r.sentence_ids for r in license_scan(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(examples)], "doc_id long, text string")).collect()}
     assert [got[i] for i in range(len(examples))] == [x for x, _ in examples]
+
+
+def test_line_dedup_tells_words_apart_by_every_white_space(spark):
+    rows = [(1, "a b c d e"), (2, "a\tb c d e\nf g\x0bh"), (3, "a b\x0cc d\re\n\tf g h"), (4, "\r\n\t"), (5, "a\x1cb c d e")]
+    got = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), bucket_bits=10).collect()}
+    assert got == brute_lines(rows, 80)
