@@ -9,20 +9,26 @@ height x width x 3 uint8 tensor with the coefficients.
 :func:`encode_payload` stores bytes without loss: the format's unit is the
 coefficient, and each byte b is the coefficient b + 256 of one 4:2:0 image. All
 values then share one magnitude class, so with one-symbol Huffman tables each scan's
-codes have a fixed length and are packed and read as bit matrices. The stream
+codes have a fixed length and are packed and read as matrices. The stream
 is ordinary progressive JPEG: a DC scan and two AC bands without the lowest bit,
 then refinement scans for that bit. :func:`decode` tells such scans by their
 tables and reads them as matrices; all other scans are read code by code.
+
+Texts are short and numpy calls are dear, so images of one size are written and read
+as a stack: one image above the other, with streams of their own.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,39 +43,72 @@ def _zigzag() -> np.ndarray:
 
 ZIGZAG = _zigzag()
 _k = np.arange(8)
+NATURAL = np.argsort(ZIGZAG)  # zigzag position of each natural index
 IDCT = (np.cos((2 * _k[:, None] + 1) * _k[None, :] * np.pi / 16) * np.where(_k == 0, np.sqrt(1 / 8), 0.5)).astype(np.float32)
 SOI, EOI, SOS, DQT, DHT, SOF0, SOF1, SOF2, DRI = 0xD8, 0xD9, 0xDA, 0xDB, 0xC4, 0xC0, 0xC1, 0xC2, 0xDD
 LAYOUT = ((1, 2, 2), (2, 1, 1), (3, 1, 1))  # component, horizontal and vertical sampling
 BLOCKS = 6  # of a coded unit
 BANDS = ((1, 5), (6, 63))
+STACK = 1 << 18  # samples of a channel that are worked on together
+SCAN_END = re.compile(rb"\xff[^\x00\xd0-\xd7]")
+RESTART = re.compile(rb"\xff[\xd0-\xd7]")
+
+
+def _stuffed(rows: np.ndarray) -> list[bytes]:
+    """Entropy-coded bytes of each row with a zero after each 0xFF."""
+    n, whole = rows.shape[1], rows.tobytes()
+    return [whole[a : a + n].replace(b"\xff", b"\xff\x00") for a in range(0, len(whole), n)]
+
+
+def _codes_of(values: np.ndarray) -> np.ndarray:
+    """Rows of codes, a 0 bit and then eight bits each, in bytes filled up with ones."""
+    m, n = values.shape
+    eights = np.zeros((m, -(-n // 8) * 8), np.uint8)
+    eights[:, :n] = values
+    eights = eights.reshape(m, -1, 8)
+    out = np.empty((m, eights.shape[1], 9), np.uint8)
+    out[..., 0] = eights[..., 0] >> 1
+    for k in range(1, 8):  # the low k bits of a value, a 0 bit, the high bits of the next
+        out[..., k] = eights[..., k - 1] << (8 - k) | eights[..., k] >> (k + 1)
+    out[..., 8] = eights[..., 7]
+    out = out.reshape(m, -1)[:, : -(-9 * n // 8)]
+    if n % 8:
+        out[:, -1] |= (1 << (-9 * n % 8)) - 1
+    return out
 
 
-def _stuffed(data: np.ndarray) -> bytes:
-    """Entropy-coded bytes with a zero after each 0xFF."""
-    at = np.flatnonzero(data == 255)
-    return (np.insert(data, at + 1, 0) if len(at) else data).tobytes()
-
+def _bits_of(rows: np.ndarray) -> np.ndarray:
+    """Rows of bits packed into bytes, filled up with ones."""
+    m, n = rows.shape
+    full = np.ones((m, -(-n // 8) * 8), np.uint8)
+    full[:, :n] = rows
+    return np.packbits(full, axis=1)
 
-def _bits(rows: np.ndarray, width: int) -> np.ndarray:
-    """A 0 bit, then the width low bits of each value, high bit first; shape of rows with one axis of width + 1 more."""
-    out = np.zeros((*rows.shape, width + 1), np.uint8)
-    for i in range(width):
-        out[..., 1 + i] = rows >> (width - 1 - i) & 1
-    return out
 
-
-def _padded(bits: np.ndarray) -> np.ndarray:
-    """Bits packed into bytes, filled up with ones."""
-    flat = bits.reshape(-1)
-    return np.packbits(np.concatenate([flat, np.ones(-len(flat) % 8, np.uint8)]))
+def _fields(rows: np.ndarray, n: int, width: int) -> np.ndarray:
+    """The first n fields of each row of bytes, of width bits (9 at most), as uint16."""
+    m, eights = len(rows), -(-n // 8)
+    if rows.shape[1] * 8 < n * width:
+        raise ValueError("the scan ends early")
+    wide = np.zeros((m, eights * width + 1), np.uint8)
+    used = min(rows.shape[1], eights * width)
+    wide[:, :used] = rows[:, :used]
+    # byte s of the groups of eight fields; the byte after the last one is the spare one
+    at = lambda s: np.lib.stride_tricks.as_strided(wide[:, s:], (m, eights), (wide.strides[0], width))
+    out = np.empty((m, eights, 8), np.uint16)
+    for k in range(8):
+        s, off = divmod(k * width, 8)
+        out[..., k] = (at(s).astype(np.uint16) << 8 | at(s + 1)) >> (16 - off - width) & ((1 << width) - 1)
+    return out.reshape(m, -1)[:, :n]
 
 
 def _segment(marker: int, body: bytes) -> bytes:
     return struct.pack(">BBH", 0xFF, marker, len(body) + 2) + body
 
 
-def _geometry(units: int) -> tuple[int, int]:
-    """Coded units across and down: near square, within the format's 65,535 samples."""
+def geometry(size: int) -> tuple[int, int]:
+    """Coded units across and down for so many bytes: near square, within the format's 65,535 samples."""
+    units = -(-size // (64 * BLOCKS))
     across = max(1, int(np.ceil(np.sqrt(units))))
     if across > 4095:
         raise ValueError("the text is too long for one image of 65,535 by 65,535 samples")
@@ -78,57 +117,55 @@ def _geometry(units: int) -> tuple[int, int]:
 
 def encode_payload(payload: bytes) -> bytes:
     """A progressive JPEG whose coefficients are the payload's bytes (a multiple of 192), in order of blocks."""
-    n = -(-len(payload) // (64 * BLOCKS))
-    across, down = _geometry(n)
-    units = across * down
-    blocks = np.full((units, BLOCKS, 64), 32, np.uint8)
-    blocks.reshape(-1)[: len(payload)] = np.frombuffer(payload, np.uint8)
-    out = [b"\xff\xd8", _segment(0xFE, struct.pack(">Q", len(payload))), _segment(DQT, b"\x00" + b"\x01" * 64)]
+    return encode_payloads([payload], *geometry(len(payload)))[0]
+
+
+def encode_payloads(payloads: Sequence[bytes], across: int, down: int) -> list[bytes]:
+    """:func:`encode_payload` of payloads that have this geometry."""
+    m, size = len(payloads), across * down * BLOCKS * 64
+    blocks = np.frombuffer(b"".join(p.ljust(size, b" ") for p in payloads), np.uint8).reshape(-1, BLOCKS, 64)
     frame = struct.pack(">BHHB", 8, down * 16, across * 16, 3) + b"".join(bytes((c, 16 * h + v, 0)) for c, h, v in LAYOUT)
     # one code of one bit in each table: DC class 8; AC run 0 with class 8; AC end of block, for refinement
     counts = b"\x01" + b"\x00" * 15
-    out += [_segment(SOF2, frame), _segment(DHT, b"\x00" + counts + b"\x08" + b"\x10" + counts + b"\x08" + b"\x11" + counts + b"\x00")]
+    head = _segment(DQT, b"\x00" + b"\x01" * 64) + _segment(SOF2, frame) + _segment(DHT, b"\x00" + counts + b"\x08" + b"\x10" + counts + b"\x08" + b"\x11" + counts + b"\x00")
+    out = [[b"\xff\xd8" + _segment(0xFE, struct.pack(">Q", len(p))) for p in payloads]]
 
-    def scan(components: tuple[int, ...], table: int, ss: int, se: int, ah: int, al: int, data: bytes) -> None:
-        head = bytes((len(components),)) + b"".join(bytes((c, table)) for c in components)
-        out.append(_segment(SOS, head + bytes((ss, se, 16 * ah + al))) + data)
+    def scan(name: int, table: int, ss: int, se: int, ah: int, al: int, data: list[bytes], before: bytes = b"") -> None:
+        out.append([before + _segment(SOS, bytes((1, name, table, ss, se, 16 * ah + al)))] * m)
+        out.append(data)
 
     # without its lowest bit, b + 256 is 128 + b // 2: class 8 for all; a restart after each unit starts the DC prediction anew,
     # and only the first block of each component in a unit then has an absolute value: the others differ by class, so DC goes one component a scan
-    out.append(_segment(DRI, struct.pack(">H", 1)))
-    high = (blocks >> 1) | np.uint8(128)
-    planes = _planes(blocks, across, down)
-    tops = _planes(high, across, down)
+    head += _segment(DRI, struct.pack(">H", 1))
+    planes = [x.reshape(m, -1, 64) for x in _planes(blocks, across, m * down)]
+    tops = [x >> 1 | np.uint8(128) for x in planes]
     for c, (name, _, _) in enumerate(LAYOUT):
-        dc = _bits(tops[c][:, 0], 8)
-        rows = np.concatenate([dc, np.ones((len(dc), 7), np.uint8)], axis=1)  # nine bits, padded to two bytes
-        pair = np.packbits(rows, axis=1)
-        # a byte of ones would need stuffing: the first has a leading 0 and the second only one data bit, so it may be all ones
-        scan((name,), 0, 0, 0, 0, 1, _with_restarts(pair))
-    out.append(_segment(DRI, struct.pack(">H", 0)))
+        scan(name, 0, 0, 0, 0, 1, _with_restarts(tops[c][:, :, 0]), head if c == 0 else b"")
     for c, (name, _, _) in enumerate(LAYOUT):
         for ss, se in BANDS:
-            scan((name,), 0, ss, se, 0, 1, _stuffed(_padded(_bits(tops[c][:, ss : se + 1], 8))))
+            scan(name, 0, ss, se, 0, 1, _stuffed(_codes_of(tops[c][:, :, ss : se + 1].reshape(m, -1))), _segment(DRI, struct.pack(">H", 0)) if c == 0 and ss == 1 else b"")
     for c, (name, _, _) in enumerate(LAYOUT):
-        scan((name,), 0, 0, 0, 1, 0, _stuffed(_padded(planes[c][:, 0] & 1)))
+        scan(name, 0, 0, 0, 1, 0, _stuffed(_bits_of(planes[c][:, :, 0] & 1)))
     for c, (name, _, _) in enumerate(LAYOUT):
         low = planes[c] & 1
-        low[:, 0] = 0  # its place holds the end-of-block code
-        scan((name,), 1, 1, 63, 1, 0, _stuffed(np.packbits(low.reshape(-1))))
-    return b"".join(out) + b"\xff\xd9"
-
-
-def _with_restarts(pair: np.ndarray) -> bytes:
-    """Two bytes an interval, stuffed, with the restart markers between intervals."""
-    n = len(pair)
-    rows = np.zeros((n, 5), np.uint8)
-    rows[:, :2] = pair
-    rows[:, 3] = 255
-    rows[:, 4] = 0xD0 + np.arange(n) % 8
-    keep = np.ones((n, 5), bool)
-    keep[:, 2] = pair[:, 1] == 255  # the stuffed zero
-    keep[-1, 3:] = False
-    return rows[keep].tobytes()
+        low[:, :, 0] = 0  # its place holds the end-of-block code
+        scan(name, 1, 1, 63, 1, 0, _stuffed(np.packbits(low.reshape(m, -1), axis=1)))
+    out.append([b"\xff\xd9"] * m)
+    return [b"".join(parts) for parts in zip(*out, strict=True)]
+
+
+def _with_restarts(tops: np.ndarray) -> list[bytes]:
+    """An interval for each value, stuffed, with the restart markers between intervals: a 0 bit and eight bits, padded to two bytes."""
+    m, n = tops.shape
+    rows = np.empty((m, n, 4), np.uint8)
+    rows[..., 0] = tops >> 1
+    rows[..., 1] = tops << 7 | 127
+    rows[..., 2] = 255
+    rows[..., 3] = 0xD0 + np.arange(n) % 8
+    # a byte of ones is stuffed: the first has a leading 0, so it is the second, and the next byte is that of the marker
+    whole, size = rows.tobytes(), 4 * n
+    parts = [whole[a : a + size - 2].replace(b"\xff\xff", b"\xff\x00\xff") for a in range(0, len(whole), size)]
+    return [x + b"\x00" if x[-1] == 255 else x for x in parts]
 
 
 def _planes(blocks: np.ndarray, across: int, down: int) -> list[np.ndarray]:
@@ -181,34 +218,53 @@ class _Bits:
         return v if not n or v >> (n - 1) else v - (1 << n) + 1
 
 
+def _parsed(data: bytes) -> tuple[list[tuple[int, bytes]], list[bytes], bytes]:
+    """A stream's segments (marker, body), the entropy-coded bytes of its scans and its comment."""
+    if data[:2] != b"\xff\xd8":
+        raise ValueError("not a JPEG")
+    segments, scans, comment, at = [], [], b"", 2
+    while at < len(data):
+        if data[at] != 255:
+            raise ValueError("a marker is missing")
+        marker = data[at + 1]
+        if marker == EOI:
+            break
+        if marker == 255:
+            at += 1
+            continue
+        to = at + 2 + (data[at + 2] << 8 | data[at + 3])
+        if marker == 0xFE:
+            comment = data[at + 4 : to]
+        else:
+            segments.append((marker, data[at + 4 : to]))
+        at = to
+        if marker == SOS:
+            end = SCAN_END.search(data, at)
+            at = end.start() if end else len(data)
+            scans.append(data[to:at])
+    return segments, scans, comment
+
+
 class Image:
-    """A decoded frame: coefficients by component (zigzag order, raster blocks), quantisation tables and geometry."""
+    """A decoded frame: coefficients by component (zigzag order, raster blocks), quantisation tables and geometry.
+
+    Of several streams, which may differ in entropy-coded data and comments only, it is
+    the stack: their blocks and samples follow one another.
+    """
 
-    def __init__(self, data: bytes):
+    def __init__(self, *streams: bytes):
         self.quant: dict[int, np.ndarray] = {}
         self.tables: dict[int, dict[tuple[int, int], int]] = {}
-        self.comment = b""
         self.restart = 0
         self.components: list[dict] = []
-        at = 2
-        if data[:2] != b"\xff\xd8":
-            raise ValueError("not a JPEG")
-        whole = np.frombuffer(data, np.uint8)
-        marks = np.flatnonzero(whole[:-1] == 255)
-        after = whole[marks + 1]
-        stops = marks[(after != 0) & ((after < 0xD0) | (after > 0xD7))]
-        while at < len(data):
-            if data[at] != 255:
-                raise ValueError("a marker is missing")
-            marker = data[at + 1]
-            if marker == EOI:
-                break
-            if marker == 255:
-                at += 1
-                continue
-            (size,) = struct.unpack_from(">H", data, at + 2)
-            body = data[at + 4 : at + 2 + size]
-            at += 2 + size
+        self.count = len(streams)
+        parsed = [_parsed(x) for x in streams]
+        self.comments = [x[2] for x in parsed]
+        segments = parsed[0][0]
+        if any(x[0] != segments for x in parsed):
+            raise ValueError("these images are not alike")
+        scans = iter(zip(*(x[1] for x in parsed), strict=True))
+        for marker, body in segments:
             if marker == DQT:
                 self._quant(body)
             elif marker == DHT:
@@ -217,14 +273,8 @@ class Image:
                 self._frame(body, marker == SOF2)
             elif marker == DRI:
                 (self.restart,) = struct.unpack(">H", body)
-            elif marker == 0xFE:
-                self.comment = body
             elif marker == SOS:
-                k = int(np.searchsorted(stops, at))
-                end = int(stops[k]) if k < len(stops) else len(data)
-                i, j = np.searchsorted(marks, (at, end))
-                self._scan(body, whole[at:end], marks[i:j] - at)
-                at = end
+                self._scan(body, next(scans))
 
     def _quant(self, body: bytes) -> None:
         while body:
@@ -257,9 +307,9 @@ class Image:
         for c in self.components:
             c["rows"], c["cols"] = self.down * c["v"], self.across * c["h"]
             c["used"] = (-(-self.height * c["v"] // (8 * self.vmax)), -(-self.width * c["h"] // (8 * self.hmax)))
-            c["data"] = np.zeros((c["rows"] * c["cols"], 64), np.int16)
+            c["data"] = np.zeros((self.count * c["rows"] * c["cols"], 64), np.int16)
 
-    def _scan(self, body: bytes, raw: np.ndarray, full: np.ndarray) -> None:
+    def _scan(self, body: bytes, raw: tuple[bytes, ...]) -> None:
         n = body[0]
         parts = []
         for i in range(n):
@@ -267,58 +317,59 @@ class Image:
             parts.append((next(c for c in self.components if c["name"] == name), self.tables.get(t >> 4), self.tables.get(16 + (t & 15))))
         ss, se, a = body[1 + 2 * n : 4 + 2 * n]
         ah, al = a >> 4, a & 15
-        after = raw[np.minimum(full + 1, len(raw) - 1)] if len(full) else full
-        if n == 1 and self._matrix(parts[0], ss, se, ah, al, raw, full, after):
+        if n == 1 and self._matrix(parts[0], ss, se, ah, al, raw):
             return
-        cuts = full[(after >= 0xD0) & (after <= 0xD7)].tolist()
-        pieces = [raw[a:b].tobytes().replace(b"\xff\x00", b"\xff") for a, b in zip([0, *(c + 2 for c in cuts)], [*cuts, len(raw)], strict=True)]
-        self._codes(parts, ss, se, ah, al, _Bits(pieces))
+        for i, data in enumerate(raw):
+            self._codes(parts, ss, se, ah, al, _Bits([x.replace(b"\xff\x00", b"\xff") for x in RESTART.split(data)]), i)
 
-    def _matrix(self, part: tuple, ss: int, se: int, ah: int, al: int, raw: np.ndarray, full: np.ndarray, after: np.ndarray) -> bool:
+    def _matrix(self, part: tuple, ss: int, se: int, ah: int, al: int, raw: tuple[bytes, ...]) -> bool:
         """Read a one-component scan whose codes have a fixed length; False where they have not."""
         c, dc, ac = part
-        data, n = c["data"], len(c["data"])
+        data, n = c["data"], c["rows"] * c["cols"]
         if not self.progressive or c["used"] != (c["rows"], c["cols"]):
             return False
-        keep = np.ones(len(raw), bool)
-        keep[full[after == 0] + 1] = False
-        marks = full[(after >= 0xD0) & (after <= 0xD7)]
-        keep[marks] = keep[marks + 1] = False
+        # what a scan's codes are is settled first, then its bytes are taken without stuffing and markers
         if ss == 0 and ah == 0:
-            ((_, size),) = (dc or {}).items() if dc and len(dc) == 1 else ((None, 0),)
+            size = next(iter(dc.values())) if dc and len(dc) == 1 else 0
             if not 1 <= size <= 8 or self.restart != 1 or next(iter(dc)) != (1, 0):
                 return False
             width = -(-(size + 1) // 8)
-            bits = np.unpackbits(raw[keep]).reshape(n, 8 * width)[:, 1 : size + 1]
-            data[:, 0] = self._numbers(bits, size) << al
+            bits = np.zeros((self.count * n, 2), np.uint8)
+            bits[:, :width] = self._bytes(raw).reshape(-1, width)
+            data[:, 0] = self._numbers(_fields(bits, 1, size + 1)[:, 0], size) << al
             return True
+        if self.restart:
+            return False
         if ss == 0:
-            if self.restart:
-                return False
-            data[:, 0] |= np.unpackbits(raw[keep], count=n).astype(np.int16) << al
+            data[:, 0] |= np.unpackbits(self._bytes(raw), axis=1, count=n).reshape(-1).astype(np.int16) << al
             return True
-        if self.restart or not ac or len(ac) != 1 or next(iter(ac)) != (1, 0):
+        if not ac or len(ac) != 1 or next(iter(ac)) != (1, 0):
             return False
         (symbol,) = ac.values()
+        width = se - ss + 1
         if ah == 0 and 1 <= symbol <= 8:
-            width = se - ss + 1
-            bits = np.unpackbits(raw[keep], count=n * width * (symbol + 1)).reshape(n, width, symbol + 1)[:, :, 1:]
-            data[:, ss : se + 1] = self._numbers(bits, symbol) << al
+            data[:, ss : se + 1] = self._numbers(_fields(self._bytes(raw), n * width, symbol + 1), symbol).reshape(-1, width) << al
             return True
         if ah and symbol == 0 and (data[:, ss : se + 1] > 0).all():
-            bits = np.unpackbits(raw[keep], count=n * (se - ss + 2)).reshape(n, se - ss + 2)[:, 1:]
+            bits = np.unpackbits(self._bytes(raw), axis=1, count=n * (width + 1)).reshape(-1, width + 1)[:, 1:]
             data[:, ss : se + 1] += bits.astype(np.int16) << al
             return True
         return False
 
+    def _bytes(self, raw: tuple[bytes, ...]) -> np.ndarray:
+        """A row for each image: a scan's bytes without stuffing and restart markers."""
+        if self.restart:
+            raw = [RESTART.sub(b"", x) for x in raw]
+        return np.frombuffer(b"".join([x.replace(b"\xff\x00", b"\xff") for x in raw]), np.uint8).reshape(self.count, -1)
+
     @staticmethod
-    def _numbers(bits: np.ndarray, size: int) -> np.ndarray:
-        """Signed values of a magnitude class from their extra bits."""
-        value = np.packbits(bits, axis=-1)[..., 0].astype(np.int16) >> (8 - size)
-        return np.where(bits[..., 0] == 1, value, value - (1 << size) + 1).astype(np.int16)
+    def _numbers(codes: np.ndarray, size: int) -> np.ndarray:
+        """Signed values of a magnitude class from the low bits of their codes."""
+        value = (codes & ((1 << size) - 1)).astype(np.int16)
+        return np.where(value >> (size - 1), value, value - ((1 << size) - 1))
 
-    def _codes(self, parts: list, ss: int, se: int, ah: int, al: int, bits: _Bits) -> None:
-        """Read a scan code by code."""
+    def _codes(self, parts: list, ss: int, se: int, ah: int, al: int, bits: _Bits, image: int) -> None:
+        """Read an image's scan code by code."""
         if len(parts) == 1:
             c = parts[0][0]
             rows, cols = c["used"]
@@ -338,7 +389,7 @@ class Image:
                 bits.next()
                 last, run = {}, 0
             for (c, dc, ac), at in unit:
-                block = c["data"][at]
+                block = c["data"][at + image * c["rows"] * c["cols"]]
                 if ss == 0:
                     if ah:
                         block[0] |= bits.take(1) << al
@@ -402,35 +453,50 @@ class Image:
             run -= 1
         return run
 
-    def plane(self, c: dict) -> np.ndarray:
-        """One component's samples at full resolution, as float32 before rounding."""
-        values = np.empty((len(c["data"]), 64), np.float32)
-        values[:, ZIGZAG] = c["data"] * self.quant[c["q"]]
-        half = values.reshape(-1, 8) @ IDCT.T  # along rows
-        half = half.reshape(-1, 8, 8).transpose(0, 2, 1).reshape(-1, 8) @ IDCT.T
-        rows = half.reshape(c["rows"], c["cols"], 8, 8).transpose(0, 3, 1, 2).reshape(8 * c["rows"], 8 * c["cols"])
+    def _samples(self, c: dict) -> np.ndarray:
+        """One component's samples at its own resolution, as whole numbers in float32."""
+        values = c["data"].take(NATURAL, axis=1) * self.quant[c["q"]][NATURAL]
+        # a product for each image, so that its samples do not depend on the others
+        half = values.reshape(self.count, -1, 8) @ IDCT.T  # along rows
+        half = half.reshape(-1, 8, 8).transpose(0, 2, 1).reshape(self.count, -1, 8) @ IDCT.T
+        rows = half.reshape(-1, c["cols"], 8, 8).transpose(0, 3, 1, 2).reshape(-1, 8 * c["cols"])
         np.rint(rows, out=rows)
         rows += 128
-        np.clip(rows, 0, 255, out=rows)
+        return np.clip(rows, 0, 255, out=rows)
+
+    def _full(self, rows: np.ndarray, c: dict) -> np.ndarray:
+        """Values of one component at full resolution."""
         up, right = self.vmax // c["v"], self.hmax // c["h"]
-        if up > 1:
-            rows = np.repeat(rows, up, axis=0)
-        if right > 1:
-            rows = np.repeat(rows, right, axis=1)
-        return rows[: self.height, : self.width]
+        if up > 1 or right > 1:
+            wide = np.empty((len(rows), up, rows.shape[1], right), rows.dtype)
+            for i in range(right):
+                wide[:, 0, :, i] = rows
+            wide[:, 1:] = wide[:, :1]
+            rows = wide.reshape(up * len(rows), -1)
+        return rows.reshape(self.count, -1, rows.shape[1])[:, : self.height, : self.width].reshape(-1, self.width)
 
-    def rgb(self) -> np.ndarray:
-        planes = [self.plane(c) for c in self.components]
-        out = np.empty((self.height, self.width, 3), np.uint8)
-        if len(planes) == 1:
-            out[...] = planes[0][..., None].astype(np.uint8)
-            return out
-        y, cb, cr = planes
+    def plane(self, c: dict) -> np.ndarray:
+        """One component's samples at full resolution, as whole numbers in float32."""
+        return self._full(self._samples(c), c)
+
+    def channels(self) -> list[np.ndarray]:
+        """Red, green and blue, or the one channel of grey, as uint8."""
+        if len(self.components) == 1:
+            return [self.plane(self.components[0]).astype(np.uint8)]
+        first, blue, red = self.components
+        y, cb, cr = self.plane(first), self._samples(blue) - 128, self._samples(red) - 128
         # The format's colour transform.
-        for i, plane in enumerate((y + 1.402 * (cr - 128), y - 0.344136 * (cb - 128) - 0.714136 * (cr - 128), y + 1.772 * (cb - 128))):
-            out[..., i] = np.clip(np.rint(plane), 0, 255)
+        green = y - self._full(0.344136 * cb, blue)
+        green -= self._full(0.714136 * cr, red)
+        out = []
+        for plane in (y + self._full(1.402 * cr, red), green, y + self._full(1.772 * cb, blue)):
+            np.rint(plane, out=plane)
+            out.append(np.clip(plane, 0, 255, out=plane).astype(np.uint8))
         return out
 
+    def rgb(self) -> np.ndarray:
+        return np.stack(self.channels() * (3 // len(self.components)), axis=-1)
+
 
 def decode(data: bytes) -> np.ndarray:
     """The full-resolution RGB tensor of a JPEG."""
@@ -439,9 +505,13 @@ def decode(data: bytes) -> np.ndarray:
 
 def read_payload(image: Image) -> bytes:
     """The bytes that :func:`encode_payload` stored."""
-    (n,) = struct.unpack(">Q", image.comment)
-    blocks = _units([c["data"] for c in image.components], image.across, image.down)
-    return (blocks.reshape(-1)[:n] - 256).astype(np.uint8).tobytes()
+    return read_payloads(image)[0]
+
+
+def read_payloads(stack: Image) -> list[bytes]:
+    blocks = _units([c["data"] for c in stack.components], stack.across, stack.count * stack.down)
+    rows = (blocks - 256).astype(np.uint8).reshape(stack.count, -1)
+    return [row[: struct.unpack(">Q", comment)[0]].tobytes() for row, comment in zip(rows, stack.comments, strict=True)]
 
 
 def payload_of(text: str | None) -> tuple[bytes, int]:
@@ -449,18 +519,19 @@ def payload_of(text: str | None) -> tuple[bytes, int]:
     return data + b" " * (-len(data) % UNIT or (0 if data else UNIT)), len(data)
 
 
-def feature_of(rgb: np.ndarray) -> str:
-    """Mean of each channel in thousandths, and a 64-bit sign pattern of 8 x 8 grid means of brightness."""
-    parts = [np.ascontiguousarray(rgb[..., i]) for i in range(3)]
-    means = [float(x.mean(dtype=np.float64)) for x in parts]
-    luma = parts[0].astype(np.float32)
-    luma += parts[1]
-    luma += parts[2]
-    rows, cols = (np.linspace(0, n, 9).astype(int)[:-1] for n in luma.shape)
-    grid = np.add.reduceat(np.add.reduceat(luma, rows, axis=0, dtype=np.float64), cols, axis=1)
-    size = np.outer(np.diff([*rows, luma.shape[0]]), np.diff([*cols, luma.shape[1]]))
-    bits = (grid / size > luma.mean(dtype=np.float64)).astype(np.uint8)
-    return ":".join(str(int(round(1000 * m))) for m in means) + ":" + np.packbits(bits).tobytes().hex()
+def features_of(channels: list[np.ndarray]) -> list[str]:
+    """For each image (first axis): mean of each channel in thousandths, and a 64-bit sign pattern of 8 x 8 grid means of brightness."""
+    n, *shape = channels[0].shape
+    size = shape[0] * shape[1]
+    means = np.stack([x.sum(axis=(1, 2), dtype=np.int64) for x in channels], axis=1) / size
+    luma = channels[0].astype(np.int16)
+    luma += channels[1]
+    luma += channels[2]
+    rows, cols = (np.linspace(0, k, 9).astype(int) for k in shape)
+    grid = np.add.reduceat(np.add.reduceat(luma, rows[:-1], axis=1, dtype=np.int64), cols[:-1], axis=2)
+    bits = grid / np.outer(np.diff(rows), np.diff(cols)) > (grid.sum(axis=(1, 2)) / size)[:, None, None]
+    signs = np.packbits(bits.reshape(n, 64), axis=1).tobytes().hex()
+    return [":".join(str(round(1000 * m)) for m in row) + ":" + signs[16 * i : 16 * i + 16] for i, row in enumerate(means.tolist())]
 
 
 def media_columns(docs: DataFrame, keep_media: bool = False, keep_tensor: bool = False) -> DataFrame:
@@ -473,21 +544,36 @@ def media_columns(docs: DataFrame, keep_media: bool = False, keep_tensor: bool =
     fields = ["doc_id long", "n_bytes long", "payload_bytes long", "payload_sha256 string", "tail_crc32 long", "media_bytes long", "media_sha256 string", "feature string"]
     fields += ["media binary"] * keep_media + ["height int", "width int", "tensor binary"] * keep_tensor
     names = [f.split()[0] for f in fields]
+    most = 256 if keep_media or keep_tensor else 4096  # bounds what one record batch holds of media
     kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
 
+    def media(texts, across, down):
+        payloads, n_bytes = zip(*map(payload_of, texts), strict=True)
+        streams = encode_payloads(payloads, across, down)
+        stack = Image(*streams)
+        channels = [x.reshape(stack.count, stack.height, stack.width) for x in stack.channels()]
+        for i, (n, stream, back, feature) in enumerate(zip(n_bytes, streams, read_payloads(stack), features_of(channels), strict=True)):
+            row = [n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(stream), hashlib.sha256(stream).hexdigest(), feature]
+            row += [stream] * keep_media
+            if keep_tensor:
+                row += [stack.height, stack.width, np.stack([x[i] for x in channels], axis=-1).tobytes()]
+            yield row
+
     def convert(batches):
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for a in range(0, len(ids), 256):  # bounds what one record batch holds of media
-                rows = []
-                for doc_id, text in zip(ids[a : a + 256], batch.column(1)[a : a + 256].to_pylist(), strict=True):
-                    payload, n = payload_of(text)
-                    media = encode_payload(payload)
-                    image = Image(media)
-                    back = read_payload(image)
-                    rgb = image.rgb()
-                    row = [doc_id, n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature_of(rgb)]
-                    rows.append(row + [media] * keep_media + [rgb.shape[0], rgb.shape[1], rgb.tobytes()][: 3 * keep_tensor])
+            for a in range(0, batch.num_rows, most):
+                part = batch.slice(a, most)
+                ids, texts = part.column(0).to_pylist(), part.column(1)
+                shapes = {}
+                for i, size in enumerate(pc.binary_length(texts).fill_null(0).to_pylist()):
+                    shapes.setdefault(geometry(max(size, 1)), []).append(i)
+                rows = [None] * len(ids)
+                for (across, down), places in shapes.items():
+                    step = max(STACK // (256 * across * down), 1)
+                    for b in range(0, len(places), step):
+                        some = places[b : b + step]
+                        for i, row in zip(some, media(texts.take(pa.array(some)).to_pylist(), across, down), strict=True):
+                            rows[i] = [ids[i], *row]
                 columns = list(zip(*rows, strict=True))
                 yield pa.record_batch([pa.array(c, kinds[f.split()[1]]) for c, f in zip(columns, fields, strict=True)], names)
 

@@ -3,6 +3,7 @@ import re
 import zlib
 
 import numpy as np
+import pytest
 
 from cueloom.llm.decontaminate import contained_items, contaminated, drop_contaminated, greedy_tiles
 from cueloom.llm.pii import Finder, find_personal_data, iban_valid, luhn
@@ -109,6 +110,29 @@ def test_jpeg_round_trip_and_general_decoder(monkeypatch):
         assert read_payload(Image(encode_payload(edge))) == edge
 
 
+def test_jpeg_stack_equals_its_images(monkeypatch):
+    from cueloom.llm.progressive_jpeg import encode_payloads, features_of, geometry, read_payloads
+
+    rng = np.random.default_rng(4)
+    sizes = [7 * 192, 8 * 192, 12 * 192, 9 * 192, 12 * 192, 12 * 192]
+    payloads = [rng.integers(0, 256, n, dtype=np.uint8).tobytes() for n in sizes[:4]] + [b"\xff" * sizes[4], b"\x00" * sizes[5]]
+    assert {geometry(n) for n in sizes} == {(3, 2), (2, 2)}
+    for shape in ((2, 2), (3, 2)):
+        some = [p for p in payloads if geometry(len(p)) == shape]
+        streams = encode_payloads(some, *shape)
+        assert streams == [encode_payload(p) for p in some] and len(some) > 1
+        stack, images = Image(*streams), [Image(x) for x in streams]
+        assert read_payloads(stack) == some
+        assert (stack.rgb() == np.concatenate([x.rgb() for x in images])).all()
+        apart = [features_of([x[None] for x in image.channels()])[0] for image in images]
+        assert features_of([x.reshape(len(some), stack.height, stack.width) for x in stack.channels()]) == apart
+        with monkeypatch.context() as m:
+            m.setattr(Image, "_matrix", lambda *a: False)
+            assert read_payloads(Image(*streams)) == some
+    with pytest.raises(ValueError):
+        Image(encode_payload(payloads[0]), encode_payload(payloads[2]))
+
+
 def test_inverse_transform_matches_the_formula():
     image = Image(encode_payload(bytes(range(192))))
     c = image.components[1]
