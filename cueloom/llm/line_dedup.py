@@ -13,7 +13,7 @@ the prefixes before anything is shuffled. Prefix tokens are joined with length,
 positional and parity filters (two sets that differ in k tokens differ in at most k
 bits of their parity, of which long sets have 128 bits and others 64), and what is left is verified on whole token sets.
 
-Families of near copies stay linear: a set picks three of its commoner prefix tokens by hash,
+Families of near copies stay linear: a set picks the three of its commoner prefix tokens with the smallest hashes,
 and where many sets of like length pick the same, each is first held against the
 earliest of them alone; those that match it are settled, the others go on with the
 earliest of themselves, for some rounds. Settled sets need no further match; the join
@@ -42,7 +42,7 @@ PICKS = 3
 HOT = 32  # a crowd: sets of like length that pick one token; smaller ones go to the join as they are
 ROUNDS = 2
 WORDS = 128  # a bucket of token counts
-LONG = 64  # sets of more tokens have 128 bits of parity
+LONG = 96  # sets of more tokens have 128 bits of parity
 SHARED = 1 << 56  # tokens of the lowest class, which occur once, lie below
 COMMON = (2 * HOT.bit_length() - 2) << 56  # and those that occur too seldom for a crowd below this
 WHITE = ("\t", "\x0b", "\x0c", "\r")  # white space that is neither a line end nor the space
@@ -68,26 +68,28 @@ def _rarity(rows: DataFrame, bits: int) -> DataFrame:
     words = _lines(rows).select(F.explode_outer(F.split("line", " ")).alias("w"))
     counts = words.select(F.shiftrightunsigned(F.xxhash64("w"), 64 - bits).alias("b")).groupBy("b").count().select("b", F.floor(2 * F.log2("count")).cast("int").alias("c"))
     every = rows.sparkSession.range(1 << bits).toDF("b").join(counts, "b", "left").select("b", F.coalesce("c", F.lit(0)).alias("c"))
-    # blocks are put together first, so that the last task takes 256 arrays and not all counts one by one
-    blocks = every.groupBy(F.shiftright("b", bits - 8).alias("k")).agg(F.transform(F.array_sort(F.collect_list(F.struct("b", "c"))), lambda x: x["c"].cast("tinyint")).alias("part"))
+    # blocks are put together first, so that the last task takes 256 arrays and not all counts one by one; place and class are one long, as such are sorted fast
+    blocks = every.groupBy(F.shiftright("b", bits - 8).alias("k")).agg(F.transform(F.sort_array(F.collect_list(F.shiftleft("b", 8) + F.col("c"))), lambda x: x.bitwiseAND(127).cast("tinyint")).alias("part"))
     return blocks.agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("k", "part"))), lambda x: x["part"])).alias("counts"))
 
 
 def _with_tokens(lines: DataFrame, counts: DataFrame, bits: int) -> DataFrame:
     """lines with w, their distinct tokens as sorted longs: the class of rarity in the top bits, then 56 bits of the token's hash."""
     lines = lines.withColumn("_rank", counts.scalar())  # used once below, so the optimizer puts the scalar in its place
-    hashes = F.array_remove(F.transform(F.split("line", " "), lambda w: F.xxhash64(w)), F.xxhash64(F.lit("")))
+    # without repeats before they are looked up
+    hashes = F.array_except(F.transform(F.split("line", " "), lambda w: F.xxhash64(w)), F.array(F.xxhash64(F.lit(""))))
     # never null, as arrays that may hold nulls are sorted as objects
     rank = lambda h: F.shiftleft(F.coalesce(F.get("_rank", F.shiftrightunsigned(h, 64 - bits).cast("int")), F.lit(0).cast("tinyint")).cast("long"), 56)
     keyed = F.transform(hashes, lambda h: rank(h).bitwiseOR(F.shiftrightunsigned(h, 8)))
-    return lines.select(*[c for c in lines.columns if c not in ("_rank", "line")], F.sort_array(F.array_distinct(keyed)).alias("w"))
+    return lines.select(*[c for c in lines.columns if c not in ("_rank", "line")], F.sort_array(keyed).alias("w"))
 
 
 def _near(a: str, b: str, percent: int, places: bool = True) -> str:
     """SQL of the length, positional and parity filters for rows aliased a and b."""
     need = f"ceil({percent} * ({a}.n + {b}.n) / {100 + percent}D)"
     apart = f"IF(least({a}.n, {b}.n) > {LONG}, bit_count({a}.s2 ^ {b}.s2) + bit_count({a}.s1 ^ {a}.s2 ^ {b}.s1 ^ {b}.s2), bit_count({a}.s1 ^ {b}.s1))"
-    by_place = f" AND least({a}.i, {b}.i) + least({a}.n - {a}.i, {b}.n - {b}.i) >= {need}" * places
+    # the first token that two sets share has all others behind it, so they need not be found at a later one
+    by_place = f" AND least({a}.n - {a}.i, {b}.n - {b}.i) >= {need}" * places
     return (
         f"100 * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n){by_place}"
         f" AND {apart} <= {a}.n + {b}.n - 2 * {need}"
@@ -119,7 +121,7 @@ def _whole(scratch: Scratch, places: DataFrame, rows: DataFrame, counts: DataFra
 def _settled(scratch: Scratch, sets: DataFrame, rows: DataFrame, counts: DataFrame, percent: int, bits: int) -> DataFrame:
     """(d, p, t) of sets that are similar to an early one of those that share a pick with them."""
     # similar sets are of one class of lengths or of two that are neighbours
-    picked = sets.select("d", "p", "t", "n", "s1", "s2", F.floor(F.log("n") / math.log(100 / percent)).alias("m"), F.explode_outer("picks").alias("pick")).where("pick IS NOT NULL")
+    picked = sets.select("d", "p", "t", "n", "s1", "s2", F.floor(F.log("n") / math.log(100 / percent)).alias("m"), F.explode_outer("picks").alias("pick")).where(f"pick < {LAST}")
     crowded = lambda x: x.groupBy("pick", "m").agg(F.count("*").alias("c"), F.min(F.struct("d", "p", "n", "s1", "s2")).alias("a")).where(f"c >= {HOT}").drop("c")
     heads = scratch.save(picked.groupBy("pick", "m").count().where(f"count >= {HOT}").select("pick", "m"), "hot")
     there = picked.join(small(heads, 16), ["pick", "m"])
@@ -161,9 +163,10 @@ def _removed(docs: DataFrame, scratch: Scratch, percent: int, bits: int | None)
     }
     # lines without words are left out later: a filter here would have the tokens made twice
     prefix = f"slice(w, 1, IF(size(w) > 0, size(w) - cast(ceil({percent} * size(w) / 100D) as int) + 1, 0))"
-    picks = ", ".join(f"array_min(transform(common, x -> xxhash64({j}, x)))" for j in range(PICKS))
+    # a hash for each of the commoner ones, LAST for others
+    picks = f"slice(sort_array(transform(w, x -> IF(x < {COMMON}, {LAST}, xxhash64(x)))), 1, {PICKS})"
     lines = _with_tokens(_lines(rows), counts, bits).selectExpr("d", "t", "p", *(f"{sql} AS {name}" for name, sql in parts.items()), f"{prefix} AS w")
-    lines = lines.selectExpr("*", f"filter(w, x -> x >= {COMMON}) AS common").selectExpr("*", f"array({picks}) AS picks").drop("common")
+    lines = lines.selectExpr("*", f"{picks} AS picks")
     lines = scratch.save(lines, "lines", "snappy", dictionary=False).where("n > 0")  # hashes do not compress
     again = scratch.save(lines.groupBy("k", "k2").count().where("count > 1").select("k", "k2"), "again")
     firsts = lines.join(small(again, 16), ["k", "k2"]).groupBy("k", "k2").agg(F.min(F.struct("d", "p", "t")).alias("f"))

@@ -184,3 +184,24 @@ def test_line_dedup_tells_words_apart_by_every_white_space(spark):
     rows = [(1, "a b c d e"), (2, "a\tb c d e\nf g\x0bh"), (3, "a b\x0cc d\re\n\tf g h"), (4, "\r\n\t"), (5, "a\x1cb c d e")]
     got = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), bucket_bits=10).collect()}
     assert got == brute_lines(rows, 80)
+
+
+def test_line_dedup_finds_pairs_at_their_first_shared_token_only(spark):
+    from cueloom.llm.line_dedup import _near
+
+    # sets of 20 tokens share 18 at least: the first of these has 17 behind it
+    rows = spark.createDataFrame([(0,), (2,), (3,)], "i int").selectExpr("i", "struct(i, 20 AS n, 0L AS s1, 0L AS s2) AS a", "struct(i, 20 AS n, 0L AS s1, 0L AS s2) AS b")
+    assert {r.i: r.found for r in rows.selectExpr("i", f"{_near('a', 'b', 80)} AS found").collect()} == {0: True, 2: True, 3: False}
+
+
+def test_line_dedup_of_long_lines_equals_brute_force(spark):
+    rng = random.Random(8)
+    texts, base = [], []
+    for i in range(80):
+        if i % 4 == 0:
+            base = [f"w{rng.randrange(400)}" for _ in range(rng.randint(60, 180))]
+        w = [x if rng.random() > 0.02 * (i % 4) ** 2 else f"w{rng.randrange(400)}" for x in base]
+        texts.append((i, " ".join(w) + "\n" + " ".join(w[: len(w) * 9 // 10])))
+    got = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in dedup_lines(spark.createDataFrame(texts, "doc_id long, text string"), bucket_bits=14).collect()}
+    assert got == brute_lines(texts, 80)
+    assert 20 < sum(x[2] for x in got.values()) < 140
