@@ -17,8 +17,9 @@ from cueloom.llm.scratch import Scratch, SortedTable
 
 SHINGLE_WORDS = 5
 SIMILAR_PERCENT = 80
-#: A worker of this pipeline keeps what other stages loaded, so the widest stage goes in small steps.
+#: A worker of this pipeline keeps what other stages loaded, so the stages go in small steps.
 SKETCHED = 1 << 19
+CACHED = 100_000
 BATCH_ROWS = 1000
 BATCHES = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
@@ -34,8 +35,15 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(BATCHES, before)
 
 
+def stay_small(spark: SparkSession) -> None:
+    """Small batches from now on, as the caller runs the frame that a stage returns. run() sets back what was there before."""
+    if not 0 < int(spark.conf.get(BATCHES)) <= BATCH_ROWS:
+        spark.conf.set(BATCHES, str(BATCH_ROWS))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified; those with narrow margins, no letter or no text go."""
+    stay_small(spark)
     return keep_identified(docs)
 
 
@@ -58,6 +66,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
+    stay_small(spark)
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -65,7 +74,8 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents that are left, with their places in sequences."""
     import public_tokenizers
 
-    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    with small_batches(spark):
+        return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), cached=CACHED)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -83,7 +93,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each stage's rows are written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     scratch = Scratch(spark, "pipeline")
-    for name, stage in STAGES:
-        docs = scratch.only(stage(spark, docs, sf_dir), name)
+    with small_batches(spark):
+        for name, stage in STAGES:
+            docs = scratch.only(stage(spark, docs, sf_dir), name)
     scratch.leave()
     return docs

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import tidy
+
 BLOCK_BYTES = 8 << 20
 STRIP = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -226,5 +228,6 @@ def _holds(block: list[tuple[int, str]], seed: int, tile: int, coverage: float):
             hit = {i for b in tiler([pa.record_batch([rows, column], ["doc_id", "text"])]) for i in b.column(0).to_pylist()}
             yield pa.array([i in hit for i in range(len(column))], pa.bool_())
 
-    holds.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(holds, "boolean")
+    work = tidy(holds)
+    work.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(work, "boolean")

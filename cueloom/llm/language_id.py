@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scratch import fresh
+from .scratch import fresh, tidy
 
 PIECE = 1 << 12
 MARGIN = 0.002
@@ -141,8 +141,9 @@ def _predictions(docs: DataFrame, dictionaries: dict[str, bytes], margin: float)
                 [pa.array([x for x, _ in got], pa.string()), pa.array([y for _, y in got], pa.float64())], ["lang_pred", "score"]
             )
 
-    predict.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    call = F.arrow_udf(predict, "lang_pred string, score double")
+    work = tidy(predict, model)
+    work.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    call = F.arrow_udf(work, "lang_pred string, score double")
     (name,) = fresh(docs.columns, "prediction")
     docs = docs.withColumn(name, call(F.col("text").cast("string")))
     accepted = (F.col(f"{name}.lang_pred") != "und") & (F.col(f"{name}.score") >= margin)

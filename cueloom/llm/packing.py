@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scratch import Scratch
+from .scratch import Scratch, tidy
 
 MOST_CACHED = 400_000
 SALTS = 64
@@ -45,12 +45,12 @@ WHITE = [chr(c) for c in range(0x3001) if chr(c).isspace()]
 class _Words(dict):
     """Ids, as bytes, of words with the space in front of them."""
 
-    def __init__(self, encode):
+    def __init__(self, encode, most: int):
         super().__init__()
-        self.encode = encode
+        self.encode, self.most = encode, most
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= MOST_CACHED:
+        if len(self) >= self.most:
             self.clear()
         got = self[word] = array("I", self.encode(" " + word)).tobytes()
         return got
@@ -67,13 +67,13 @@ class Encoder:
     times as fast; otherwise the tokenizer itself does all.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int = MOST_CACHED):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.encode_one = _ranked(path) or self._ids
-        self.words = _Words(self.encode_one)
+        self.words = _Words(self.encode_one, cached)
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -106,8 +106,8 @@ def _ranked(path: str):
     return tiktoken.Encoding("plain", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end: int = 0) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32."""
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end: int = 0, cached: int = MOST_CACHED) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32. cached: words whose ids a task remembers."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     encoder: list[Encoder] = []
     last = np.array([end], "<u4").tobytes()
@@ -115,7 +115,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end: int = 0)
     def cut(batches):
         for batch in batches:
             if not encoder:
-                encoder.append(Encoder(tokenizer))
+                encoder.append(Encoder(tokenizer, cached))
             out: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = encoder[0].encode(text or "") + last
@@ -128,7 +128,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end: int = 0)
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return docs.mapInArrow(tidy(cut, encoder), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def _take(bins: list, g: int, to: int, size: int, n: int, done: Counter) -> None:
@@ -318,7 +318,7 @@ def pack(made: DataFrame, capacity: int = 2048) -> DataFrame:
     return ranked.select(*names, "_p.sequence_id", "_p.offset")
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end: int = 0) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end: int = 0, cached: int = MOST_CACHED) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. cached: words whose ids a task remembers; fewer take less memory and more time."""
     scratch = Scratch(docs.sparkSession, "packing")
-    return pack(scratch.save(pieces(docs, tokenizer, capacity, end), "pieces"), capacity)
+    return pack(scratch.save(pieces(docs, tokenizer, capacity, end, cached), "pieces"), capacity)
